@@ -57,7 +57,7 @@ def split_labels(col: Column) -> Column:
 
 def specific_labels(col: Column) -> Column:
     """Distinct, non-blank, non-generic labels of a pipe-separated list, in order."""
-    trimmed = F.transform(F.split(F.coalesce(col, F.lit("")), r"\|"), F.trim)
+    trimmed = F.transform(F.split(F.coalesce(col, F.lit("")), r"\|"), lambda x: F.trim(x))
     return F.array_distinct(
         F.filter(trimmed, lambda x: (x != "") & ~x.isin(*GENERIC_LABELS))
     )

@@ -78,7 +78,8 @@ def to_envelope(
     key = F.coalesce(
         *[F.nullif(c, F.lit("")) for c in ids], F.col(row_number).cast("string")
     )
-    entries = [part for c in fields for part in (F.lit(c), F.col(c).cast("string"))]
+    values = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields}
+    entries = [part for c, v in values.items() for part in (F.lit(c), v)]
     envelope = [
         F.lit(domain).alias("domain"),
         F.lit(run_id).alias("producer_run_id"),

@@ -34,24 +34,34 @@ def with_path(df: DataFrame, at: str, out: str = "_node") -> DataFrame:
     return df.withColumn(out, F.explode(F.array(*nodes)))
 
 
-def _steps(first: Column, end: Column, level: int) -> Column:
-    """Node ids of one level in [first, end); at most three."""
-    ids = [F.when(first + i < end, first + i + level * WIDTH) for i in range(3)]
-    return F.array(*ids)
-
-
 def with_cover(df: DataFrame, start: str, stop: str, out: str = "_node") -> DataFrame:
-    """One row per tree node of the interval [start, stop]; none if it is empty."""
+    """One row per tree node of the interval [start, stop]; none if it is empty.
+
+    On level k the interval still to be covered is [lo, hi); the nodes left and right of the
+    part that whole parents cover, at most three on either side, belong to the cover.
+    """
     begin, end = day_number(F.col(start)), day_number(F.col(stop)) + 1
-    parts = []
-    for k in range(LEVELS):
-        lo = F.shiftright(begin + (4**k - 1), 2 * k)
-        hi = F.shiftright(end, 2 * k)
-        up = 4 * F.shiftright(begin + (4 ** (k + 1) - 1), 2 * k + 2)
-        down = 4 * F.shiftright(end, 2 * k + 2)
-        left_end = F.least(up, hi)
-        parts += [_steps(lo, left_end, k), _steps(F.greatest(down, left_end), hi, k)]
-    return df.withColumn(out, F.explode(F.concat(*parts))).where(F.col(out).isNotNull())
+    # A node of level k fits only into an interval of 4**k days or more.
+    fitting = F.floor(F.log(4.0, F.greatest(end - begin, F.lit(1)))).cast("int") + 1
+    levels = F.sequence(F.lit(0), F.least(fitting, F.lit(LEVELS - 1)))
+    at = df.withColumns({"_b": begin, "_e": end, "_k": F.explode(levels)}).selectExpr(
+        "*",
+        "shiftright(_b + shiftleft(1L, 2 * _k) - 1, 2 * _k) as _lo",
+        "shiftright(_e, 2 * _k) as _hi",
+        "4 * shiftright(_b + shiftleft(1L, 2 * _k + 2) - 1, 2 * _k + 2) as _up",
+        "4 * shiftright(_e, 2 * _k + 2) as _down",
+    )
+    lo, hi, up, down = (F.col(c) for c in ("_lo", "_hi", "_up", "_down"))
+    left_end = F.least(up, hi)
+    right = F.greatest(down, left_end)
+    ids = [F.when(lo + i < left_end, lo + i) for i in range(3)]
+    ids += [F.when(right + i < hi, right + i) for i in range(3)]
+    nodes = at.where(lo < hi).withColumn("_id", F.explode(F.array(*ids)))
+    return (
+        nodes.where(F.col("_id").isNotNull())
+        .withColumn(out, F.col("_id") + F.col("_k") * WIDTH)
+        .select(*df.columns, out)
+    )
 
 
 def closed(spans: DataFrame, start: str, stop: str) -> DataFrame:

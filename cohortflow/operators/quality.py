@@ -186,7 +186,8 @@ def tag_source_rows(
 ) -> DataFrame:
     """Reject rows that repeat the header or lack a required field."""
     echoes = reduce(
-        lambda a, b: a | b, [F.coalesce(F.col(c) == c, F.lit(False)) for c in df.columns]
+        lambda a, b: a | b,
+        [F.coalesce(F.col(c) == c, F.lit(False)) for c, t in df.dtypes if t == "string"],
     )
     lacking = F.concat_ws(",", *[F.when(blank(F.col(c)), F.lit(c)) for c in required])
     return df.withColumn(

@@ -21,6 +21,7 @@ from ..operators.features import (
     immunization_features,
     medication_features,
     observation_features,
+    patients,
     procedure_features,
 )
 from ..operators.feeds import encounter_flags, vital_flags
@@ -112,7 +113,11 @@ def _every(n: int, bad, good: Column, key: str = "o_orderkey") -> Column:
 
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text encounters with blank, unreadable, future and unknown values."""
-    return read(spark, sf_dir, "orders").select(
+    return damaged(read(spark, sf_dir, "orders"))
+
+
+def damaged(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_orderkey").alias("ROW_NUMBER"),
         _every(101, "", _every(103, None, text("o_orderkey"))).alias("ID"),
         _every(
@@ -122,13 +127,14 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         _every(53, " ", _every(59, "nobody", text("o_custkey"))).alias("PATIENT"),
         _every(73, None, F.col("o_orderstatus")).alias("CODE"),
         _visit().alias("DESCRIPTION"),
-        F.coalesce(_reason(), F.lit("")).alias("REASONDESCRIPTION"),
+        F.lit("").alias("REASONCODE"),
+        _reason().alias("REASONDESCRIPTION"),
     )
 
 
 def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patients as raw text, a few without a readable birth date."""
-    born = F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") * 37 % 30000).cast("int"))
+    born = F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") * 37 % 25000).cast("int"))
     return read(spark, sf_dir, "customer").select(
         text("c_custkey").alias("ID"),
         _every(17, "unknown", born.cast("string"), "c_custkey").alias("BIRTHDATE"),
@@ -198,27 +204,37 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patient_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.features import patients
-
     return patients(raw_patients(spark, sf_dir))
 
 
 def encounter_features(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [
-        condition_features(lines(spark, sf_dir, patient=False)),
-        observation_features(observations(spark, sf_dir)),
-        medication_features(encounters(spark, sf_dir), lines(spark, sf_dir, kind="medications")),
-        procedure_features(lines(spark, sf_dir, patient=False, kind="procedures")),
-        careplan_features(lines(spark, sf_dir, patient=False, kind="careplans")),
-    ]
+    """Feature tables per encounter, each written once."""
+
+    def plain_lines(kind: str | None = None) -> DataFrame:
+        return lines(spark, sf_dir, patient=False, kind=kind)
+
+    builds = {
+        "conditions": lambda: condition_features(plain_lines()),
+        "observations": lambda: observation_features(observations(spark, sf_dir)),
+        "medications": lambda: medication_features(
+            encounters(spark, sf_dir), lines(spark, sf_dir, kind="medications")
+        ),
+        "procedures": lambda: procedure_features(plain_lines("procedures")),
+        "careplans": lambda: careplan_features(plain_lines("careplans")),
+    }
+    return [staged(spark, sf_dir, f"{n}_by_encounter", b) for n, b in builds.items()]
 
 
 def patient_features(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [
-        patient_rows(spark, sf_dir),
-        allergy_features(lines(spark, sf_dir, kind="allergies")),
-        immunization_features(lines(spark, sf_dir, kind="immunizations")),
-    ]
+    """Feature tables per patient, patients first, each written once."""
+    builds = {
+        "patients": lambda: patient_rows(spark, sf_dir),
+        "allergies_by_patient": lambda: allergy_features(lines(spark, sf_dir, kind="allergies")),
+        "immunizations_by_patient": lambda: immunization_features(
+            lines(spark, sf_dir, kind="immunizations")
+        ),
+    }
+    return [staged(spark, sf_dir, n, b) for n, b in builds.items()]
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,6 +366,10 @@ LOG_DOMAINS = {
 
 def domain_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes of several domains, some garbled, some of an unknown domain, some incomplete."""
+    return as_domain_log(read(spark, sf_dir, "events"))
+
+
+def as_domain_log(events: DataFrame) -> DataFrame:
     n = F.col("event_id")
     domain = F.coalesce(
         *[F.when(F.col("event_type") == k, F.lit(v)) for k, v in LOG_DOMAINS.items()],
@@ -373,7 +393,7 @@ def domain_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("ts").alias("producer_timestamp"),
         payload.alias("payload"),
     )
-    return read(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("records."), domain).alias("kafka_topic"),
         (n % 4).cast("int").alias("kafka_partition"),
         n.alias("kafka_offset"),
