@@ -1,11 +1,12 @@
 """Events against date intervals of the same key, without pairing whole groups.
 
-Days are numbered from 0001-01-01 and arranged in a tree of fan-out 4: a node of level k
-spans 4**k days. An interval is the disjoint union of a few nodes (its cover), a
-day lies in exactly one node per level (its path). So "interval holds day" turns
-into equality of one node id, matched exactly once: a plain hash join with no range
-residual. Because either side can first be combined per (key, node), a key with a
-third of all rows costs no more than its number of distinct days.
+Only dates between the first and the last event matter, so days are numbered from the first
+event and intervals are cut to that range. The days form a tree of fan-out 4: a node of
+level k spans 4**k days. An interval is the disjoint union of a few nodes (its cover), a
+day lies in exactly one node per level (its path). So "interval holds day" turns into
+equality of one node id, matched exactly once: a plain hash join with no range residual.
+Because either side can first be combined per (key, node), a key with a third of all rows
+costs no more than its number of distinct days.
 """
 
 from __future__ import annotations
@@ -17,38 +18,61 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .skew import salted_join
 
-LEVELS = 11
-WIDTH = 4**LEVELS  # days covered, beyond year 9999
-FIRST_DAY = "0001-01-01"
+LEVELS = 12  # enough for every date from year 1 to 9999
+WIDTH = 4**LEVELS  # distance between the node ids of two levels
 LAST_DAY = "9999-12-31"
 
 
-def day_number(col: Column) -> Column:
-    return F.datediff(col, F.lit(FIRST_DAY).cast("date")).cast("bigint")
+@dataclass(frozen=True)
+class Calendar:
+    """The range of event dates, as scalars of the plan: nothing is collected."""
+
+    first: Column
+    last: Column
+
+    @classmethod
+    def of(cls, events: DataFrame, at: str) -> Calendar:
+        dates = events.select(F.col(at).cast("date").alias("d"))
+        return cls(dates.agg(F.min("d")).scalar(), dates.agg(F.max("d")).scalar())
+
+    def number(self, col: Column) -> Column:
+        return F.datediff(col, self.first)
+
+    @property
+    def days(self) -> Column:
+        return F.coalesce(F.datediff(self.last, self.first), F.lit(0)) + 1
 
 
-def with_path(df: DataFrame, at: str, out: str = "_node") -> DataFrame:
+def _levels(days: Column) -> Column:
+    """Levels of the tree whose nodes are no longer than ``days``, and one more."""
+    fitting = F.log(4.0, F.greatest(days, F.lit(1))).cast("int") + 1
+    return F.sequence(F.lit(0), F.least(fitting, F.lit(LEVELS - 1)))
+
+
+def with_path(df: DataFrame, at: str, calendar: Calendar, out: str = "_node") -> DataFrame:
     """One row per tree node on the path of the row's date."""
-    day = day_number(F.col(at))
-    nodes = [F.lit(k * WIDTH) + F.shiftright(day, 2 * k) for k in range(LEVELS)]
-    return df.withColumn(out, F.explode(F.array(*nodes)))
+    day = calendar.number(F.col(at))
+    located = df.withColumns({"_d": day, "_k": F.explode(_levels(calendar.days))})
+    node = F.expr(f"_k * {WIDTH} + shiftright(_d, 2 * _k)")
+    return located.withColumn(out, node).drop("_d", "_k")
 
 
-def with_cover(df: DataFrame, start: str, stop: str, out: str = "_node") -> DataFrame:
-    """One row per tree node of the interval [start, stop]; none if it is empty.
+def with_cover(
+    df: DataFrame, start: str, stop: str, calendar: Calendar, out: str = "_node"
+) -> DataFrame:
+    """One row per tree node of the interval [start, stop]; none if it misses the calendar.
 
     On level k the interval still to be covered is [lo, hi); the nodes left and right of the
     part that whole parents cover, at most three on either side, belong to the cover.
     """
-    begin, end = day_number(F.col(start)), day_number(F.col(stop)) + 1
-    # A node of level k fits only into an interval of 4**k days or more.
-    fitting = F.floor(F.log(4.0, F.greatest(end - begin, F.lit(1)))).cast("int") + 1
-    levels = F.sequence(F.lit(0), F.least(fitting, F.lit(LEVELS - 1)))
-    at = df.withColumns({"_b": begin, "_e": end, "_k": F.explode(levels)}).selectExpr(
+    begin = F.greatest(calendar.number(F.col(start)), F.lit(0))
+    end = F.least(calendar.number(F.col(stop)) + 1, calendar.days)
+    cut = df.withColumns({"_b": begin, "_e": end}).where("_b < _e")
+    at = cut.withColumn("_k", F.explode(_levels(F.col("_e") - F.col("_b")))).selectExpr(
         "*",
-        "shiftright(_b + shiftleft(1L, 2 * _k) - 1, 2 * _k) as _lo",
+        "shiftright(_b + shiftleft(1, 2 * _k) - 1, 2 * _k) as _lo",
         "shiftright(_e, 2 * _k) as _hi",
-        "4 * shiftright(_b + shiftleft(1L, 2 * _k + 2) - 1, 2 * _k + 2) as _up",
+        "4 * shiftright(_b + shiftleft(1, 2 * _k + 2) - 1, 2 * _k + 2) as _up",
         "4 * shiftright(_e, 2 * _k + 2) as _down",
     )
     lo, hi, up, down = (F.col(c) for c in ("_lo", "_hi", "_up", "_down"))
@@ -59,7 +83,7 @@ def with_cover(df: DataFrame, start: str, stop: str, out: str = "_node") -> Data
     nodes = at.where(lo < hi).withColumn("_id", F.explode(F.array(*ids)))
     return (
         nodes.where(F.col("_id").isNotNull())
-        .withColumn(out, F.col("_id") + F.col("_k") * WIDTH)
+        .withColumn(out, F.col("_k") * WIDTH + F.col("_id"))
         .select(*df.columns, out)
     )
 
@@ -86,12 +110,11 @@ def active_interval_join(
     ``event_id`` has to be unique; spans must not share column names with events
     other than ``key``.
     """
-    usable = with_cover(
-        closed(spans.withColumn("_stop", F.col(stop)), start, "_stop"), start, "_stop"
-    ).drop("_stop")
+    calendar = Calendar.of(events, at)
+    usable = closed(spans.withColumn("_stop", F.col(stop)), start, "_stop")
     pairs = salted_join(
-        with_path(events.select(key, event_id, at).dropna(), at).drop(at),
-        usable,
+        with_path(events.select(key, event_id, at).dropna(), at, calendar).drop(at),
+        with_cover(usable, start, "_stop", calendar).drop("_stop"),
         [key, "_node"],
         "inner",
         spread=[event_id],
@@ -125,20 +148,20 @@ def active_aggregates(
     ``start`` and ``stop`` are usable dates (see :func:`closed`). Spans are combined per
     (key, node), events per (key, date); each date then folds the few nodes on its path.
     """
+    calendar = Calendar.of(events, at)
+    valued = (
+        spans.select(key, start, stop, *[m.value.alias(n) for n, m in measures.items()])
+        .groupBy(key, start, stop)
+        .agg(*[m.of(F.col(n)).alias(n) for n, m in measures.items()])
+    )
     nodes = (
-        with_cover(
-            spans.select(key, start, stop, *[m.value.alias(n) for n, m in measures.items()])
-            .groupBy(key, start, stop)
-            .agg(*[m.of(F.col(n)).alias(n) for n, m in measures.items()]),
-            start,
-            stop,
-        )
+        with_cover(valued, start, stop, calendar)
         .groupBy(key, "_node")
         .agg(*[m.of(F.col(n)).alias(n) for n, m in measures.items()])
     )
     dates = events.select(key, at).dropna().distinct()
     per_date = (
-        with_path(dates, at)
+        with_path(dates, at, calendar)
         .join(nodes, [key, "_node"])
         .groupBy(key, at)
         .agg(*[m.of(F.col(n)).alias(n) for n, m in measures.items()])
