@@ -27,11 +27,14 @@ def first_present(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cols])
 
 
+def word_pattern(pattern: str) -> str:
+    """The pattern limited to whole words."""
+    return rf"\b(?:{pattern})\b"
+
+
 def matches(col: Column, pattern: str, whole_words: bool = False) -> Column:
-    """Case-insensitive regular-expression match; ``whole_words`` adds word boundaries."""
-    if whole_words:
-        pattern = rf"\b(?:{pattern})\b"
-    return F.lower(col).rlike(pattern)
+    """Match against the lower-cased text; substrings count unless ``whole_words``."""
+    return F.lower(col).rlike(word_pattern(pattern) if whole_words else pattern)
 
 
 def normalise_label(cols: Iterable[Column], default: str = DEFAULT_LABEL) -> Column:

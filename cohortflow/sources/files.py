@@ -33,13 +33,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in a local test session, is a
-    temporary folder made and set.
+    Only where ``spark.checkpoint.dir`` is unset, as in a local test session, a temporary
+    folder is made, once, and set as the session's checkpoint folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="cohortflow-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortflow-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 
