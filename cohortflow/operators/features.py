@@ -142,27 +142,34 @@ def medication_features(encounters: DataFrame, raw: DataFrame, **skew) -> DataFr
         "stop",
     ).where(F.col("patient_id").isNotNull())
 
+    coded = F.col("code").isNotNull()
     kinds = {
-        "unique_medications": F.lit(True),
-        "high_risk_med_count": matches(F.col("name"), HIGH_RISK_MEDICATION_PATTERN),
-        "antimicrobial_count": matches(F.col("name"), ANTIMICROBIAL_PATTERN),
+        "unique_medications": coded,
+        "high_risk_med_count": coded & matches(F.col("name"), HIGH_RISK_MEDICATION_PATTERN),
+        "antimicrobial_count": coded & matches(F.col("name"), ANTIMICROBIAL_PATTERN),
     }
+    # Every course counts once as itself, and once per kind in its code's merged intervals.
+    as_kinds = F.array(F.lit("course"), *[F.when(p, F.lit(k)) for k, p in kinds.items()])
+    itself = F.col("kind") == "course"
     labelled = (
-        courses.where(F.col("code").isNotNull())
-        .withColumn("kind", F.explode(F.array(*[F.when(p, F.lit(k)) for k, p in kinds.items()])))
+        courses.withColumn("kind", F.explode(as_kinds))
         .where(F.col("kind").isNotNull())
-    )
-    merged = merge_spans(labelled, ["patient_id", "kind", "code"])
-
-    coded = F.when(F.col("code").isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    span = ["patient_id", "start", "stop", "kind", "coded", "days"]
-    spans = courses.select(
-        *span[:3], F.lit(None).cast("string").alias("kind"), coded.alias("coded"), "days"
-    ).unionByName(
-        merged.select(
-            *span[:4], F.lit(0).alias("coded"), F.lit(None).cast("int").alias("days")
+        .select(
+            "patient_id",
+            "kind",
+            F.when(~itself, F.col("code")).alias("code"),
+            F.when(itself, F.struct("start", "stop")).alias("own"),
+            "start",
+            "stop",
+            F.when(itself & coded, F.lit(1)).otherwise(F.lit(0)).alias("coded"),
+            F.when(itself, F.col("days")).alias("days"),
         )
     )
+    spans = merge_spans(
+        labelled,
+        ["patient_id", "kind", "code", "own"],
+        carry={"coded": F.sum, "days": F.max},
+    )
     measures = {
         "medication_events": Measure(F.col("coded"), "sum"),
         **{k: Measure(F.when(F.col("kind") == k, 1).otherwise(0), "sum") for k in kinds},

@@ -11,7 +11,7 @@ costs no more than its number of distinct days.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -147,6 +147,7 @@ def active_aggregates(
 
     ``start`` and ``stop`` are usable dates (see :func:`closed`). Spans are combined per
     (key, node), events per (key, date); each date then folds the few nodes on its path.
+    Equal spans are combined before they are covered.
     """
     calendar = Calendar.of(events, at)
     valued = (
@@ -170,14 +171,21 @@ def active_aggregates(
 
 
 def merge_spans(
-    spans: DataFrame, keys: Sequence[str], start: str = "start", stop: str = "stop"
+    spans: DataFrame,
+    keys: Sequence[str],
+    start: str = "start",
+    stop: str = "stop",
+    carry: Mapping[str, Callable[[str], Column]] | None = None,
 ) -> DataFrame:
     """Union of overlapping intervals per key: disjoint intervals, each day covered once.
 
     Spans are first reduced to one per (key, start), so a group never holds more rows
-    than there are calendar days, however many rows share the key.
+    than there are calendar days, however many rows share the key. ``carry`` folds further
+    columns along with the intervals, each by its aggregate function.
     """
-    widest = spans.groupBy(*keys, start).agg(F.max(stop).alias(stop))
+    carry = carry or {}
+    folds = [fold(c).alias(c) for c, fold in carry.items()]
+    widest = spans.groupBy(*keys, start).agg(F.max(stop).alias(stop), *folds)
     before = Window.partitionBy(*keys).orderBy(start)
     reach = F.max(stop).over(before.rowsBetween(Window.unboundedPreceding, -1))
     opened = widest.withColumn("_reach", reach)
@@ -187,6 +195,6 @@ def merge_spans(
     )
     return (
         islands.groupBy(*keys, "_island")
-        .agg(F.min(start).alias(start), F.max(stop).alias(stop))
+        .agg(F.min(start).alias(start), F.max(stop).alias(stop), *folds)
         .drop("_island")
     )

@@ -171,6 +171,9 @@ def serving_kpis(p360: DataFrame, gaps: DataFrame, scores: DataFrame) -> DataFra
 
     gap_patients = gaps.agg(F.count_distinct("patient_id")).scalar()
     critical = gaps.where(F.col("care_gap_severity") == "CRITICAL")
+    # Two-decimal percentages add up exactly as decimals, whatever the order of the rows.
+    exact_sum = F.sum(F.col("trust_score_pct").cast("decimal(10,2)")).cast("double")
+    mean_trust = exact_sum / F.count("trust_score_pct")
     return p360.agg(
         F.count_distinct("patient_id").alias("patients_monitored"),
         counted(F.col("risk_band") == "HIGH").alias("high_risk_patients"),
@@ -180,7 +183,7 @@ def serving_kpis(p360: DataFrame, gaps: DataFrame, scores: DataFrame) -> DataFra
         "*",
         gap_patients.alias("care_gap_patients"),
         critical.agg(F.count_distinct("patient_id")).scalar().alias("critical_care_gaps"),
-        scores.agg(F.avg("trust_score_pct")).scalar().alias("pipeline_trust_score_pct"),
+        scores.agg(mean_trust).scalar().alias("pipeline_trust_score_pct"),
     )
 
 

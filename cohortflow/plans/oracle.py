@@ -45,8 +45,17 @@ def first(*rules: tuple[str, str], default: str = "null") -> str:
     return f"case {cases} else {default} end"
 
 
+def round2(value: str) -> str:
+    """Two decimals, half up on the decimal value (a binary double can fall just below a tie)."""
+    return f"round(({value})::decimal(38, 10), 2)::double"
+
+
 def pct(part: str, whole: str) -> str:
-    return f"round(case when {whole} > 0 then {part} / {whole} * 100 else 0.0 end, 2)"
+    return round2(f"case when {whole} > 0 then {part} / {whole} * 100 else 0.0 end")
+
+
+def mean(column: str) -> str:
+    return f"{round2(f'avg({column})')} as avg_{column}"
 
 
 def kind(*cases: str) -> str:
@@ -371,18 +380,18 @@ CTES = {
     "vsum": f"""select *, {pct("abnormal_vitals_count", "total_vitals_events")}
         as abnormal_rate_pct from (select count(*) as total_vitals_events,
       count(*) filter (has_abnormal_vitals) as abnormal_vitals_count,
-      round(avg(heart_rate), 2) as avg_heart_rate, round(avg(systolic_bp), 2) as avg_systolic_bp,
-      round(avg(diastolic_bp), 2) as avg_diastolic_bp,
-      round(avg(temperature), 2) as avg_temperature,
+      {mean('heart_rate')}, {mean('systolic_bp')},
+      {mean('diastolic_bp')},
+      {mean('temperature')},
       count(distinct patient_id) as patients_monitored,
       max(event_timestamp) as latest_event_time from vits)""",
     "vpat": f"""select *, abnormal_vitals_events > 0 as has_abnormal_vitals,
       {pct("abnormal_vitals_events", "vitals_events")} as abnormal_rate_pct
       from (select patient_id, count(*) as vitals_events,
       count(*) filter (has_abnormal_vitals) as abnormal_vitals_events,
-      round(avg(heart_rate), 2) as avg_heart_rate, round(avg(systolic_bp), 2) as avg_systolic_bp,
-      round(avg(diastolic_bp), 2) as avg_diastolic_bp,
-      round(avg(temperature), 2) as avg_temperature,
+      {mean('heart_rate')}, {mean('systolic_bp')},
+      {mean('diastolic_bp')},
+      {mean('temperature')},
       max(event_timestamp) as latest_event_time from vits group by 1)""",
     "ev": f"""select case when event_id % 97 = 0 then '' else event_id::varchar end as event_id,
       case when event_id % 89 = 0 then null else 'enc-' || event_id::varchar end as encounter_id,
@@ -428,7 +437,7 @@ CTES = {
         as validation_pass_rate_pct,
       {pct("warning_records", "silver_records_written")} as warning_rate_pct,
       case when quarantine_records_written = 0 then 'SUCCESS' else 'ANOMALIES_ISOLATED' end
-        as status, round(source_records_read / duration_seconds, 2)
+        as status, {round2('source_records_read / duration_seconds')}
         as throughput_rows_per_second,
       case when source_records_read = silver_records_written + quarantine_records_written
         + duplicate_records_skipped then 'PASS' else 'FAIL' end as reconciliation_status
@@ -502,7 +511,7 @@ def measures(total: str, extra: str, by: str = "") -> str:
       select {lead}count(*) as {total}, count(*) filter (is_emergency) as emergency_encounters,
         count(*) filter (is_long_stay) as long_stay_encounters,
         count(*) filter (encounter_risk_flag) as risk_flagged_encounters,
-        round(avg(length_of_stay_hours), 2) as avg_length_of_stay_hours, {extra}
+        {mean('length_of_stay_hours')}, {extra}
       from evs {group})"""
 
 
@@ -754,7 +763,7 @@ RESULT = {
       (select count(distinct patient_id) from gap) as care_gap_patients,
       (select count(distinct patient_id) from gap where care_gap_severity = 'CRITICAL')
         as critical_care_gaps,
-      (select avg(trust_score_pct) from cards) as pipeline_trust_score_pct from p360""",
+      (select sum(trust_score_pct::decimal(10, 2))::double / count(*) from cards) as pipeline_trust_score_pct from p360""",
     "duplicate_keys": """select l_orderkey, l_linenumber, count(*) as n_rows from lineitem
       group by 1, 2 having count(*) > 1""",
     "latest_per_key": state("true"),
@@ -807,9 +816,9 @@ RESULT = {
         and patient_id in (select patient_id from pat))""",
     "domain_router": """select case when validation_error = '' then dom else '_invalid' end as route,
       validation_error, count(*) as records from logv group by 1, 2""",
-    "kpi_summary": """select count(distinct patient_id) as patients_monitored,
+    "kpi_summary": f"""select count(distinct patient_id) as patients_monitored,
       count(*) filter (risk_band = 'HIGH') as high_risk_patients,
-      round(avg(risk_score), 2) as avg_risk_score from p360""",
+      {mean('risk_score')} from p360""",
     "risk_distribution": "select risk_band, count(*) as patient_count from p360 group by 1",
     "top_patients": """select patient_id, risk_score, risk_band, risk_reasons, condition_names,
       suggested_focus from p360 order by risk_score desc, patient_id limit 100""",

@@ -137,6 +137,20 @@ def write_partitioned(
     )
 
 
+def write_version(df: DataFrame, path: str, version: int) -> None:
+    """Write a table as a new version next to the old ones, which ``df`` may read."""
+    df.write.mode("overwrite").parquet(f"{path}/version={int(version)}")
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest version of a table; the other versions' folders are pruned."""
+    versions = read_optional(spark, path)
+    if versions is None:
+        return None
+    latest = versions.agg(F.max("version")).scalar()
+    return versions.where(F.col("version") == latest).drop("version")
+
+
 def register_views(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet") -> list[str]:
     """Temporary views over the tables that exist; returns the names registered."""
     made = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.tables import merge_upsert
-from ..sources.files import read_optional
+from ..sources.files import read_version, write_version
 
 CURSOR_SCHEMA = "source_name string, last_key bigint, updated_at timestamp"
 
@@ -29,11 +29,8 @@ def next_cursor(part: DataFrame, key: str, source: str, now: Column) -> DataFram
 
 def load_cursors(spark: SparkSession, path: str) -> DataFrame:
     """Cursors of all sources: one small table, its latest version."""
-    versions = read_optional(spark, path)
-    if versions is None:
-        return spark.createDataFrame([], CURSOR_SCHEMA)
-    latest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == latest).drop("version")
+    cursors = read_version(spark, path)
+    return spark.createDataFrame([], CURSOR_SCHEMA) if cursors is None else cursors
 
 
 def cursor_of(cursors: DataFrame, source: str, default: int = 0) -> int:
@@ -44,4 +41,4 @@ def cursor_of(cursors: DataFrame, source: str, default: int = 0) -> int:
 def save_cursors(cursors: DataFrame, changed: DataFrame, path: str, version: int) -> None:
     """Write the merged cursors as a new version; the old one is never overwritten."""
     merged = merge_upsert(cursors, changed, ["source_name"])
-    merged.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={int(version)}")
+    write_version(merged.coalesce(1), path, version)

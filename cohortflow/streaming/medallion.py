@@ -179,7 +179,7 @@ def process_batch(
         verdict = "ANOMALIES_ISOLATED" if metrics["quarantine_records_written"] else "SUCCESS"
         if by_file:
             load.write(file_ledger(fresh, verdict).withColumn("loaded_at", stamp), tables.ledger)
-        else:
+        elif "kafka_offset" in fresh.columns:
             load.write(offset_ledger(fresh).withColumn("loaded_at", stamp), tables.offsets)
 
     finished = datetime.now(timezone.utc)
