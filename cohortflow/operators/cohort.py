@@ -409,8 +409,9 @@ def comorbidity_pairs(
     A pair is never more frequent than its rarer label. Pairs among a handful of the
     most frequent labels give a count the k-th best pair reaches at least; labels
     below it cannot be part of the answer and leave before the pairs are listed.
+    (Repeated rows would only overstate a label's frequency and keep more of them.)
     """
-    support = labels.groupBy(label).agg(F.count_distinct(key).alias("_n"))
+    support = labels.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     few = ceil(1 + sqrt(4 * k))
     seeds = support.orderBy(F.col("_n").desc(), label).limit(few).select(label)
     seeded = label_pairs(labels.join(F.broadcast(seeds), label, "left_semi"), key, label)

@@ -45,12 +45,16 @@ def skip_seen(df: DataFrame, ledger: DataFrame, column: str, ledger_column: str)
 
 
 def upsert_counts(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How many source rows update an existing key and how many insert a new one."""
-    known = target.select(*keys).distinct().withColumn("_known", F.lit(True))
-    hit = F.col("_known").isNotNull()
-    return source.join(known, list(keys), "left").agg(
-        F.count(F.when(hit, F.lit(1))).alias("records_updated"),
-        F.count(F.when(~hit, F.lit(1))).alias("records_inserted"),
+    """How many source rows update an existing key and how many insert a new one.
+
+    The source is unique per key. The target is the streamed side: a source small enough
+    to be broadcast spares it the shuffle.
+    """
+    keys = list(keys)
+    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+    updated = matched.agg(F.count(F.lit(1))).scalar()
+    return source.agg(F.count(F.lit(1)).alias("_n")).select(
+        updated.alias("records_updated"), (F.col("_n") - updated).alias("records_inserted")
     )
 
 

@@ -112,13 +112,16 @@ def quarantine_now(spark: SparkSession, tables: Tables) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def state_of(log: DataFrame | None) -> DataFrame | None:
+def state_of(log: DataFrame | None, only: DataFrame | None = None) -> DataFrame | None:
     """Latest encounter per patient over state updates of many loads.
 
-    A later load only replaces an earlier one when its date is not older.
+    A later load only replaces an earlier one when its date is not older. ``only`` holds
+    the patients asked for; a small batch then leaves the rest of the log untouched.
     """
     if log is None:
         return None
+    if only is not None:
+        log = log.join(only, "patient_id", "left_semi")
     return latest_per_key(log, ["patient_id"], ["last_admission_date", "loaded_at", "batch_id"])
 
 
@@ -191,7 +194,27 @@ def process_batch(
     load.write(audit, tables.audit)
 
 
+def _needed(features: Features, landed: DataFrame) -> Features:
+    """Feature rows of the batch's encounters and patients only.
+
+    The key lists come from the written Bronze rows, so their size is known: those of a
+    small batch are broadcast and the feature tables are scanned without a shuffle.
+    """
+
+    def cut(tables, key: str) -> tuple[DataFrame, ...]:
+        keys = landed.select(key).distinct()
+        return tuple(t.join(keys, key, "left_semi") for t in tables)
+
+    patients = None if features.patients is None else cut([features.patients], "patient_id")[0]
+    return Features(
+        patients, cut(features.by_encounter, "encounter_id"), cut(features.by_patient, "patient_id")
+    )
+
+
 def _refine(spark, fresh, load, tables, features, at, stamp) -> dict[str, int]:
+    landed = load.own(spark, tables.bronze)
+    features = _needed(features, landed)
+    batch_patients = landed.select("patient_id").distinct()
     tagged = tag_raw(fresh, features.patients, at)
     clean, raw_bad = split_tagged(tagged, "failure_reasons", "RAW_VALIDATION", stamp)
     load.write(raw_bad, tables.quarantine)
@@ -204,9 +227,8 @@ def _refine(spark, fresh, load, tables, features, at, stamp) -> dict[str, int]:
 
     by_patient = [t for t in (features.patients, *features.by_patient) if t is not None]
     derived = derive_silver(enrich(unique, features.by_encounter, by_patient), at)
-    gated = warning_status(
-        clinical_gate(attach_state(derived, state_of(load.earlier(spark, tables.state))))
-    ).drop("raw_payload")
+    state = state_of(load.earlier(spark, tables.state), batch_patients)
+    gated = warning_status(clinical_gate(attach_state(derived, state))).drop("raw_payload")
     verdict = F.when(F.col("failure_reasons") == "", F.lit(CLEAN)).otherwise(F.lit(REJECTED))
     load.write(
         drop_private(gated).withColumns({"verdict": verdict, "loaded_at": stamp}),

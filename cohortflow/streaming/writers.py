@@ -47,10 +47,10 @@ class Load:
         return f"{table}/run_id={self.run_id}/batch_id={self.batch_id}"
 
     def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        writer = df.write.mode("overwrite")
+        """Overwrite the load's folder; partitions get few files, large ones are split."""
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.folder(table))
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(table))
 
     def own(self, spark: SparkSession, table: str) -> DataFrame | None:
         return read_optional(spark, self.folder(table))
