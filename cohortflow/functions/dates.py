@@ -18,7 +18,15 @@ def try_date(col: Column) -> Column:
 
 
 def try_timestamp(col: Column) -> Column:
-    return col.try_cast("timestamp_ntz")
+    """Wall-clock time in the session's zone (UTC); an offset in the text is honoured."""
+    return col.try_cast("timestamp").cast("timestamp_ntz")
+
+
+def utc_iso(at: Column) -> Column:
+    """ISO text with an offset; fractions of a second only where there are any."""
+    micros = F.date_format(at, "SSSSSS")
+    fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit(""))
+    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))
 
 
 def try_double(col: Column) -> Column:

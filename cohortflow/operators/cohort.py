@@ -102,7 +102,7 @@ def derive_silver(df: DataFrame, as_of: Column) -> DataFrame:
     return fill_defaults(derived).withColumn("ssn", mask(F.col("ssn")))
 
 
-PRIVATE_COLUMNS = ("birthdate", "deathdate")
+PRIVATE_COLUMNS = ("birthdate",)
 
 
 def drop_private(df: DataFrame, columns=PRIVATE_COLUMNS) -> DataFrame:

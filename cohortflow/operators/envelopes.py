@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import try_timestamp
+from ..functions.dates import try_timestamp, utc_iso
 from ..functions.text import classify_encounter, first_present, present, stay_hours
 from ..plans.domains import DOMAINS, Domain
 
@@ -109,7 +109,6 @@ def build_events(rows: DataFrame, row_number: str) -> DataFrame:
         return F.trim(F.coalesce(F.col(c), F.lit("")))
 
     at = try_timestamp(trimmed("DATE"))
-    iso = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     number = F.col(row_number).cast("bigint")
     return rows.select(
         F.concat_ws("-", F.lit(REPLAY_ID_PREFIX), trimmed("ID"), number.cast("string")).alias(
@@ -118,7 +117,7 @@ def build_events(rows: DataFrame, row_number: str) -> DataFrame:
         trimmed("ID").alias("encounter_id"),
         trimmed("PATIENT").alias("patient_id"),
         F.lit(REPLAY["event_type"]).alias("event_type"),
-        F.coalesce(iso, F.lit("")).alias("event_timestamp"),
+        F.coalesce(utc_iso(at), F.lit("")).alias("event_timestamp"),
         classify_encounter(F.col("DESCRIPTION")).alias("encounter_type"),
         trimmed("CODE").alias("diagnosis_code"),
         F.coalesce(first_present(F.col("REASONDESCRIPTION"), F.col("DESCRIPTION")), F.lit("")).alias(

@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
@@ -22,12 +22,18 @@ def text_schema(fields: Sequence[str]) -> StructType:
     return StructType([StructField(f, StringType(), True) for f in fields])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence on whatever file system the path names, not just the local one."""
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return fs.globStatus(hadoop_path) is not None and len(fs.globStatus(hadoop_path)) > 0
+# Conditions under which a table or file counts as absent.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def load_if_present(reader: DataFrameReader, path: str, fmt: str) -> DataFrame | None:
+    """Load a path on whatever file system it names; None when there is nothing there."""
+    try:
+        return reader.format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT:
+            return None
+        raise
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -51,18 +57,15 @@ def read_csv_upper(
 
     Columns are bound by header name. A given schema adds absent columns as NULL.
     """
-    if not path_exists(spark, path):
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    raw = load_if_present(reader, path, "csv")
+    if raw is None:
         return None
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     upper = raw.toDF(*[c.upper() for c in raw.columns])
     if schema is None:
         return upper
-    return upper.select(
-        *[
-            F.col(f.name) if f.name in upper.columns else F.lit(None).cast("string").alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    absent = {f: F.lit(None).cast("string") for f in schema.names if f not in upper.columns}
+    return upper.withColumns(absent).select(*schema.names) if absent else upper.select(*schema.names)
 
 
 def read_csv_with_quarantine(
@@ -72,10 +75,10 @@ def read_csv_with_quarantine(
 
     The header names the columns of the file, so a re-ordered file reads right.
     """
-    if not path_exists(spark, path):
+    header = load_if_present(spark.read.option("header", True), path, "csv")
+    if header is None:
         return None
-    header = spark.read.option("header", True).csv(path).columns
-    schema = text_schema([*[c.upper() for c in header], CORRUPT])
+    schema = text_schema([*[c.upper() for c in header.columns], CORRUPT])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -97,17 +100,8 @@ def read_optional(
 
     ``merge_schema`` reads every file's footer; ask for it only after a schema change.
     """
-    if not path_exists(spark, path):
-        return None
-    reader = spark.read.format(fmt)
-    if merge_schema:
-        reader = reader.option("mergeSchema", True)
-    try:
-        return reader.load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
+    reader = spark.read.option("mergeSchema", True) if merge_schema else spark.read
+    return load_if_present(reader, path, fmt)
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

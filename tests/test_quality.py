@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.operators.envelopes import parse_envelope, to_envelope, validate_envelopes
+from cohortflow.operators.envelopes import build_events, parse_envelope, to_envelope, validate_envelopes
 from cohortflow.operators.quality import (
     TableSpec,
     batch_audit,
@@ -151,6 +151,26 @@ def test_envelope_keeps_lineage_and_key(spark):
     assert body["payload"] == {"ID": "", "ENCOUNTER": "enc-9", "PATIENT": "p"}
 
 
+def test_events_from_raw_rows(spark):
+    raw = spark.createDataFrame(
+        [
+            (7, " e1 ", "2026-01-01T10:00:00Z", "p", "c", "Emergency hospital", " "),
+            (8, None, "2026-01-01 10:00:00.25", "p", None, "Urgent care", "Asthma"),
+            (9, "e3", "soon", None, "c", None, None),
+        ],
+        "n long, ID string, DATE string, PATIENT string, CODE string, DESCRIPTION string, "
+        "REASONDESCRIPTION string",
+    )
+    a, b, c = build_events(raw, "n").orderBy("source_row").collect()
+    assert (a.event_id, a.encounter_id) == ("s3-encounter-e1-7", "e1")
+    assert a.event_timestamp == "2026-01-01T10:00:00+00:00"
+    # The class looks for an emergency first, the hours for a hospital first.
+    assert (a.encounter_type, a.length_of_stay_hours) == ("emergency", 72.0)
+    assert a.diagnosis_description == "Emergency hospital"
+    assert (b.event_timestamp, b.diagnosis_description) == ("2026-01-01T10:00:00.250000+00:00", "Asthma")
+    assert (c.event_timestamp, c.encounter_type, c.diagnosis_description) == ("", "ambulatory", "")
+
+
 def test_latest_audit_is_chosen_by_time_before_batch(spark):
     rows = [(99, datetime(2026, 1, 1), 10.0), (1, datetime(2026, 1, 2), 100.0)]
     audit = spark.createDataFrame(rows, "batch_id long, execution_timestamp timestamp, pass_rate_pct double")

@@ -10,7 +10,6 @@ from cohortflow.operators.serving import snapshot_sections
 from cohortflow.sources.files import (
     PATIENT_FIELDS,
     append_table,
-    path_exists,
     read_csv_upper,
     read_csv_with_quarantine,
     read_optional,
@@ -54,7 +53,7 @@ def test_malformed_rows_go_to_quarantine(spark, tmp_path):
 
 def test_optional_tables(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert read_optional(spark, path) is None and not path_exists(spark, path)
+    assert read_optional(spark, path) is None
     (tmp_path / "empty").mkdir()
     assert read_optional(spark, str(tmp_path / "empty")) is None
     append_table(spark.range(2), path)
@@ -105,6 +104,7 @@ def test_encounter_log_with_and_without_envelope(spark):
             record({"payload": body, "producer_run_id": "r", "producer_row_number": 3}, 1),
             record({**body, "ID": "e2", "DATE": "never"}, 2),
             record("no json", 3),
+            record({**body, "DATE": "2026-01-02T03:04:05+02:00"}, 4),
         ],
         LOG_SCHEMA,
     )
@@ -113,6 +113,7 @@ def test_encounter_log_with_and_without_envelope(spark):
     assert out[1].admission_date == datetime(2026, 1, 2, 3, 4, 5)
     assert (out[2].encounter_id, out[2].admission_date) == ("e2", None)
     assert out[3].encounter_id is None
+    assert out[4].admission_date == datetime(2026, 1, 2, 1, 4, 5)
 
 
 def test_log_round_trip_and_rate_limit(spark, tmp_path):
