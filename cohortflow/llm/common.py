@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 4 << 20
+#: So many 64-bit keys, some MB, may be broadcast.
+BROADCAST_KEYS = 200_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -87,3 +89,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def list_column(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     """Arrow lists over one flat array."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
+def without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``gone``; few keys are broadcast, more are met in a shuffled join."""
+    gone = stage(gone.select(key).distinct(), "gone")
+    few = gone.count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(gone) if few else gone, key, "left_anti")

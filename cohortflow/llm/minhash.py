@@ -8,8 +8,8 @@ confirmed on whole shingle sets.
 
 A bucket is never turned into all its pairs. Its most popular class, whose band values are shared
 most often, is compared with the other members, and links found so are contracted into components.
-Two rounds of this leave only members of different components to be compared with each other, in
-tiles of bounded size. No bucket is capped.
+After that only members of different components are compared with each other, in tiles of
+bounded size, a pair in the first bucket that it shares. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -23,20 +23,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortflow.llm.common import MIX, ODD, drop_stage, mixed, slices, stage, texts_of, words_of
+from cohortflow.llm.common import MIX, ODD, drop_stage, mixed, slices, stage, texts_of, without, words_of
 from cohortflow.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 75  # per cent
 BANDS = 32
 BAND_ROWS = 5
+POSITIONS = 256
 BATCH = 32
-MISS = 1e-5
-LEADER_ROUNDS = 2
+MISS = 1e-3
+LEADER_ROUNDS = 1
 BLOCK = 256
 SLICE = 1 << 20
 
-SKETCH = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, signature binary"
+SKETCH = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands binary, signature binary"
 
 
 def shingle_set(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
@@ -59,7 +60,7 @@ def multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return odd[:n], odd[n:]
 
 
-def signatures(sets: list[np.ndarray], n: int = BANDS * BAND_ROWS) -> np.ndarray:
+def signatures(sets: list[np.ndarray], n: int = POSITIONS) -> np.ndarray:
     """A row of ``n`` 32-bit minima for each non-empty set."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
@@ -70,9 +71,25 @@ def signatures(sets: list[np.ndarray], n: int = BANDS * BAND_ROWS) -> np.ndarray
     return out
 
 
+def low_bytes(minima: np.ndarray) -> np.ndarray:
+    """One well-mixed byte of each minimum."""
+    return ((minima * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
+
+
+def band_values(minima: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> np.ndarray:
+    """A 32-bit value of each band of ``rows`` minima."""
+    parts = minima[:, : bands * rows].reshape(len(minima), bands, rows).astype(np.uint64)
+    rolled = parts[:, :, 0]
+    for k in range(1, rows):
+        rolled = mixed(rolled) + parts[:, :, k]
+    return (mixed(rolled) >> np.uint64(32)).astype(np.uint32)
+
+
 def sketch(documents: DataFrame) -> DataFrame:
-    """Per document: size of its shingle set, a 128-bit digest of the set, and its signature.
+    """Per document: size of its shingle set, a 128-bit digest of the set, its band values and signature.
 
+    A band value is a 32-bit hash of the band's minima. The signature keeps one byte of each minimum: bytes
+    that agree by chance (1 of 256) only make a pair look more similar, so nothing is pruned for them.
     An empty set (null or blank text) has null digests and no signature.
     """
 
@@ -84,12 +101,14 @@ def sketch(documents: DataFrame) -> DataFrame:
                 here = np.array([len(s) for s in sets])
                 k1, k2 = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
                 rows: list[bytes | None] = [None] * len(sets)
+                values: list[bytes | None] = [None] * len(sets)
                 if full:
                     flat, at = np.concatenate(full), np.cumsum([0, *(len(s) for s in full[:-1])])
                     k1[here > 0] = np.add.reduceat(mixed(flat ^ MIX), at).view(np.int64)
                     k2[here > 0] = np.add.reduceat(mixed(flat + ODD), at).view(np.int64)
-                    for row, signature in zip(np.flatnonzero(here), signatures(full)):
-                        rows[row] = signature.tobytes()
+                    minima = signatures(full)
+                    for row, signature, value in zip(np.flatnonzero(here), low_bytes(minima), band_values(minima)):
+                        rows[row], values[row] = signature.tobytes(), value.tobytes()
                 empty = here == 0
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -97,9 +116,10 @@ def sketch(documents: DataFrame) -> DataFrame:
                         pa.array(here, pa.int64()),
                         pa.array(k1, mask=empty),
                         pa.array(k2, mask=empty),
+                        pa.array(values, pa.binary()),
                         pa.array(rows, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "k1", "k2", "signature"],
+                    ["doc_id", "n_shingles", "k1", "k2", "bands", "signature"],
                 )
 
     return texts_of(documents).mapInArrow(sketched, SKETCH)
@@ -158,17 +178,18 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * common >= threshold * (len(a) + len(b) - common)
 
 
-def in_tiles(tiles: DataFrame, payloads: DataFrame, check: Callable, kind: type) -> DataFrame:
+def in_tiles(tiles: DataFrame, payloads: DataFrame, check: Callable) -> DataFrame:
     """Pairs (a, b) that ``check`` lets through, from tiles of bounded left sides.
 
-    ``tiles`` has tile (long), side (0 or 1), node, component. A task gets its tiles sorted, keeps
-    the left side of one tile and streams the right side past it; nodes of one component are not paired.
+    ``tiles`` has tile (long), side (0 or 1), node, component, band. A task gets its tiles sorted, keeps the
+    left side of one tile and streams the right side past it; nodes of one component are not paired. ``check``
+    gets a right payload, the left payloads as an array of bytes or a list, the rows to look at, and the band.
     """
     rows = (
         tiles.join(payloads, "node")
         .repartition("tile")
         .sortWithinPartitions("tile", "side", "node")
-        .select("tile", "side", "node", "component", "payload")
+        .select("tile", "side", "node", "component", "band", "payload")
     )
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +197,11 @@ def in_tiles(tiles: DataFrame, payloads: DataFrame, check: Callable, kind: type)
         nodes, parts, held, block = [], [], [], None
         for batch in batches:
             found: list[tuple[int, int]] = []
-            columns = [batch.column(name).to_pylist() for name in ("tile", "side", "node", "component", "payload")]
-            for at, side, node, part, payload in zip(*columns):
+            columns = [batch.column(name).to_pylist() for name in ("tile", "side", "node", "component", "band", "payload")]
+            for at, side, node, part, band, payload in zip(*columns):
                 if at != tile:
                     tile, nodes, parts, held, block = at, [], [], [], None
-                value = np.frombuffer(payload, kind)
+                value = np.frombuffer(payload, np.uint8)
                 if not side:
                     nodes.append(node)
                     parts.append(part)
@@ -188,10 +209,10 @@ def in_tiles(tiles: DataFrame, payloads: DataFrame, check: Callable, kind: type)
                     continue
                 if block is None:
                     ids, of = np.array(nodes, np.int64), np.array(parts, np.int64)
-                    block = np.stack(held) if held and kind is np.uint32 else held
-                if not len(nodes):
+                    block = np.stack(held) if len({len(x) for x in held}) == 1 else held
+                if not nodes:
                     continue
-                for row in check(value, block, np.flatnonzero((of != part) & (ids != node))):
+                for row in check(value, block, np.flatnonzero((of != part) & (ids != node)), band):
                     found.append((min(node, nodes[row]), max(node, nodes[row])))
             if found:
                 a, b = zip(*found)
@@ -200,14 +221,19 @@ def in_tiles(tiles: DataFrame, payloads: DataFrame, check: Callable, kind: type)
     return rows.mapInArrow(paired, "a bigint, b bigint").distinct()
 
 
-def by_signature(one: np.ndarray, many: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Candidates among ``rows`` that the posterior bound leaves."""
-    return rows[likely(one, many[rows])] if len(rows) else rows
+def by_signature(one: np.ndarray, many: np.ndarray, rows: np.ndarray, band: int) -> np.ndarray:
+    """Candidates among ``rows`` that the posterior bound leaves; with a band, only if it is the first they share."""
+    n = POSITIONS
+    if band > 0 and len(rows):
+        own, theirs = one[n : n + 4 * band].view(np.uint32), np.ascontiguousarray(many[rows, n : n + 4 * band]).view(np.uint32)
+        rows = rows[~(theirs == own).any(1)]
+    return rows[likely(one[:n], many[rows, :n])] if len(rows) else rows
 
 
-def by_set(one: np.ndarray, many: list[np.ndarray], rows: np.ndarray) -> list[int]:
+def by_set(one: np.ndarray, many: np.ndarray | list[np.ndarray], rows: np.ndarray, band: int) -> list[int]:
     """Candidates among ``rows`` whose whole sets are similar."""
-    return [row for row in rows if similar(one, many[row])]
+    own = one.view(np.uint64)
+    return [row for row in rows if similar(own, many[row].view(np.uint64))]
 
 
 def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
@@ -223,18 +249,18 @@ def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     turned = counted.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("other"), F.greatest("n_a", "n_b").alias("n"))
     dealt = turned.select("hub", "other", F.xxhash64("hub", F.pmod(F.xxhash64("other"), F.ceil(F.col("n") / BLOCK))).alias("tile"))
     zero = F.lit(0).cast("bigint")
-    tiles = dealt.select("tile", F.lit(0).alias("side"), F.col("hub").alias("node"), zero.alias("component")).distinct()
-    tiles = tiles.unionByName(dealt.select("tile", F.lit(1).alias("side"), F.col("other").alias("node"), (zero + 1).alias("component")))
-    found = stage(in_tiles(tiles, sets.withColumnRenamed("doc_id", "node"), by_set, np.uint64), "links")
+    tiles = dealt.select("tile", F.lit(0).alias("side"), F.col("hub").alias("node"), zero.alias("component"), F.lit(-1).alias("band")).distinct()
+    tiles = tiles.unionByName(dealt.select("tile", F.lit(1).alias("side"), F.col("other").alias("node"), (zero + 1).alias("component"), F.lit(-1).alias("band")))
+    found = stage(in_tiles(tiles, sets.withColumnRenamed("doc_id", "node"), by_set), "links")
     drop_stage(sets)
     return found
 
 
-def buckets(classes: DataFrame, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """``bucket``, ``node``, ``n`` (members) for buckets of at least two classes."""
-    width = 4 * rows
-    keys = F.array(*(F.xxhash64(F.lit(k), F.substring("signature", 1 + k * width, width)) for k in range(bands)))
-    members = classes.select("node", F.explode(keys).alias("bucket"))
+def buckets(classes: DataFrame, bands: int = BANDS) -> DataFrame:
+    """``bucket`` (its band in the highest bits), ``node``, ``n`` (members) for buckets of at least two classes."""
+    keys = F.array(*(F.xxhash64(F.lit(k), F.substring("bands", 1 + 4 * k, 4)) for k in range(bands)))
+    members = classes.select("node", F.posexplode(keys).alias("band", "key")).withColumn("band", F.col("band").cast("bigint"))
+    members = members.select("node", F.shiftleft("band", 56).bitwiseOR(F.shiftrightunsigned("key", 8)).alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return members.join(sizes, "bucket")
 
@@ -258,7 +284,7 @@ def led_pairs(members: DataFrame, popular: DataFrame, signed: DataFrame) -> Data
     dealt = pairs.join(sizes, "hub").withColumn("tile", F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("blocks"))))
     hubs = dealt.select("tile", F.lit(0).alias("side"), F.col("hub").alias("node"), F.col("hub_component").alias("component")).distinct()
     others = dealt.select("tile", F.lit(1).alias("side"), "node", "component")
-    return in_tiles(hubs.unionByName(others), signed, by_signature, np.uint32)
+    return in_tiles(hubs.unionByName(others).withColumn("band", F.lit(-1)), signed, by_signature)
 
 
 def crossing_pairs(members: DataFrame, signed: DataFrame) -> DataFrame:
@@ -279,7 +305,8 @@ def crossing_pairs(members: DataFrame, signed: DataFrame) -> DataFrame:
     right = rows.select(
         "bucket", upto("rest").alias("left"), F.when(F.col("main"), own("most")).otherwise(-1 - own("rest")).alias("right"), F.lit(1).alias("side"), "node", "component"
     )
-    return in_tiles(left.unionByName(right).select(tile.alias("tile"), "side", "node", "component"), signed, by_signature, np.uint32)
+    band = F.shiftright("bucket", 56).cast("int").alias("band")
+    return in_tiles(left.unionByName(right).select(tile.alias("tile"), "side", "node", "component", band), signed, by_signature)
 
 
 def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -305,9 +332,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     or none. A row without doc_id is kept and linked with nothing. An empty table gives an empty result.
     """
     sketches = stage(sketch(documents), "sketches")
-    classes = sketches.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.min_by("signature", "doc_id").alias("signature"))
+    classes = sketches.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "signature"), "doc_id").alias("s")).select("k1", "k2", "node", "s.bands", "s.signature")
     classes = stage(classes, "classes")
-    signed = classes.select("node", F.col("signature").alias("payload"))
+    signed = classes.select("node", F.concat("signature", "bands").alias("payload"))
     members = stage(buckets(classes), "buckets")
     popular = stage(members.groupBy("node").agg(F.sum("n").alias("popularity")), "popular")
 
@@ -334,5 +361,4 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """``documents`` with one document of each group of near-duplicates: the one with the smallest doc_id."""
-    gone = near_duplicates(documents).where("not kept").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+    return without(documents, near_duplicates(documents).where("not kept"), "doc_id")

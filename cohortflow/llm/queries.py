@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import bpe, minhash, packing
+from cohortflow.llm import bpe, langid, linedup, lm, minhash, packing, simhash, topk, urlfilter, warc
 from cohortflow.llm.common import table, texts_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,48 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text, of its edited text, and their likeness."""
+    return simhash.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, and whether it is accepted."""
+    documents = table(spark, sf_dir, "documents")
+    return langid.identify(langid.document_evidence(documents), langid.train(documents), ["doc_id"])
+
+
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, by text, markup, address and host; the text model comes from documents."""
+    model = langid.train(table(spark, sf_dir, "documents"))
+    return langid.identify(langid.page_evidence(table(spark, sf_dir, "pages")), model, ["page_id"])
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's address."""
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.archive_roundtrip(spark, table(spark, sf_dir, "pages"))
+
+
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates."""
+    return linedup.drop_recurring_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -37,6 +79,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_bpe_roundtrip": op2_bpe_roundtrip,
+    "op3_exact_topk": op3_exact_topk,
+    "op4_simhash": op4_simhash,
+    "op5_language_id": op5_language_id,
+    "page_languages": page_languages,
+    "op6_url_filter": op6_url_filter,
+    "op7_warc_roundtrip": op7_warc_roundtrip,
+    "op8_lm_scores": op8_lm_scores,
+    "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
