@@ -152,7 +152,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fallback: str = "al
     so that there is nothing to learn. Repeated rows are judged each. An empty table gives an empty result.
     """
     rows = with_parts(pages.select("page_id", "url"))
-    rows = rows.withColumn("rule", matching_rule(rules))
+    rows = stage(rows.withColumn("rule", matching_rule(rules)), "parts")  # its long expressions are not repeated below
     verdicts = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(r.verdict)) for r in rules), F.lit(None).cast("string"))
     rows = rows.withColumn("given", verdicts)
     label = F.when(F.col("given").isNotNull(), (F.col("given") == "block").cast("double"))
