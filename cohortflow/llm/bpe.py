@@ -19,6 +19,7 @@ import os
 import re
 import struct
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -36,10 +37,14 @@ from cohortflow.llm.common import list_column, slices
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Above this code point Unicode versions of the libraries differ in some classes.
 LAST_AGREED = "՗"
+# A letter-only chunk is one word; with one of these at its end it is two.
+MARKS = frozenset(".,;:!?")
 LEXICON_WORDS = 65_536
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 200_000
 COUNT_WORDS = 200_000
 HEAP_LENGTH = 64
+WIDTH = 1 << 24
+NONE = 1 << 60
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -60,7 +65,11 @@ class Vocabulary:
         self.path = path
         self.ids = {as_bytes(token): i for token, i in spec["model"]["vocab"].items()}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.ranks = {(as_bytes(a), as_bytes(b)): rank for rank, (a, b) in enumerate(pairs)}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        #: Id that a merge makes, by rank; rank of a pair of ids, as left * WIDTH + right.
+        self.made = [self.ids[as_bytes(a + b)] for a, b in pairs]
+        self.ranks = {self.ids[as_bytes(a)] * WIDTH + self.ids[as_bytes(b)]: rank for rank, (a, b) in enumerate(pairs)}
+        self.bytes = [self.ids[bytes([b])] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = 1 + max([*self.ids.values(), *self.special.values()])
         self.pieces: list[bytes] = [b""] * size
@@ -72,50 +81,47 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank is merged, leftmost first, until none is left."""
-        parts = self._merged_short(word) if len(word) <= HEAP_LENGTH else self._merged_long(word)
-        return [self.ids[part] for part in parts]
+        return self._merged_short(word) if len(word) <= HEAP_LENGTH else self._merged_long(word)
 
-    def _merged_short(self, word: bytes) -> list[bytes]:
-        parts = [word[i : i + 1] for i in range(len(word))]
+    def _merged_short(self, word: bytes) -> list[int]:
+        parts = list(map(self.bytes.__getitem__, word))
         rank = self.ranks.get
-        found = [rank(pair) for pair in zip(parts, parts[1:])]
-        while found:
-            best = min((r for r in found if r is not None), default=None)
-            if best is None:
-                break
+        found = [rank(a * WIDTH + b, NONE) for a, b in zip(parts, parts[1:])]
+        while found and (best := min(found)) != NONE:
             at = found.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at : at + 2] = [self.made[best]]
             del found[at]
             if at:
-                found[at - 1] = rank((parts[at - 1], parts[at]))
+                found[at - 1] = rank(parts[at - 1] * WIDTH + parts[at], NONE)
             if at < len(found):
-                found[at] = rank((parts[at], parts[at + 1]))
+                found[at] = rank(parts[at] * WIDTH + parts[at + 1], NONE)
         return parts
 
-    def _merged_long(self, word: bytes) -> list[bytes]:
+    def _merged_long(self, word: bytes) -> list[int]:
         """The same with a heap of pairs over a linked list: a word of n bytes takes n log n."""
-        parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
+        parts = list(map(self.bytes.__getitem__, word))
         after = [*range(1, len(parts)), -1]
         before = [*range(-1, len(parts) - 1)]
-        heap = [
-            (r, i, parts[i], parts[i + 1])
-            for i in range(len(parts) - 1)
-            if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None
-        ]
-        heapq.heapify(heap)
+        heap: list[tuple[int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if i >= 0 and j >= 0 and (r := self.ranks.get(parts[i] * WIDTH + parts[j])) is not None:
+                heapq.heappush(heap, (r, i, parts[i] * WIDTH + parts[j]))
+
+        for i in range(len(parts) - 1):
+            offer(i, i + 1)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i] if parts[i] is not None else -1
-            if j < 0 or parts[i] != left or parts[j] != right:
+            r, i, pair = heapq.heappop(heap)
+            j = after[i] if parts[i] >= 0 else -1
+            if j < 0 or parts[i] * WIDTH + parts[j] != pair:
                 continue
-            parts[i], parts[j] = left + right, None
+            parts[i], parts[j] = self.made[r], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (r := self.ranks.get((parts[a], parts[b]))) is not None:
-                    heapq.heappush(heap, (r, a, parts[a], parts[b]))
-        return [part for part in parts if part is not None]
+            offer(before[i], i)
+            offer(i, after[i])
+        return [part for part in parts if part >= 0]
 
 
 @lru_cache(maxsize=4)
@@ -145,6 +151,12 @@ class WordSplitter:
         self.path = path
 
     def __call__(self, text: str) -> list[str]:
+        body = text[1:] if text[:1] == " " else text
+        if body.isalpha():
+            if not self.beyond(body):
+                return [text]
+        elif body[-1:] in MARKS and body[:-1].isalpha() and not self.beyond(body):
+            return [text[:-1], body[-1]]
         if self.beyond(text):
             cut = library_tokenizer(self.path).pre_tokenizer.pre_tokenize_str(text)
             return [text[start:end] for _, (start, end) in cut]
@@ -156,19 +168,21 @@ class Unsplittable(Exception):
 
 
 class Memo(dict):
-    """Ids of space-separated chunks, made when first asked for; emptied when it has grown to ``limit``."""
+    """Values made when first asked for. When it holds ``limit``, what is not asked for until it has filled again goes."""
 
-    def __init__(self, make: Callable[[str], bytes], lead: str, limit: int):
+    def __init__(self, make: Callable[[str], bytes], limit: int):
         super().__init__()
-        self.make, self.lead, self.limit = make, lead, limit
+        self.make, self.limit, self.old = make, limit, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        if (not chunk and self.lead) or (chunk and (chunk[0].isspace() or chunk[-1].isspace())):
-            raise Unsplittable
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        self[chunk] = ids = self.make(self.lead + chunk)
-        return ids
+        self[key] = value
+        return value
 
 
 class Encoder:
@@ -181,8 +195,18 @@ class Encoder:
     def __init__(self, path: str, piece: Callable[[str], bytes], memo: int = MEMO_CHUNKS):
         self.vocabulary = vocabulary(path)
         self.piece = piece
-        self.chunks = Memo(piece, " ", memo)
-        self.heads = Memo(piece, "", memo // 8 + 1)
+        self.chunks = Memo(self.chunk, memo)
+        self.heads = Memo(self.head, memo // 8 + 1)
+
+    def chunk(self, text: str) -> bytes:
+        if not text or text[0].isspace() or text[-1].isspace():
+            raise Unsplittable
+        return self.piece(" " + text)
+
+    def head(self, text: str) -> bytes:
+        if text and (text[0].isspace() or text[-1].isspace()):
+            raise Unsplittable
+        return self.piece(text)
 
     def __call__(self, text: str) -> bytes:
         special = self.vocabulary.special
@@ -205,16 +229,15 @@ def library_encoder(path: str) -> Encoder:
     import tiktoken
 
     words = vocabulary(path)
-    ordered = [words.ids[a + b] for a, b in words.ranks]
     beyond = re.compile(f"[^\\x00-{LAST_AGREED}]").search
     tokenizer = library_tokenizer(path)
-    if ordered != sorted(ordered):
-        return Encoder(path, lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+    if words.made != sorted(words.made):
+        return Encoder(path, lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
     fast = tiktoken.Encoding("byte-level", pat_str=WORDS, mergeable_ranks=words.ids, special_tokens={}).encode_ordinary
 
     def piece(text: str) -> bytes:
         ids = tokenizer.encode(text, add_special_tokens=False).ids if beyond(text) else fast(text)
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes()
 
     return Encoder(path, piece)
 
@@ -309,22 +332,16 @@ class WordCoder:
     """Ids of a text: each word from the lexicon if it is there, by exact merges if not."""
 
     def __init__(self, path: str, lexicon: Lexicon | None, memo: int = MEMO_CHUNKS):
-        self.split, self.vocabulary, self.lexicon, self.memo = WordSplitter(path), vocabulary(path), lexicon, memo
-        self.merged: dict[bytes, bytes] = {}
+        self.split, self.merge, self.lexicon = WordSplitter(path), vocabulary(path).merge, lexicon
+        self.words = Memo(self.word, memo)
 
     def word(self, text: str) -> bytes:
         word = text.encode("utf-8")
         ids = self.lexicon.get(word) if self.lexicon else None
-        if ids is None:
-            ids = self.merged.get(word)
-            if ids is None:
-                if len(self.merged) >= self.memo:
-                    self.merged.clear()
-                self.merged[word] = ids = np.array(self.vocabulary.merge(word), "<u4").tobytes()
-        return ids
+        return array("I", self.merge(word)).tobytes() if ids is None else ids
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.word, self.split(text)))
+        return b"".join(map(self.words.__getitem__, self.split(text)))
 
 
 @lru_cache(maxsize=2)
@@ -377,7 +394,7 @@ def ship_lexicon(df: DataFrame, path: str, text: str = "text", words: int = LEXI
     merge = vocabulary(path).merge
     compiled = compile_lexicon((w, merge(w)) for w in (row.word.encode("utf-8") for row in top))
     name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}.bin"
-    local = os.path.join(tempfile.mkdtemp(), name)
+    local = os.path.join(tempfile.gettempdir(), name)  # one path for one content, as addFile wants it
     with open(local, "wb") as f:
         f.write(compiled)
     spark.sparkContext.addFile(local)
