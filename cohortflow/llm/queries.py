@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.llm import bpe, langid, linedup, lm, minhash, packing, simhash, topk, urlfilter, warc
-from cohortflow.llm.common import table, texts_of
+from cohortflow.llm.common import stage, table, texts_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -39,6 +39,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_likeness(table(spark, sf_dir, "documents"))
 
 
+def simhash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every fiftieth document, how many different fingerprints lie within the radius, its own included."""
+    documents = table(spark, sf_dir, "documents").where("doc_id is not null")
+    marks = stage(simhash.fingerprints(documents, ["doc_id"], "text"), "marks")
+    asked = marks.where(F.col("doc_id") % 50 == 0)
+    found = simhash.neighbours(asked, marks).groupBy("query").agg(F.count(F.lit(1)).alias("n_near"), F.max("distance").alias("farthest"))
+    return asked.join(found, asked["fingerprint"] == found["query"]).select("doc_id", "fingerprint", "n_near", "farthest")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, and whether it is accepted."""
     documents = table(spark, sf_dir, "documents")
@@ -81,6 +90,7 @@ QUERIES = {
     "op2_bpe_roundtrip": op2_bpe_roundtrip,
     "op3_exact_topk": op3_exact_topk,
     "op4_simhash": op4_simhash,
+    "simhash_search": simhash_search,
     "op5_language_id": op5_language_id,
     "page_languages": page_languages,
     "op6_url_filter": op6_url_filter,

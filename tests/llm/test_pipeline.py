@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from cohortflow.llm import minhash
-from tests.llm.test_llm import DOCS, brute_components, check_packing, edited, prose
+from test_llm import DOCS, brute_components, check_packing, edited, prose
 
 
 @pytest.fixture(scope="module")
