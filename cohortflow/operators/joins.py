@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scores import percentage
 from .sequence import RETURN_WINDOW_DAYS, is_return
-from .skew import salted_join
+from .skew import hot_keys, salted_join
 
 
 def combine_features(tables: Sequence[DataFrame], key: str) -> DataFrame:
@@ -29,12 +29,14 @@ def enrich(
 
     ``rows`` is unique per ``row_key``, so those joins cannot be skewed and share one
     partitioning. Subject tables are first combined among themselves; the rows then
-    meet them in a single join that splits hot subjects.
+    meet them in a single join that splits hot subjects. Those are counted on ``rows``, which
+    has the same subjects as the joined rows, so the joins run once.
     """
     out = reduce(lambda a, b: a.join(b, row_key, "left"), by_row, rows)
     if by_subject:
         wide = combine_features(by_subject, subject_key)
-        out = salted_join(out, wide, [subject_key], "left", spread=[row_key], **skew)
+        hot = hot_keys(rows, [subject_key], **skew)
+        out = salted_join(out, wide, [subject_key], "left", spread=[row_key], hot=hot)
     return out
 
 

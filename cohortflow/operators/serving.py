@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -207,27 +207,24 @@ def dashboard_totals(
     )
 
 
-SNAPSHOT_LIMITS = {
-    "clinicalMetrics": 500,
-    "demographics": 500,
-    "careGaps": 250,
-    "comorbidityPairs": 50,
-    "returnGaps": 20,
-    "diseaseRankings": 500,
-    "audit": 50,
-}
+#: Rows of the sections that grow with the population. Sections of aggregates are written whole.
+SNAPSHOT_LIMITS = {"careGaps": 250, "comorbidityPairs": 50, "audit": 50}
 PATIENTS_PER_BAND = 250
 
 
-def snapshot_sections(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Bounded serving sections from the population tables that exist.
+def snapshot_sections(
+    tables: dict[str, DataFrame],
+    limits: Mapping[str, int] = SNAPSHOT_LIMITS,
+    patients_per_band: int | None = PATIENTS_PER_BAND,
+) -> dict[str, DataFrame]:
+    """Serving sections from the population tables that exist.
 
     Expects any of ``metrics, demographics, patient_360, care_gaps, pairs, return_gaps,
-    rankings, audit``.
+    rankings, audit``. ``limits`` holds the top rows of a section; a section without a limit
+    is whole, and so is the patients' with ``patients_per_band`` None.
     """
-    limits = SNAPSHOT_LIMITS
     heads = {
-        "clinicalMetrics": ("metrics", [F.col("condition_name")]),
+        "clinicalMetrics": ("metrics", [F.col("total_encounters").desc(), F.col("condition_name")]),
         "demographics": ("demographics", ["race", "gender", "age_group"]),
         "careGaps": ("care_gaps", [F.col("readmission_risk_score").desc(), "patient_id"]),
         "comorbidityPairs": (
@@ -239,10 +236,12 @@ def snapshot_sections(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "audit": ("audit", [F.col("execution_timestamp").desc(), F.col("batch_id").desc()]),
     }
     sections = {
-        name: top_k(tables[table], order, limits[name])
+        name: top_k(tables[table], order, limits[name]) if name in limits else tables[table].orderBy(*order)
         for name, (table, order) in heads.items()
         if tables.get(table) is not None
     }
     if tables.get("patient_360") is not None:
-        sections["patient360"] = balanced_top_n(tables["patient_360"], n=PATIENTS_PER_BAND)
+        people = tables["patient_360"]
+        whole = patients_per_band is None
+        sections["patient360"] = people if whole else balanced_top_n(people, n=patients_per_band)
     return sections

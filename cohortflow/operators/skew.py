@@ -8,6 +8,7 @@ table (and only that table) safe to broadcast whatever the size of the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -53,22 +54,29 @@ def salted_join(
     spread: Sequence[str] | None = None,
     share: float = HOT_SHARE,
     min_rows: int = MIN_HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that splits the left side's hot keys over many tasks.
 
     Left rows of a hot key are dealt to pieces by a hash of ``spread`` (stable, so a
     re-run task deals them the same way); the right rows of those few keys are copied
-    to each piece. Left rows are kept, dropped or repeated exactly as in a plain
+    to each piece. Rows with a NULL key match nothing and are dealt by that hash alone, however
+    many they are. ``hot`` gives the hot keys where a cheaper frame than ``left`` tells
+    them. Left rows are kept, dropped or repeated exactly as in a plain
     ``inner`` / ``left`` / ``left_semi`` / ``left_anti`` join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
     keys = list(keys)
     spread = list(spread or [c for c, t in left.dtypes if not t.startswith("map")])
-    hot = hot_keys(left, keys, share, min_rows)
+    hot = hot_keys(left, keys, share, min_rows) if hot is None else hot
+    hashed = F.xxhash64(*spread)
+    unmatched = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     dealt = mark_hot(left, keys, hot).withColumn(
         SALT,
-        F.coalesce(F.pmod(F.xxhash64(*spread), F.col(PIECES)).cast("int"), F.lit(0)),
+        F.when(unmatched, F.pmod(hashed, F.lit(1 << 30)).cast("int")).otherwise(
+            F.coalesce(F.pmod(hashed, F.col(PIECES)).cast("int"), F.lit(0))
+        ),
     )
     copied = mark_hot(right, keys, hot).withColumn(
         SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1))

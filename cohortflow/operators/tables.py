@@ -49,10 +49,13 @@ def upsert_if_newer(
 
 
 def current_rows(
-    log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("loaded_at", "batch_id")
+    log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("loaded_at", "batch_id", "run_id")
 ) -> DataFrame:
-    """Current state of an append-only table: the last load of each key wins."""
-    return latest_per_key(log, keys, order)
+    """Current state of an append-only table: the last load of each key wins.
+
+    Loads of two runs at one time are told apart by ``run_id``, where the table has it.
+    """
+    return latest_per_key(log, keys, [c for c in order if c != "run_id" or c in log.columns])
 
 
 def state_updates(silver: DataFrame, key: str = "patient_id") -> DataFrame:

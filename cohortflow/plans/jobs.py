@@ -120,7 +120,8 @@ def refresh_domain_silver(
 def refresh_features(spark: SparkSession, silver: str, root: str, version: int) -> list[str]:
     """Upsert feature tables from domain Silver into a new version of each.
 
-    Rows that vanish upstream stay; only keys the source holds are replaced.
+    Rows that vanish upstream stay; only keys the source holds are replaced. Earlier rows come from
+    versions below ``version``, so a repeated call gives the same tables.
     """
     raw = {}
     for domain, fields in DOMAIN_FIELDS.items():
@@ -129,7 +130,7 @@ def refresh_features(spark: SparkSession, silver: str, root: str, version: int)
             raw[domain] = project_payload(table, fields)
     frames = feature_frames(raw)
     for name, frame in frames.items():
-        earlier = read_version(spark, f"{root}/{name}")
+        earlier = read_version(spark, f"{root}/{name}", below=version)
         merged = frame if earlier is None else merge_upsert(
             earlier, frame, FEATURE_KEYS[name], null_safe=True
         )
@@ -237,7 +238,7 @@ def refresh_feed(
     spark = bronze.sparkSession
     flags, rules, topic, summaries = FEEDS[feed]
     checked = f"{root}/checked"
-    before = read_version(spark, checked)
+    before = read_version(spark, checked, below=version)
     known = before.where("validation_error is not null") if before is not None else None
     place = ["kafka_topic", "kafka_partition", "kafka_offset"]
 

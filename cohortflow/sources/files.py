@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Mapping, Sequence
 
@@ -12,10 +13,25 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT = "_corrupt_record"
 
 # Column names of the patient file.
-PATIENT_FIELDS = (
-    "ID BIRTHDATE DEATHDATE SSN DRIVERS PASSPORT PREFIX FIRST LAST SUFFIX MAIDEN "
-    "MARITAL RACE ETHNICITY GENDER BIRTHPLACE ADDRESS"
-).split()
+PATIENT_FIELDS = [
+    "ID",
+    "BIRTHDATE",
+    "DEATHDATE",
+    "SSN",
+    "DRIVERS",
+    "PASSPORT",
+    "PREFIX",
+    "FIRST",
+    "LAST",
+    "SUFFIX",
+    "MAIDEN",
+    "MARITAL",
+    "RACE",
+    "ETHNICITY",
+    "GENDER",
+    "BIRTHPLACE",
+    "ADDRESS",
+]
 
 
 def text_schema(fields: Sequence[str]) -> StructType:
@@ -39,11 +55,14 @@ def load_if_present(reader: DataFrameReader, path: str, fmt: str) -> DataFrame |
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in a local test session, a temporary
-    folder is made, once, and set as the session's checkpoint folder.
+    Only in a local session where ``spark.checkpoint.dir`` is unset, as in tests, a temporary
+    folder is made, once, and set as the session's checkpoint folder. On a cluster an unset
+    folder is an error: executors would each write to a disk of their own.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not named:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortflow-"))
         named = context.getCheckpointDir()
@@ -132,17 +151,25 @@ def write_partitioned(
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Write a table as a new version next to the old ones, which ``df`` may read."""
+    """Write a table as a version next to older ones, which ``df`` may read.
+
+    ``df`` must not read the version itself: a retry replaces what the first try left of it.
+    """
     df.write.mode("overwrite").parquet(f"{path}/version={int(version)}")
 
 
-def read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """The latest version of a table; the other versions' folders are pruned."""
+def read_version(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
+    """The latest version of a table, or the latest one below ``below``, with its own schema.
+
+    A job that writes version n reads versions below n, so its retry sees what its first try saw.
+    """
     versions = read_optional(spark, path)
     if versions is None:
         return None
-    latest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == latest).drop("version")
+    if below is not None:
+        versions = versions.where(F.col("version") < below)
+    latest = versions.agg(F.max("version").alias("v")).first()["v"]
+    return None if latest is None else spark.read.parquet(f"{path}/version={latest}")
 
 
 def register_views(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet") -> list[str]:

@@ -27,9 +27,9 @@ def next_cursor(part: DataFrame, key: str, source: str, now: Column) -> DataFram
     )
 
 
-def load_cursors(spark: SparkSession, path: str) -> DataFrame:
-    """Cursors of all sources: one small table, its latest version."""
-    cursors = read_version(spark, path)
+def load_cursors(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
+    """Cursors of all sources: one small table, its latest version or the latest below ``below``."""
+    cursors = read_version(spark, path, below)
     return spark.createDataFrame([], CURSOR_SCHEMA) if cursors is None else cursors
 
 
@@ -39,6 +39,11 @@ def cursor_of(cursors: DataFrame, source: str, default: int = 0) -> int:
 
 
 def save_cursors(cursors: DataFrame, changed: DataFrame, path: str, version: int) -> None:
-    """Write the merged cursors as a new version; the old one is never overwritten."""
+    """Write the merged cursors as a new version; the old one is never overwritten.
+
+    Cursors that were read from this very version, as by a retry, are read anew from below it.
+    """
+    if any(f"/version={int(version)}/" in file for file in cursors.inputFiles()):
+        cursors = load_cursors(changed.sparkSession, path, below=version)
     merged = merge_upsert(cursors, changed, ["source_name"])
     write_version(merged.coalesce(1), path, version)

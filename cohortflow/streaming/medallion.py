@@ -89,7 +89,7 @@ def with_lineage(df: DataFrame, now: Column) -> DataFrame:
 
 def silver_now(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """Silver as of all loads so far: the last load of each encounter."""
-    log = read_optional(spark, tables.silver)
+    log = read_optional(spark, tables.silver, merge_schema=True)
     if log is None:
         return None
     return current_rows(log.where(F.col("verdict") == CLEAN).drop("verdict"), ["encounter_id"])
@@ -98,8 +98,8 @@ def silver_now(spark: SparkSession, tables: Tables) -> DataFrame | None:
 def quarantine_now(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """All rejected rows: raw failures, and rows the clinical gate turned away."""
     parts = []
-    raw = read_optional(spark, tables.quarantine)
-    gated = read_optional(spark, tables.silver)
+    raw = read_optional(spark, tables.quarantine, merge_schema=True)
+    gated = read_optional(spark, tables.silver, merge_schema=True)
     common = ["encounter_id", "patient_id", "admission_date", "quarantine_reason", "quality_stage"]
     if raw is not None:
         parts.append(raw.select(*common))
@@ -122,7 +122,8 @@ def state_of(log: DataFrame | None, only: DataFrame | None = None) -> DataFrame
         return None
     if only is not None:
         log = log.join(only, "patient_id", "left_semi")
-    return latest_per_key(log, ["patient_id"], ["last_admission_date", "loaded_at", "batch_id"])
+    order = ["last_admission_date", "loaded_at", "batch_id", "run_id"]
+    return latest_per_key(log, ["patient_id"], [c for c in order if c != "run_id" or c in log.columns])
 
 
 def tag_raw(bronze: DataFrame, patients: DataFrame | None, now: Column) -> DataFrame:
@@ -142,7 +143,8 @@ def process_batch(
 ) -> None:
     """Run one micro-batch; safe to repeat.
 
-    Bronze is written first and read back, so nothing later depends on cached blocks or
+    Files in the ledger are skipped before anything is written, so Bronze holds no file twice. What
+    is left is written to Bronze and read back, so nothing later depends on cached blocks or
     re-reads the source. The ledger and the audit come last: a batch that died half-way
     is not in the ledger, and its retry overwrites what it left.
     """
@@ -153,16 +155,18 @@ def process_batch(
     stamp = F.lit(now or started)
 
     by_file = "source_file" in batch.columns
-    load.write(with_lineage(batch, stamp), tables.bronze)
-    landed = load.own(spark, tables.bronze)
-    total = landed.count()
+    seen = load.earlier(spark, tables.ledger) if by_file else None
+    came = batch.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count_distinct("source_file") if by_file else F.lit(0)).alias("files"),
+    ).first()
+    total, files = came["n"], came["files"]
     if total == 0:
         return
-    files = landed.select("source_file").distinct().count() if by_file else 0
-
-    seen = load.earlier(spark, tables.ledger) if by_file else None
-    fresh = skip_seen(landed, seen, "source_file", "file_name") if seen is not None else landed
-    fresh_count = fresh.count() if seen is not None else total
+    unseen = skip_seen(batch, seen, "source_file", "file_name") if seen is not None else batch
+    load.write(with_lineage(unseen, stamp), tables.bronze)
+    fresh = load.own(spark, tables.bronze)
+    fresh_count = fresh.count()
     metrics = {
         "source_records_read": total,
         "silver_records_written": 0,

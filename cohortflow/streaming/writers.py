@@ -56,7 +56,7 @@ class Load:
         return read_optional(spark, self.folder(table))
 
     def earlier(self, spark: SparkSession, table: str) -> DataFrame | None:
-        rows = read_optional(spark, table)
+        rows = read_optional(spark, table, merge_schema=True)
         if rows is None:
             return None
         mine = (F.col("run_id") == self.run_id) & (F.col("batch_id") == self.batch_id)
@@ -64,5 +64,11 @@ class Load:
 
 
 def run_id_of(spark: SparkSession) -> str:
-    """Id of the running streaming query: the same after a restart from its checkpoint."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    """Id of the running streaming query: the same after a restart from its checkpoint.
+
+    Outside a stream there is none; two batches under one made-up id would overwrite each other.
+    """
+    run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run_id:
+        raise ValueError("give a run_id: this is not a streaming query")
+    return run_id

@@ -115,6 +115,23 @@ def vital(i, **body):
     return ("vitals", 0, i, datetime(2026, 1, 1), "p1", json.dumps(event))
 
 
+def test_a_repeated_feature_refresh_loses_nothing(spark, tmp_path):
+    silver, root = str(tmp_path / "silver"), str(tmp_path / "features")
+
+    def land(rows_):
+        payload = F.map_from_arrays(F.array(F.lit("ID"), F.lit("BIRTHDATE")), F.array("id", F.lit("1970-01-01")))
+        frame = spark.createDataFrame(rows_, "id string").select(payload.alias("payload"))
+        frame.write.mode("overwrite").parquet(f"{silver}/patients")
+
+    land([("p1",), ("p2",)])
+    jobs.refresh_features(spark, silver, root, 0)
+    land([("p2",), ("p3",)])
+    for _ in range(2):
+        jobs.refresh_features(spark, silver, root, 1)
+        kept = read_version(spark, f"{root}/patients")
+        assert sorted(r.patient_id for r in kept.select("patient_id").collect()) == ["p1", "p2", "p3"]
+
+
 def test_live_feed_from_stream_to_summaries(spark, tmp_path):
     source, bronze, root = (str(tmp_path / n) for n in ("log", "bronze", "feed"))
 

@@ -42,6 +42,29 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
     )
 
 
+def test_rows_without_a_key_are_dealt_over_the_tasks(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 100 == 0, F.col("id")).alias("key"))
+    right = spark.range(50).withColumnRenamed("id", "key").withColumn("v", F.lit(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = salted_join(df, right, ["key"], "left", spread=["id"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 4000 and max(sizes) < 2 * 4000 / 4
+
+
+def test_enrich_joins_each_table_once(spark):
+    df = spark.createDataFrame([("e", "p")], "encounter_id string, patient_id string")
+    a = spark.createDataFrame([("e", 1)], "encounter_id string, a int")
+    b = spark.createDataFrame([("p", 1)], "patient_id string, b int")
+    plan = enrich(df, [a, a.withColumnRenamed("a", "c")], [b])._jdf.queryExecution().optimizedPlan().toString()
+    # Two row tables, one subject table, and the hot subjects at either side of its join.
+    assert plan.count("Join ") == 5
+
+
 def test_salted_join_rejects_other_kinds(skewed):
     with pytest.raises(ValueError):
         salted_join(skewed, skewed, ["key"], "full")

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -13,11 +14,13 @@ from cohortflow.sources.files import (
     read_csv_upper,
     read_csv_with_quarantine,
     read_optional,
+    read_version,
     register_views,
     replace_table,
     text_schema,
     work_dir,
     write_partitioned,
+    write_version,
 )
 from cohortflow.sources.logs import LOG_SCHEMA, log_stream, parse_encounter_log, write_log
 from cohortflow.sources.snapshot import write_snapshot
@@ -76,8 +79,9 @@ def test_partitioned_write_replaces_touched_partitions_only(spark, tmp_path):
 class Session:
     """Stands in for a session with or without a named checkpoint folder."""
 
-    def __init__(self, named):
+    def __init__(self, named, master="local[2]"):
         self.conf, self.sparkContext, self.made = {"spark.checkpoint.dir": named}, self, None
+        self.master = master
 
     def getCheckpointDir(self):
         return self.made
@@ -93,6 +97,22 @@ def test_work_dir_is_the_named_folder_or_one_made_once():
     assert work_dir(unnamed) == unnamed.made == work_dir(unnamed)
 
 
+def test_no_local_folder_is_made_on_a_cluster():
+    cluster = Session(None, "spark://host:7077")
+    with pytest.raises(ValueError):
+        work_dir(cluster)
+    assert cluster.made is None
+
+
+def test_a_version_is_read_with_its_own_schema_and_from_below_another(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_version(spark.createDataFrame([(1,)], "a int"), path, 0)
+    write_version(spark.createDataFrame([(1, 2)], "a int, b int"), path, 1)
+    assert rows(read_version(spark, path)) == [(1, 2)]
+    assert rows(read_version(spark, path, below=1)) == [(1,)]
+    assert read_version(spark, path, below=0) is None
+
+
 def record(value, offset):
     return ("t", 0, offset, datetime(2026, 1, 1), "k", value if isinstance(value, str) else json.dumps(value))
 
