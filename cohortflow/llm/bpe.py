@@ -22,7 +22,7 @@ import tempfile
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +64,6 @@ class Vocabulary:
         as_bytes = lambda token: bytes(alphabet[c] for c in token)
         self.path = path
         self.ids = {as_bytes(token): i for token, i in spec["model"]["vocab"].items()}
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         #: Id that a merge makes, by rank; rank of a pair of ids, as left * WIDTH + right.
         self.made = [self.ids[as_bytes(a + b)] for a, b in pairs]
@@ -79,6 +78,17 @@ class Vocabulary:
             self.pieces[i] = content.encode()
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
+    @cached_property
+    def ranked(self) -> bool:
+        """Whether merging any two neighbours that make up a token, smallest id first, is the same as the listed merges.
+
+        It is if ids grow with ranks, no merge uses a part made after it, and every token's own bytes merge into it:
+        then merges come in the order of their ranks, and the bytes of a token stand as its listed pair before they join.
+        """
+        if self.made != sorted(set(self.made)) or any(max(divmod(pair, WIDTH)) >= self.made[rank] for pair, rank in self.ranks.items()):
+            return False
+        return set(self.made) | set(self.bytes) == set(self.ids.values()) and all(self.merge(token) == [i] for token, i in self.ids.items())
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the pair of lowest rank is merged, leftmost first, until none is left."""
         return self._merged_short(word) if len(word) <= HEAP_LENGTH else self._merged_long(word)
@@ -178,11 +188,15 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
+        self.put([key], [value])
+        return value
+
+    def put(self, keys: list[str], values: list[bytes]) -> None:
+        """Hold these values too."""
+        if len(self) + len(keys) > self.limit:
             self.old = dict(self)
             self.clear()
-        self[key] = value
-        return value
+        self.update(zip(keys, values))
 
 
 class Encoder:
@@ -208,6 +222,14 @@ class Encoder:
             raise Unsplittable
         return self.piece(text)
 
+    def prepare(self, texts: list[str], all: Callable[[list[str]], list[bytes]]) -> None:
+        """Encode what is new in ``texts`` at once; what is still asked for later is encoded then."""
+        asked = set().union(*(text.split(" ") for text in texts)).difference(self.chunks)
+        again = [text for text in asked if text in self.chunks.old]
+        new = [text for text in asked.difference(again) if text and not text[0].isspace() and not text[-1].isspace()]
+        values = [*map(self.chunks.old.__getitem__, again), *all([" " + text for text in new])]
+        self.chunks.put(again + new, values)
+
     def __call__(self, text: str) -> bytes:
         special = self.vocabulary.special
         if self.vocabulary.cut and any(content in text for content in special):
@@ -276,78 +298,115 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
         path[-1][1].append((last[len(path) - 1], close(final, arcs)))
     root = close(*path[0])
 
-    first, labels, targets, skipped = [0], bytearray(), [], []
-    for final, arcs in states:
+    first, keys, targets, skipped = [0], [], [], []
+    for state, (final, arcs) in enumerate(states):
         seen = int(final)
         for label, target in arcs:
-            labels.append(label)
+            keys.append(state << 8 | label)
             targets.append(target)
             skipped.append(seen)
             seen += words_below[target]
-        first.append(len(labels))
+        first.append(len(keys))
     ids = [i for _, row in entries for i in row]
     starts = np.cumsum([0, *(len(row) for _, row in entries)])
-    header = struct.pack("<5I", root, len(states), len(labels), len(entries), len(ids))
-    numbers = [np.array(x, "<u4").tobytes() for x in (first, targets, skipped, starts, ids)]
-    finals = bytes(final for final, _ in states)
-    return header + b"".join(numbers) + finals + bytes(labels)
+    header = struct.pack("<5I", root, len(states), len(keys), len(entries), len(ids))
+    numbers = [np.array(x, "<u4").tobytes() for x in (first, keys, targets, skipped, starts, ids)]
+    return header + b"".join(numbers) + bytes(final for final, _ in states)
 
 
 class Lexicon:
-    """A compiled lexicon, memory-mapped."""
+    """A compiled lexicon, memory-mapped. Arcs are sorted by state and label, which make up their keys."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        self.root, states, arcs, words, ids = struct.unpack_from("<5I", self.map)
-        numbers = memoryview(self.map)[20:]
-        at = 0
+        self.root, states, arcs, self.words, ids = struct.unpack_from("<5I", self.map)
+        at = 20
 
-        def take(n: int) -> memoryview:
+        def take(n: int, kind: str = "<u4") -> np.ndarray:
             nonlocal at
-            at += 4 * n
-            return numbers[at - 4 * n : at].cast("I")
-
-        self.first, self.targets, self.skipped = take(states + 1), take(arcs), take(arcs)
-        self.starts, self.ids = take(words + 1), take(ids)
-        self.final = numbers[at : at + states]
-        self.labels_at = 20 + at + states
-        self.words = words
+            found = np.frombuffer(self.map, kind, n, at)
+            at += found.nbytes
+            return found
+
+        self.first, self.keys, self.targets, self.skipped = take(states + 1), take(arcs), take(arcs), take(arcs)
+        self.starts, self.ids, self.final = take(self.words + 1), take(ids), take(states, "?")
+
+    def rows(self, words: list[bytes]) -> np.ndarray:
+        """Row of each word, -1 if the lexicon lacks it: all words walk the automaton together, a byte a step."""
+        out = np.full(len(words), -1, np.int64)
+        if not len(self.keys) or not words:
+            return out
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        alive, state, row = np.arange(len(words)), np.full(len(words), self.root, np.uint32), np.zeros(len(words), np.int64)
+        step = 0
+        while len(alive):
+            ends = lengths[alive] == step
+            done = ends & self.final[state]
+            out[alive[done]] = row[done]
+            alive, state, row = alive[~ends], state[~ends], row[~ends]
+            key = state << np.uint32(8) | flat[starts[alive] + step]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[arc] == key
+            alive, arc = alive[there], arc[there]
+            state, row = self.targets[arc], row[there] + self.skipped[arc]
+            step += 1
+        return out
+
+    def get_all(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids of each word (little-endian 32-bit), None if the lexicon lacks it."""
+        rows = self.rows(words)
+        spans = zip(rows.tolist(), self.starts[rows].tolist(), self.starts[rows + 1].tolist())
+        return [self.ids[start:end].tobytes() if row >= 0 else None for row, start, end in spans]
 
     def get(self, word: bytes) -> bytes | None:
-        """The word's ids (little-endian 32-bit), None if the lexicon lacks it."""
-        state, row, base, find, first = self.root, 0, self.labels_at, self.map.find, self.first
-        for i in range(len(word)):
-            arc = find(word[i : i + 1], base + first[state], base + first[state + 1]) - base
-            if arc < 0:
-                return None
-            row += self.skipped[arc]
-            state = self.targets[arc]
-        if not self.final[state]:
-            return None
-        return bytes(self.ids[self.starts[row] : self.starts[row + 1]])
+        """Ids of one word."""
+        return self.get_all([word])[0]
 
 
 class WordCoder:
-    """Ids of a text: each word from the lexicon if it is there, by exact merges if not."""
+    """Ids of a text: each word from the lexicon if it is there, by exact merges if not.
 
-    def __init__(self, path: str, lexicon: Lexicon | None, memo: int = MEMO_CHUNKS):
-        self.split, self.merge, self.lexicon = WordSplitter(path), vocabulary(path).merge, lexicon
-        self.words = Memo(self.word, memo)
+    With a vocabulary that is ``ranked``, short unseen words are merged by tiktoken's core, which takes
+    pairs by the id of what they make; long ones, and all of any other vocabulary, by ``Vocabulary.merge``.
+    """
 
-    def word(self, text: str) -> bytes:
-        word = text.encode("utf-8")
-        ids = self.lexicon.get(word) if self.lexicon else None
-        return array("I", self.merge(word)).tobytes() if ids is None else ids
+    def __init__(self, path: str, lexicon: Lexicon | None, ranked: bool = False):
+        self.split, self.merge, self.lexicon = WordSplitter(path), vocabulary(path).merge, lexicon
+        self.short = HEAP_LENGTH if ranked else 0
+        if ranked:
+            import tiktoken
+
+            words = tiktoken.Encoding("words", pat_str="(?s:.+)", mergeable_ranks=vocabulary(path).ids, special_tokens={})
+            self.merge_short = words.encode_ordinary
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word."""
+        raw = [word.encode("utf-8") for word in words]
+        found = self.lexicon.get_all(raw) if self.lexicon else [None] * len(raw)
+        for i, ids in enumerate(found):
+            if ids is None:
+                merged = self.merge_short(words[i]) if len(raw[i]) <= self.short else self.merge(raw[i])
+                found[i] = array("I", merged).tobytes()
+        return found
+
+    def all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words that they share are looked up once."""
+        cut = list(map(self.split, texts))
+        words = list(set().union(*cut))
+        ids = dict(zip(words, self.words(words)))
+        return [ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words)) for words in cut]
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.split(text)))
+        return self.all([text])[0]
 
 
 @lru_cache(maxsize=2)
-def lexicon_encoder(path: str, lexicon: str | None) -> Encoder:
+def lexicon_encoder(path: str, lexicon: str | None, ranked: bool = False) -> Encoder:
     """One encoder per worker; ``lexicon`` is the name of a file shipped by ``ship_lexicon``."""
-    return Encoder(path, WordCoder(path, Lexicon(SparkFiles.get(lexicon)) if lexicon else None))
+    return Encoder(path, WordCoder(path, Lexicon(SparkFiles.get(lexicon)) if lexicon else None, ranked))
 
 
 def count_words(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -405,12 +464,15 @@ def encode(df: DataFrame, path: str, lexicon: str | None, text: str = "text", id
     """``df`` with the ids of ``text`` as a list; a column of that name is replaced."""
     df = df.drop(ids)
     schema = StructType([*df.schema.fields, StructField(ids, ArrayType(IntegerType(), False))])
+    ranked = vocabulary(path).ranked
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = lexicon_encoder(path, lexicon)
+        encoder = lexicon_encoder(path, lexicon, ranked)
         for batch in batches:
             for part in slices(batch, text):
-                rows = [encoder(value or "") for value in part.column(text).to_pylist()]
+                values = [value or "" for value in part.column(text).to_pylist()]
+                encoder.prepare(values, encoder.piece.all)
+                rows = list(map(encoder, values))
                 offsets = np.cumsum([0, *(len(row) // 4 for row in rows)])
                 column = list_column(np.frombuffer(b"".join(rows), "<i4"), offsets)
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids])
