@@ -31,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from cohortflow.llm.common import list_column, slices
+from cohortflow.llm.common import drop_stage, list_column, slices, stage
 
 # The pattern of words that the public vocabulary was made with.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -444,12 +444,23 @@ def count_words(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 
 def ship_lexicon(df: DataFrame, path: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Count all words of ``df``, compile the ``words`` most frequent and ship the file; gives its name.
+    """Count all words of ``df``, compile the most frequent, ``words`` at most, and ship the file; gives its name.
 
-    The driver gets ``words`` rows, whatever the size of the corpus.
+    Words are graded by the eighth of a doubling that their count falls into. The highest grades that hold no
+    more than ``words`` together are taken, so the driver gets some hundred grades and ``words`` rows, whatever
+    the size of the corpus and however many tasks count it. A word that occurs once is not frequent.
     """
     spark = df.sparkSession
-    top = count_words(df, path, text).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    graded = count_words(df, path, text).where("n > 1").select("word", F.floor(8 * F.log2("n")).cast("int").alias("grade"))
+    graded = stage(graded, "words")
+    least, held = None, 0
+    for grade, n in graded.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("grade")).collect():
+        held += n
+        if held > words:
+            break
+        least = grade
+    top = [] if least is None else graded.where(F.col("grade") >= least).select("word").collect()
+    drop_stage(graded)
     merge = vocabulary(path).merge
     compiled = compile_lexicon((w, merge(w)) for w in (row.word.encode("utf-8") for row in top))
     name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}.bin"
