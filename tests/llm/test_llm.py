@@ -149,6 +149,43 @@ def test_lexicon_is_minimal_and_exact(tmp_path):
     assert len(lexicon.final) < sum(map(len, words)) / 2
 
 
+def test_empty_lexicon_holds_nothing(tmp_path):
+    path = tmp_path / "lexicon"
+    path.write_bytes(bpe.compile_lexicon([]))
+    assert bpe.Lexicon(str(path)).get_all([b"", b"a"]) == [None, None]
+    assert bpe.Lexicon(str(path)).get_all([]) == []
+
+
+def test_words_merge_by_rank_only_where_that_is_exact():
+    words = bpe.Vocabulary(VOCABULARY)
+    coder, rng = bpe.WordCoder(VOCABULARY, None, words.ranked), random.Random(5)
+    for _ in range(2000):
+        word = "".join(rng.choice("abcdethings éñ'0.") for _ in range(rng.randrange(1, 40)))
+        assert np.frombuffer(coder.words([word])[0], "<u4").tolist() == words.merge(word.encode())
+    assert words.ranked
+    last = bpe.Vocabulary(VOCABULARY)
+    last.ids[b"qqqqzzzz"] = last.made[-1]
+    assert not last.ranked
+
+
+def test_new_chunks_of_a_slice_read_as_one_by_one():
+    texts = [prose(seed, 30) for seed in range(40)] + ["", " ", "a  b", "\n x", "end ", prose(1, 30)]
+    coder = bpe.WordCoder(VOCABULARY, None)
+    single = bpe.Encoder(VOCABULARY, coder)
+    for memo in (20, 100, 10_000):
+        encoder = bpe.Encoder(VOCABULARY, coder, memo)
+        for at in range(0, len(texts), 7):
+            encoder.prepare(texts[at : at + 7], coder.all)
+            assert list(map(encoder, texts[at : at + 7])) == list(map(single, texts[at : at + 7]))
+
+
+def test_lexicon_keeps_whole_grades(spark):
+    df = documents(spark, ["often " * 64 + "twice twice once"] * 2)
+    for words, held in ((50, 4), (1, 1), (0, 0)):  # whole grades of words that occur twice or more
+        name = bpe.ship_lexicon(df, VOCABULARY, words=words)
+        assert bpe.Lexicon(bpe.SparkFiles.get(name)).words == held
+
+
 def test_long_words_merge_alike():
     words = bpe.vocabulary(VOCABULARY)
     rng = random.Random(3)
