@@ -745,7 +745,7 @@ def upsert_conditional(spark, sf):
 # ---- streaming ------------------------------------------------------------------------------------------
 
 
-def _fresh_run(spark: SparkSession, name: str) -> str:
+def fresh_run(spark: SparkSession, name: str) -> str:
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     return f"{work_dir(spark)}/cohortflow/{spark.sparkContext.applicationId}/{name}-{stamp}"
 
@@ -769,7 +769,7 @@ def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def micro_batch_silver(spark, sf):
     """The encounter stream run to its end, then Silver read back."""
-    root = _fresh_run(spark, "medallion")
+    root = fresh_run(spark, "medallion")
     raw = g.damaged(_table_stream(spark, sf, "orders"))
     stream = raw.select(
         *canonicalise(raw),
@@ -805,7 +805,7 @@ def micro_batch_silver(spark, sf):
 @query
 def domain_router(spark, sf):
     """The log stream routed to its end, then the routes counted."""
-    root = _fresh_run(spark, "router")
+    root = fresh_run(spark, "router")
     events = _table_stream(spark, sf, "events")
     query = run_router(g.as_domain_log(events), root, f"{root}/checkpoint")
     query.awaitTermination()

@@ -860,4 +860,62 @@ RESULT = {
         as latest_batch_id""",
 }
 
+_FROM_LOG = """row_number as kafka_offset,
+  case when row_number % 2 = 0 then 'run-1' end as producer_run_id,
+  case when row_number % 2 = 0 then row_number end as producer_row_number"""
+_CANONICAL = "encounter_id, patient_id, admission_date, diagnosis_code, description, reason_description"
+
+
+def _cursor(name: str, key: str) -> str:
+    return f"""select '{name}' as source_name, max({key}) as last_key
+      from (select {key} from {name} where {key} > 0 order by {key} limit 120)"""
+
+
+#: The queries of ``landing``: what was written is what is read, but for empty text, which CSV files
+#: give back as NULL.
+RESULT |= {
+    "csv_scan": """select row_number::varchar as "ROW_NUMBER", nullif(id, '') as "ID",
+      nullif(dt, '') as "DATE", patient as "PATIENT", code as "CODE", description as "DESCRIPTION",
+      nullif(reasoncode, '') as "REASONCODE", reason as "REASONDESCRIPTION" from raw""",
+    "csv_quarantine": """select id as "ID", birthdate as "BIRTHDATE", race as "RACE",
+      null::varchar as "GENDER", id::bigint % 13 = 0 as quarantined from rawp""",
+    "optional_table": "select c_custkey, c_name, true as other_is_absent from customer",
+    "append_evolve": """select o_orderkey, o_totalprice,
+      case when o_orderkey % 2 = 1 then o_orderstatus end as o_orderstatus from orders""",
+    "replace_table": "select p_partkey, p_brand from part",
+    "partitioned_write": """select o_orderkey, o_custkey, o_orderstatus,
+      case when o_orderstatus = 'F' then 2 else 1 end as written from orders
+      where o_orderstatus <> 'F' or o_orderkey % 3 = 0""",
+    "upsert_retry": """select c_custkey, c_acctbal,
+      case when c_custkey % 2 = 1 or c_custkey % 10 = 0 then 1 end as batch from customer""",
+    "views": """select n_name, count(*) as customers, 2 as views from customer
+      join nation on c_nationkey = n_nationkey group by 1""",
+    "snapshot_sections": """select 'clinicalMetrics' as section, (select count(*) from met) as n_rows
+      union all select 'demographics', (select count(*) from demo)
+      union all select 'careGaps', (select least(250, count(*)) from gap)
+      union all select 'comorbidityPairs', (select least(50, count(*)) from pair)
+      union all select 'audit', (select least(50, count(*)) from aud)""",
+    "encounter_log": f"select {_FROM_LOG}, {_CANONICAL} from rawc",
+    "log_stream": f"select {_FROM_LOG}, {_CANONICAL} from rawc",
+    "dlq_sink": RESULT["dlq_records"],
+    "lineage": f"""select row_number as kafka_offset, encounter_id, {SEEN} as ingestion_timestamp,
+      patient_id as raw_patient_id, 'file' as raw_source_system from rawc""",
+    "drop_private": "select patient_id, gender, race, deathdate::varchar as deathdate, ssn from pat",
+    "file_stream": f"""select * replace (nullif(encounter_id, '') as encounter_id)
+      from (select {_CANONICAL}, 'file' as source_system from rawc)""",
+    "stream_restart": "select event_id, user_id, event_type from events",
+    "file_idempotence": """select 'orders-' || left(dt, 4) || '.csv' as source_file,
+      case when left(dt, 4) < '1996' then 0 else 1 end as batch_id, count(*) as n_rows
+      from raw group by 1, 2""",
+    "keyed_state": RESULT["upsert_conditional"],
+    "cursor_upsert": " union all ".join(
+        _cursor(n, k) for n, k in (("events", "event_id"), ("orders", "o_orderkey"), ("customer", "c_custkey"))
+    ),
+    "interval_pairs": """select encounter_id, code, st::varchar as start, sp::varchar as stop
+      from active""",
+    "enrich_hot": """select o_orderkey, nullif(o_custkey, 1) as c_custkey, c_mktsegment from orders
+      left join customer on nullif(o_custkey, 1) = c_custkey and c_custkey % 4 <> 0""",
+    "sequence_hot": RESULT["return_sequence"],
+}
+
 ORACLES = {name: _with(body) for name, body in RESULT.items()}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
@@ -69,22 +71,58 @@ def work_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _header_groups(spark: SparkSession, path: str) -> list[str | list[str]]:
+    """What to read together: the whole path, or its files grouped by their header lines.
+
+    One pass over the text in which only the first line of each file leaves its task. Files
+    that differ are listed on the driver, where Spark's own file index holds them already.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"),
+    )
+    headers = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    if headers.select("header").distinct().limit(2).count() < 2:
+        return [path]
+    groups: dict[str, list[str]] = {}
+    for row in headers.orderBy("file").toLocalIterator():
+        plain = re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(row["file"]))
+        groups.setdefault(row["header"], []).append(plain)
+    return list(groups.values())
+
+
+def _read_groups(spark: SparkSession, path: str, read: Callable[..., DataFrame]) -> DataFrame | None:
+    """``read`` applied to each group of files with one header; absent columns become NULL."""
+    if load_if_present(spark.read, path, "text") is None:
+        return None
+    parts = [read(group) for group in _header_groups(spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _with_fields(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
+    absent = {f: F.lit(None).cast("string") for f in fields if f not in rows.columns}
+    return rows.withColumns(absent) if absent else rows
+
+
 def read_csv_upper(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
     """Header CSV as text columns with upper-case names; None when the path is absent.
 
-    Columns are bound by header name. A given schema adds absent columns as NULL.
+    Columns are bound by the header of their own file, so files of one folder may order them
+    differently. A given schema adds absent columns as NULL.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    raw = load_if_present(reader, path, "csv")
-    if raw is None:
-        return None
-    upper = raw.toDF(*[c.upper() for c in raw.columns])
-    if schema is None:
-        return upper
-    absent = {f: F.lit(None).cast("string") for f in schema.names if f not in upper.columns}
-    return upper.withColumns(absent).select(*schema.names) if absent else upper.select(*schema.names)
+
+    def read(files) -> DataFrame:
+        raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(files)
+        return raw.toDF(*[c.upper() for c in raw.columns])
+
+    rows = _read_groups(spark, path, read)
+    if rows is None or schema is None:
+        return rows
+    return _with_fields(rows, schema.names).select(*schema.names)
 
 
 def read_csv_with_quarantine(
@@ -92,21 +130,26 @@ def read_csv_with_quarantine(
 ) -> tuple[DataFrame, DataFrame] | None:
     """Readable rows and malformed rows of a header CSV; None when the path is absent.
 
-    The header names the columns of the file, so a re-ordered file reads right.
+    Each file's header names its columns, so a re-ordered file reads right. Both parts can be
+    counted or narrowed without a change of the rows they hold.
     """
-    header = load_if_present(spark.read.option("header", True), path, "csv")
-    if header is None:
+
+    def read(files) -> DataFrame:
+        header = spark.read.option("header", True).csv(files).columns
+        rows = (
+            spark.read.schema(text_schema([*[c.upper() for c in header], CORRUPT]))
+            .option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(files)
+        )
+        # Always true, but it keeps every field in the scan: a pruned row is not seen to be malformed.
+        return rows.where(F.length(F.concat_ws("", *rows.columns[:-1])) >= 0)
+
+    rows = _read_groups(spark, path, read)
+    if rows is None:
         return None
-    schema = text_schema([*[c.upper() for c in header.columns], CORRUPT])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    absent = {f: F.lit(None).cast("string") for f in fields if f not in rows.columns}
-    rows = rows.withColumns(absent) if absent else rows
+    rows = _with_fields(rows, fields)
     good = rows.where(F.col(CORRUPT).isNull()).select(*fields)
     bad = rows.where(F.col(CORRUPT).isNotNull()).select(*fields, CORRUPT)
     return good, bad.withColumn("quarantine_timestamp", now)

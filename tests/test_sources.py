@@ -198,3 +198,17 @@ def test_orders_put_unknown_values_last(spark):
     df = spark.createDataFrame([("90+ days",), ("?",), ("0-7 days",)], "v string")
     assert [r.v for r in df.orderBy(gap_order(F.col("v"))).collect()] == ["0-7 days", "90+ days", "?"]
     assert [r.v for r in df.orderBy(rank_of(F.col("v"), ["?"]), "v").collect()][0] == "?"
+
+
+def test_files_of_one_folder_may_order_their_headers_differently(spark, tmp_path):
+    folder = tmp_path / "odd [name] {1}"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,gender,race\n1,F,white\n")
+    (folder / "b.csv").write_text("race,id,gender\nblack,2,M\nasian,3,F,more\n")
+    df = read_csv_upper(spark, str(tmp_path / "odd*"))
+    assert rows(df.select("ID", "GENDER", "RACE")) == [
+        ("1", "F", "white"), ("2", "M", "black"), ("3", "F", "asian"),
+    ]
+    good, bad = read_csv_with_quarantine(spark, str(tmp_path / "odd*"), ["ID", "RACE"], F.lit(None))
+    assert (good.count(), bad.count()) == (2, 1)
+    assert rows(good) == [("1", "white"), ("2", "black")] and bad.first().ID == "3"
