@@ -241,7 +241,8 @@ def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 
     Pairs are grouped under the end that has more of them, in blocks, so a large set is sent once per block.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    sides = [pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("n")) for end in ("a", "b")]
+    ends = stage(sides[0].unionByName(sides[1]).groupBy("node").agg(F.sum("n").alias("n")), "ends")
     sets = texts_of(documents).join(ends.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     sets = stage(shingle_sets(sets).dropDuplicates(["doc_id"]), "sets")
     counted = pairs.join(ends.toDF("a", "n_a"), "a").join(ends.toDF("b", "n_b"), "b")
@@ -253,6 +254,7 @@ def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     tiles = tiles.unionByName(dealt.select("tile", F.lit(1).alias("side"), F.col("other").alias("node"), (zero + 1).alias("component"), F.lit(-1).alias("band")))
     found = stage(in_tiles(tiles, sets.withColumnRenamed("doc_id", "node"), by_set), "links")
     drop_stage(sets)
+    drop_stage(ends)
     return found
 
 
