@@ -248,13 +248,13 @@ def confirm(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     counted = pairs.join(ends.toDF("a", "n_a"), "a").join(ends.toDF("b", "n_b"), "b")
     first = F.col("n_a") >= F.col("n_b")
     turned = counted.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("other"), F.greatest("n_a", "n_b").alias("n"))
-    dealt = turned.select("hub", "other", F.xxhash64("hub", F.pmod(F.xxhash64("other"), F.ceil(F.col("n") / BLOCK))).alias("tile"))
+    dealt = stage(turned.select("hub", "other", F.xxhash64("hub", F.pmod(F.xxhash64("other"), F.ceil(F.col("n") / BLOCK))).alias("tile")), "dealt")
     zero = F.lit(0).cast("bigint")
     tiles = dealt.select("tile", F.lit(0).alias("side"), F.col("hub").alias("node"), zero.alias("component"), F.lit(-1).alias("band")).distinct()
     tiles = tiles.unionByName(dealt.select("tile", F.lit(1).alias("side"), F.col("other").alias("node"), (zero + 1).alias("component"), F.lit(-1).alias("band")))
     found = stage(in_tiles(tiles, sets.withColumnRenamed("doc_id", "node"), by_set), "links")
-    drop_stage(sets)
-    drop_stage(ends)
+    for written in (sets, ends, dealt):
+        drop_stage(written)
     return found
 
 
