@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cohortflow.llm.common import mixed, slices, stage, texts_of, words_of
@@ -61,10 +63,12 @@ def is_held(doc_id: int) -> bool:
 def chunks(documents: DataFrame) -> DataFrame:
     """Documents packed into chunks: whole texts as numbers of words, each text closed by the end token.
 
-    A chunk is named by a hash of its documents' ids and places, so that it keeps its name when a task is run again.
+    A chunk is named by its task and its place there, so no two have one name, also if they hold the same rows; a
+    task that is run again replaces its chunks when they are written.
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = count(TaskContext.get().partitionId() << 32)
         doc_ids: list[int] = []
         rows: list[np.ndarray] = []
         number: dict[bytes, int] = {}
@@ -76,7 +80,7 @@ def chunks(documents: DataFrame) -> DataFrame:
             ids = np.array(doc_ids, np.int64)
             tokens = np.concatenate(rows)
             values = {
-                "chunk": xxhash.xxh64_intdigest(ids.tobytes() + tokens[:4096].tobytes()) - (1 << 63),
+                "chunk": next(names),
                 "n_tokens": len(tokens),
                 "doc_ids": packed(ids),
                 "ends": packed(np.cumsum([len(row) for row in rows]).astype(np.uint32)),

@@ -434,6 +434,15 @@ def test_lm_learns_word_order(spark):
     assert rows and all(r.score > r.base_score + 20 for r in rows)
 
 
+def test_lm_scores_rows_that_repeat(spark):
+    docs = documents(spark, [" ".join(LEXICON[(i + k) % 20] for k in range(30)) for i in range(40)])
+    rows = lm.score_documents(docs.union(docs)).collect()
+    assert Counter(r.doc_id for r in rows) == {i: 2 for i in range(40)} and len({(r.doc_id, r.score) for r in rows}) == 40
+    alike = [spark.createDataFrame([(3, text, "en", "s", 0)], DOCS) for text in ("alpha beta", "gamma delta eta", "mu nu")]
+    rows = lm.score_documents(alike[0].union(alike[1]).union(alike[2])).collect()  # two of them have the same token numbers
+    assert sorted(r.n_tokens for r in rows) == [3, 3, 4]
+
+
 def test_em_weights_follow_the_counts():
     import pandas as pd
 
