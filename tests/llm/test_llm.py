@@ -487,3 +487,26 @@ def test_crowded_nodes_are_divided(spark, monkeypatch):
     df = spark.createDataFrame([(n, bytearray(t), w) for n, t, w in rows], "node bigint, tokens binary, weight bigint")
     assert linedup.divided(df, node_lines=100).select("leaf").distinct().count() == 1
     assert linedup.divided(df, node_lines=10).select("leaf").distinct().count() > 1
+
+
+def test_large_nodes_generalise_alike(spark):
+    words, rng, texts = "server node reports status ready for client request number done".split(), random.Random(8), []
+    for i in range(12):
+        line = list(words)
+        line[4 + i % 2] = f"variant{chr(97 + i)}"
+        texts.append(prose(i, 25) + "\n" + " ".join(line))
+    other = lambda: "".join(rng.choices("abcdefghij", k=9))
+    texts += ["\n".join(" ".join([*words[:3], *(other() for _ in range(7))]) for _ in range(100)) for _ in range(20)]
+    rows = linedup.drop_recurring_lines(documents(spark, texts)).collect()
+    assert {r.doc_id: r.n_dropped for r in rows} == {i: int(0 < i < 12) for i in range(32)}
+
+
+def test_indexed_templates_are_those_of_a_scan(monkeypatch):
+    rng = np.random.default_rng(5)
+    lines = rng.integers(0, 4, (800, 12)).astype(np.uint16) + rng.integers(0, 2, (800, 1)).astype(np.uint16) * 7
+    placed = []
+    for scanned in (10**9, 3):
+        monkeypatch.setattr(linedup, "SCANNED", scanned)
+        own = linedup.Templates(0.7)
+        placed.append([own.place(line) for line in lines])
+    assert placed[0] == placed[1] and 3 < own.n < 800
