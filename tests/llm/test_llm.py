@@ -510,3 +510,14 @@ def test_indexed_templates_are_those_of_a_scan(monkeypatch):
         own = linedup.Templates(0.7)
         placed.append([own.place(line) for line in lines])
     assert placed[0] == placed[1] and 3 < own.n < 800
+
+
+def test_long_lines_recur_from_two_texts_on(spark):
+    rng = random.Random(6)
+    passage, other = (" ".join(rng.choice(LEXICON) for _ in range(55)) for _ in range(2))
+    short = "alpha beta gamma delta"
+    texts = [f"{prose(i, 20)}\n{passage}\n{short}" for i in range(2)] + [f"{prose(9, 20)}\n{other}"]
+    texts += [texts[2], f"{prose(10, 20)}\n{passage[:-3]} end of it"]
+    rows = linedup.drop_recurring_lines(documents(spark, texts)).collect()
+    assert {r.doc_id: r.n_dropped for r in rows} == {0: 0, 1: 1, 2: 0, 3: 0, 4: 0}
+    assert next(r.text for r in rows if r.doc_id == 1) == f"{prose(1, 20)}\n{short}"
