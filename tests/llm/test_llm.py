@@ -521,3 +521,13 @@ def test_long_lines_recur_from_two_texts_on(spark):
     rows = linedup.drop_recurring_lines(documents(spark, texts)).collect()
     assert {r.doc_id: r.n_dropped for r in rows} == {0: 0, 1: 1, 2: 0, 3: 0, 4: 0}
     assert next(r.text for r in rows if r.doc_id == 1) == f"{prose(1, 20)}\n{short}"
+
+
+def test_lines_without_template_recur_word_for_word(spark):
+    rng = random.Random(7)
+    passage = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(60))
+    texts = [f"{prose(i, 20)}\nLes.\n12 345 6a\n\n{'rare one' if i < 4 else prose(50 + i, 3)}" for i in range(6)]
+    texts += [f"{prose(60 + i, 20)}\n{passage}" for i in range(2)] + [f"{prose(70 + i, 20)}\n{passage[:8]}" for i in range(2)]
+    texts += [f"{prose(80 + i, 20)}\n{prose(90, 40)}" for i in range(2)]
+    rows = linedup.drop_recurring_lines(documents(spark, texts)).collect()
+    assert {r.doc_id: r.n_dropped for r in rows} == {i: 2 if 0 < i < 6 else int(i in (7, 11)) for i in range(12)}
