@@ -1,7 +1,7 @@
 """Language identification: text likelihoods fused with declared language, address suffix and host priors.
 
 Text: byte trigrams hashed to a table of log-probabilities per language, trained on a bounded sample of
-labelled rows, with a uniform background (``und``) for text of no known language. The other evidence:
+each label's texts, with a uniform background (``und``) for text of no known language. The other evidence:
 a declared language of known reliability, an address suffix that names a language, and priors by
 host, smoothed towards the suffix's and the whole corpus's, which come from grouped sums of
 text-only posteriors. A row's own share is taken out of its priors.
@@ -19,10 +19,11 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from cohortflow.llm.common import list_column, slices, stage, without
 
-#: At most about so many labelled rows train the text model.
-TRAIN_ROWS = 8_000
-#: At most so many languages, the most frequent labels of the sample.
+#: At most about so many different texts of each language train the text model.
+LABEL_ROWS = 2_000
+#: At most so many languages, the labels of the most different texts; other labels stand as they are declared.
 LANGUAGES = 64
+DRAWS = 1 << 40
 CELLS = 1 << 16
 #: Trigrams of a text overlap; together they count as so many independent ones at most.
 EVIDENCE = 64
@@ -62,15 +63,19 @@ class Model:
         return out
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = TRAIN_ROWS) -> Model:
-    """The text model from about ``rows`` labelled rows at most, picked by a hash of the text.
+def train(labelled: DataFrame, text: str = "text", label: str = "lang", rows: int = LABEL_ROWS) -> Model:
+    """The text model from about ``rows`` different texts of each label at most, picked by a hash of the text.
 
-    The driver gets at most ``LANGUAGES`` times ``CELLS`` counts, whatever the size of the corpus. Rows with
+    A label of fewer texts gives all of them, however large the corpus is, and copies of a text count once. The
+    driver gets at most ``LANGUAGES`` times ``CELLS`` counts, whatever the size of the corpus. Rows with
     null or blank text or label are left out; without any the model knows the background alone.
     """
-    labelled = labelled.select(F.col(text).alias("text"), F.lower(F.trim(label)).alias("label")).where("text is not null and label <> ''")
-    share = min(1.0, rows / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
+    labelled = labelled.select(F.col(text).alias("text"), F.lower(F.trim(label)).alias("label"))
+    labelled = labelled.where(F.col("text").rlike(r"\S") & ~F.col("label").isin("", UNKNOWN))
+    sizes = labelled.groupBy("label").agg(F.approx_count_distinct("text").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()
+    shares = [F.when(F.col("label") == row.label, int(min(1.0, rows / row.n) * DRAWS)) for row in sizes]
+    drawn = F.pmod(F.xxhash64("text"), F.lit(DRAWS)) < F.coalesce(*shares, F.lit(0))
+    sample = labelled.where(drawn).distinct()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -86,9 +91,8 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang", rows: in
 
     counts = sample.mapInArrow(counted, "label string, cell int, n bigint").groupBy("label", "cell").agg(F.sum("n").alias("n"))
     counts = stage(counts, "trigrams")
-    top = counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()
-    languages = sorted(row.label for row in top)
-    found = counts.where(F.col("label").isin(languages)).toArrow() if languages else None
+    found = counts.toArrow()  # LANGUAGES times CELLS
+    languages = sorted(set(found.column("label").to_pylist()))
     table = np.full((CELLS, len(languages) + 1), SMOOTHING)
     if languages:
         at = np.searchsorted(languages, np.array(found.column("label").to_pylist(), dtype=object).astype(str))
@@ -186,7 +190,8 @@ def identify(df: DataFrame, model: Model, keep: list[str], accept: float = ACCEP
     """``language``, ``confidence`` and ``accepted`` of rows with text, declared, host and suffix.
 
     ``keep`` names the columns to carry along. A row is accepted if a language, not the background, has a
-    posterior of at least ``accept``; null and blank texts are never accepted.
+    posterior of at least ``accept``; null and blank texts are never accepted. A declared language that the model
+    lacks cannot be held against the text: it stands, with the confidence ``DECLARED``.
     """
     languages = model.languages
     width = len(languages)
@@ -196,18 +201,21 @@ def identify(df: DataFrame, model: Model, keep: list[str], accept: float = ACCEP
     start = F.array(*[F.lit(float(np.log((1 - BACKGROUND) / max(1, width - 1))))] * (width - 1), F.lit(float(np.log(BACKGROUND))))
     rows = rows.withColumn("text_posterior", softmax(add(F.col("text_score"), start)))
     rows = with_priors(rows, width)
+    named = F.lower(F.trim("declared"))
     fused = add(
         F.col("text_score"),
         F.transform("host_prior", lambda x: F.log(x)),
-        evidence(languages, F.lower(F.col("declared")), DECLARED),
+        evidence(languages, named, DECLARED),
         evidence(languages, F.col("suffix"), SUFFIX),
     )
     rows = rows.withColumn("posterior", softmax(fused)).withColumn("confidence", F.array_max("posterior"))
     place = F.array_position("posterior", F.col("confidence")).cast("int")
     rows = rows.withColumn("language", F.element_at(F.array(*map(F.lit, languages)), place))
-    accepted = ~F.col("blank") & (F.col("language") != UNKNOWN) & (F.col("confidence") >= accept)
-    language = F.when(F.col("blank"), F.lit(UNKNOWN)).otherwise(F.col("language"))
-    return rows.select(*keep, language.alias("language"), "confidence", accepted.alias("accepted"))
+    stands = F.coalesce(~F.col("blank") & ~named.isin("", *languages), F.lit(False))
+    accepted = stands | ~F.col("blank") & (F.col("language") != UNKNOWN) & (F.col("confidence") >= accept)
+    language = F.when(F.col("blank"), F.lit(UNKNOWN)).when(stands, named).otherwise(F.col("language"))
+    confidence = F.when(stands, F.lit(DECLARED)).otherwise(F.col("confidence"))
+    return rows.select(*keep, language.alias("language"), confidence.alias("confidence"), accepted.alias("accepted"))
 
 
 def document_evidence(documents: DataFrame) -> DataFrame:

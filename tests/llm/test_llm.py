@@ -531,3 +531,16 @@ def test_lines_without_template_recur_word_for_word(spark):
     texts += [f"{prose(80 + i, 20)}\n{prose(90, 40)}" for i in range(2)]
     rows = linedup.drop_recurring_lines(documents(spark, texts)).collect()
     assert {r.doc_id: r.n_dropped for r in rows} == {i: 2 if 0 < i < 6 else int(i in (7, 11)) for i in range(12)}
+
+
+def test_rare_languages_are_learned_or_stand_as_declared(spark):
+    welsh = "mae hen wlad fy nhadau yn annwyl i mi"
+    rows = [(i, t, name, s, n) for i, t, name, s, n in language_rows(1, 400)] + [(1000 + i, LANGUAGE["en"], "en", "s", 0) for i in range(400)]
+    rows += [(2000, welsh, "cy", "s", 0), (2001, "\u10d0\u10d1\u10d2 \u10d3\u10d4 " * 8, "ka", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.train(docs, rows=20)
+    assert model.languages == ["cy", "de", "en", "fr", "ka", "und"]
+    assert {r.doc_id for r in langid.keep_accepted(docs).collect()} == {r[0] for r in rows}
+    lacking = langid.train(docs.where("lang not in ('cy', 'ka')"))
+    got = {r.doc_id: r for r in langid.identify(langid.document_evidence(docs), lacking, ["doc_id"]).where("doc_id >= 2000").collect()}
+    assert {i: (r.language, r.accepted) for i, r in got.items()} == {2000: ("cy", True), 2001: ("ka", True)}
