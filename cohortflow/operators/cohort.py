@@ -22,7 +22,7 @@ from ..functions.text import (
 )
 from .joins import before_event, restrict_to, with_rate
 from .sequence import latest_per_key, return_sequence, top_n_per_group
-from .skew import salted_join
+from .skew import hot_counts, salted_join
 
 # ---- Silver derivations; fills are fixed values ----------------------------------------------
 
@@ -379,30 +379,64 @@ def explode_labels(
     )
 
 
-def label_pairs(labels: DataFrame, key: str = "patient_id", label: str = "condition") -> DataFrame:
-    """How many keys hold each pair of labels.
+#: Labels of a key that meet in one tile. A tile is what a task holds of a key at once.
+PAIR_TILE = 256
 
-    Keys with the same label set are counted first, so pairs are listed once per
-    distinct set instead of once per key; a set is bounded by the label vocabulary.
+
+def pair_tiles(labels: DataFrame, key: str, label: str, tile: int, widest: int | None = None) -> DataFrame:
+    """``left`` and ``right`` label sets whose pairs, together, are each pair of a key's labels once.
+
+    A key's labels are dealt to blocks of about ``tile`` by their hash, and every pair of blocks is a tile of
+    its own, dealt by key and pair of blocks. ``right`` is empty where a block meets itself: then the
+    pairs are those within ``left``. ``widest`` is a number of labels that no key exceeds, where one is known.
     """
-    sets = (
-        labels.groupBy(key)
-        .agg(F.array_sort(F.collect_set(label)).alias("_set"))
-        .where(F.size("_set") > 1)
-        .groupBy("_set")
+    rows = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    if widest is not None and widest <= tile:
+        dealt = rows.withColumns({"_block": F.lit(0), "_i": F.lit(0), "_j": F.lit(0)})
+    else:
+        counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+        wide, hot = counts.where(F.col("_n") > tile), hot_counts(counts, ["_key"])
+        blocks = F.coalesce(F.ceil(F.col("_n") / tile), F.lit(1))
+        dealt = (
+            salted_join(rows, wide, ["_key"], "left", spread=["_label"], hot=hot)
+            .withColumns({"_block": F.pmod(F.xxhash64("_label"), blocks), "_other": F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))})
+            .withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")})
+        )
+    in_left = F.col("_block") == F.col("_i")
+    met = dealt.groupBy("_key", "_i", "_j").agg(
+        F.array_sort(F.collect_set(F.when(in_left, F.col("_label")))).alias("left"),
+        F.array_sort(F.collect_set(F.when(~in_left, F.col("_label")))).alias("right"),
+    )
+    return met.select("left", "right", (F.col("_i") == F.col("_j")).alias("own"))
+
+
+def label_pairs(
+    labels: DataFrame, key: str = "patient_id", label: str = "condition", tile: int = PAIR_TILE, widest: int | None = None
+) -> DataFrame:
+    """How many keys hold each pair of labels; rows without a key or a label make no pair.
+
+    Pairs come from tiles of two blocks of a key's labels, so no task holds a whole key. Equal tiles
+    are counted first: most keys are one tile, and keys with the same labels list their pairs once.
+    """
+    tiles = (
+        pair_tiles(labels, key, label, tile, widest)
+        .where(F.when(F.col("own"), F.size("left") > 1).otherwise((F.size("left") > 0) & (F.size("right") > 0)))
+        .groupBy("own", "left", "right")
         .agg(F.count(F.lit(1)).alias("_keys"))
     )
-    first = sets.select("_keys", "_set", F.posexplode("_set").alias("_at", "condition_a"))
-    rest = F.slice("_set", F.col("_at") + 2, F.size("_set"))
-    pairs = first.select("_keys", "condition_a", F.explode(rest).alias("condition_b"))
-    return pairs.groupBy("condition_a", "condition_b").agg(F.sum("_keys").alias("patient_count"))
+    first = tiles.select("_keys", "own", "left", "right", F.posexplode("left").alias("_at", "_one"))
+    rest = F.when(F.col("own"), F.slice("left", F.col("_at") + 2, F.size("left"))).otherwise(F.col("right"))
+    pairs = first.select("_keys", "_one", F.explode(rest).alias("_two"))
+    return pairs.groupBy(F.least("_one", "_two").alias("condition_a"), F.greatest("_one", "_two").alias("condition_b")).agg(
+        F.sum("_keys").alias("patient_count")
+    )
 
 
 PAIR_ORDER = ("condition_a", "condition_b")
 
 
 def comorbidity_pairs(
-    labels: DataFrame, k: int = 50, key: str = "patient_id", label: str = "condition"
+    labels: DataFrame, k: int = 50, key: str = "patient_id", label: str = "condition", tile: int = PAIR_TILE
 ) -> DataFrame:
     """The ``k`` most frequent pairs, exactly.
 
@@ -411,18 +445,18 @@ def comorbidity_pairs(
     below it cannot be part of the answer and leave before the pairs are listed.
     (Repeated rows would only overstate a label's frequency and keep more of them.)
     """
-    support = labels.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    support = labels.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     few = ceil(1 + sqrt(4 * k))
     seeds = support.orderBy(F.col("_n").desc(), label).limit(few).select(label)
-    seeded = label_pairs(labels.join(F.broadcast(seeds), label, "left_semi"), key, label)
+    seeded = label_pairs(labels.join(F.broadcast(seeds), label, "left_semi"), key, label, widest=few)
     best = seeded.orderBy(F.col("patient_count").desc()).limit(k)
     reached = best.agg(
         F.when(F.count(F.lit(1)) == k, F.min("patient_count")).otherwise(F.lit(1))
     ).scalar()
     frequent = support.where(F.col("_n") >= reached).select(label)
-    kept = salted_join(labels, frequent, [label], "left_semi", spread=[key])
+    kept = salted_join(labels, frequent, [label], "left_semi", spread=[key], hot=hot_counts(support, [label]))
     return (
-        label_pairs(kept, key, label)
+        label_pairs(kept, key, label, tile)
         .orderBy(F.col("patient_count").desc(), *PAIR_ORDER)
         .limit(k)
     )

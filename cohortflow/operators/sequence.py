@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scores import flag
-from .skew import HOT_SHARE, MIN_HOT_ROWS, PIECES, hot_keys, mark_hot
+from .skew import HOT_SHARE, MIN_HOT_ROWS, PIECES, piece_rows
 
 # Rankings up to this size are cut on the map side by the optimizer itself
 # (default of spark.sql.optimizer.windowGroupLimitThreshold).
@@ -89,6 +89,38 @@ def latest_by_natural_key(
     return latest_per_key(keyed, ["record_key"], order)
 
 
+#: Rows of a hot key looked at for each cut of its order.
+ROWS_PER_CUT = 32
+
+
+def range_cuts(df: DataFrame, key: str, order: Sequence[str], share: float, min_rows: int) -> DataFrame:
+    """Hot keys of ``df`` (NULL may be one) as ``_hot``, with values of ``order`` that cut their rows into ranges of like size.
+
+    Cuts come from a part of the rows, taken by their hash so that a re-run takes the same; they decide where a
+    range ends and never what is in the result. Hot keys are few and the cuts of all of them are some
+    thousand, so the table may be broadcast. Cuts lie in groups, so a row is compared with few of them.
+    """
+    counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = piece_rows(counts, share, min_rows)
+    pieces, every = F.ceil(F.col("_n") / rows).cast("int"), F.greatest((rows / ROWS_PER_CUT).cast("bigint"), F.lit(1))
+    hot = counts.where(F.col("_n") > rows).select("_hot", pieces.alias(PIECES), every.alias("_every"))
+    met = df.select(F.col(key).alias("_key"), F.struct(*order).alias("_at")).join(F.broadcast(hot), F.col("_key").eqNullSafe(F.col("_hot")))
+    part = met.where(F.pmod(F.xxhash64("_at"), F.col("_every")) == 0).groupBy("_hot")
+    sampled = part.agg(F.array_sort(F.collect_set("_at")).alias("_all"), F.max(PIECES).alias(PIECES))
+    step = F.greatest(F.ceil(F.size("_all") / F.col(PIECES)).cast("int"), F.lit(1))
+    cuts = F.filter("_all", lambda x, i: (i > 0) & (i % step == 0))
+    cut = sampled.select("_hot", cuts.alias("_cuts"), F.ceil(F.sqrt(PIECES)).cast("int").alias("_width")).where(F.size("_cuts") > 0)
+    firsts = F.sequence(F.lit(1), F.size("_cuts"), F.col("_width"))
+    return cut.select("_hot", "_width", F.transform(firsts, lambda i: F.slice("_cuts", i, F.col("_width"))).alias("_groups"))
+
+
+def _piece(at: Column) -> Column:
+    """How many of its key's cuts a row has reached: its range, from 0."""
+    group = F.size(F.filter("_groups", lambda g: g[0] <= at))
+    inside = F.size(F.filter(F.get("_groups", group - 1), lambda cut: cut <= at))
+    return F.when(F.col("_groups").isNotNull(), F.when(group > 0, (group - 1) * F.col("_width") + inside).otherwise(F.lit(0)))
+
+
 def previous_event(
     df: DataFrame,
     key: str,
@@ -99,30 +131,27 @@ def previous_event(
     share: float = HOT_SHARE,
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Columns of the key's previous row, in (``at``, ``tie``) order.
+    """Columns of the key's previous row, in (``at``, ``tie``) order; rows without a key follow each other too.
 
-    An ordinary key is one window group. A hot key is cut into calendar days: each day
-    is its own window group, and the last row of the day before is handed to the
-    day's first row through a table of one row per (hot key, day). The rows are
-    shuffled once; the join back reuses their partitioning.
+    An ordinary key is one window group. A hot key's order is cut into ranges of like size, also
+    within one day: each range is its own window group, and the last row of the range before is
+    handed to a range's first row through a table of one row per range. The rows are shuffled once.
     """
-    hot = hot_keys(df, [key], share, min_rows)
-    day = F.coalesce(F.col(at).cast("date"), F.lit("0001-01-01").cast("date"))
-    rows = mark_hot(df, [key], hot).withColumn("_day", F.when(F.col(PIECES).isNotNull(), day))
+    cuts = F.broadcast(range_cuts(df, key, [at, tie], share, min_rows))
+    hot = F.col(key).eqNullSafe(F.col("_hot"))
+    piece = _piece(F.struct(at, tie)).alias("_piece")
     row = F.struct(*carry)
-    by_day = Window.partitionBy(key, "_day").orderBy(at, tie)
-    within = rows.withColumn("_within", F.lag(row).over(by_day))
+    rows = df.join(cuts, hot, "left").select(*df.columns, piece)
+    within = rows.withColumn("_within", F.lag(row).over(Window.partitionBy(key, "_piece").orderBy(at, tie)))
 
-    last = (
-        rows.where(F.col("_day").isNotNull())
-        .groupBy(key, "_day")
-        .agg(F.max_by(row, F.struct(at, tie)).alias("_last"))
-    )
-    by_key = Window.partitionBy(key).orderBy("_day")
-    handed = last.select(key, "_day", F.lag("_last").over(by_key).alias("_handed"))
+    last = df.join(cuts, hot).select("_hot", piece, row.alias("_row"), F.struct(at, tie).alias("_at"))
+    last = last.groupBy("_hot", "_piece").agg(F.max_by("_row", "_at").alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy("_hot").orderBy("_piece"))
+    handed = last.select("_hot", F.col("_piece").alias("_after"), before.alias("_handed"))
 
+    own = hot & (F.col("_piece") == F.col("_after"))
     before = F.coalesce("_within", "_handed")
-    return within.join(handed, [key, "_day"], "left").select(
+    return within.join(F.broadcast(handed), own, "left").select(
         *df.columns, *[before.getField(c).alias(f"{prefix}{c}") for c in carry]
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 1 / 1024
 MIN_HOT_ROWS = 1_000_000
@@ -29,16 +29,21 @@ def hot_keys(
     Counting reads the key columns only and combines before the shuffle. The result
     has at most ``1 / share`` rows and the pieces add up to at most ``2 / share``.
     """
-    counts = (
-        df.dropna(how="any", subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = counts.agg(F.sum("_n")).scalar()
-    piece_rows = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
-    return counts.where(F.col("_n") > piece_rows).select(
-        *keys, F.ceil(F.col("_n") / piece_rows).cast("int").alias(PIECES)
-    )
+    counts = df.dropna(how="any", subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return hot_counts(counts, keys, share, min_rows)
+
+
+def hot_counts(
+    counts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
+    """The same where the rows ``_n`` of each key have been counted already."""
+    rows = piece_rows(counts, share, min_rows)
+    return counts.where(F.col("_n") > rows).select(*keys, F.ceil(F.col("_n") / rows).cast("int").alias(PIECES))
+
+
+def piece_rows(counts: DataFrame, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS) -> Column:
+    """Rows beyond which a key is hot, and which each of its pieces has at most on average."""
+    return F.greatest(counts.agg(F.sum("_n")).scalar() * F.lit(share), F.lit(float(min_rows)))
 
 
 def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:

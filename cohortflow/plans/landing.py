@@ -336,3 +336,23 @@ def sequence_hot(spark, sf):
         "encounter_id", "prev_admission", "prev_discharge", "prev_los", "return_gap_days",
         "days_since_discharge", "is_readmitted_30d",
     )
+
+
+@query
+def sequence_one_day(spark, sf):
+    """Priorities as five patients, all their visits of a year on one day: ranges are cut within the day."""
+    rows = g.read(spark, sf, "orders").select(
+        F.nullif(F.substring("o_orderpriority", 1, 1), F.lit("5")).alias("patient_id"),
+        F.date_trunc("year", "o_orderdate").cast("date").alias("on_date"),
+        "o_orderkey",
+        "o_totalprice",
+    )
+    found = sequence.previous_event(rows, "patient_id", "on_date", "o_orderkey", ["o_orderkey", "o_totalprice"], share=1 / 64, min_rows=64)
+    return found.select("o_orderkey", "prev_o_orderkey", "prev_o_totalprice")
+
+
+@query
+def pairs_wide(spark, sf):
+    """All pairs of parts' brands that a customer has bought, from tiles of four brands."""
+    bought = g.lines(spark, sf).select(F.col("PATIENT").alias("patient_id"), F.col("DESCRIPTION").alias("condition"))
+    return cohort.label_pairs(bought, tile=4)

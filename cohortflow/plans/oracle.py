@@ -916,6 +916,14 @@ RESULT |= {
     "enrich_hot": """select o_orderkey, nullif(o_custkey, 1) as c_custkey, c_mktsegment from orders
       left join customer on nullif(o_custkey, 1) = c_custkey and c_custkey % 4 <> 0""",
     "sequence_hot": RESULT["return_sequence"],
+    "sequence_one_day": """select o_orderkey, lag(o_orderkey) over w as prev_o_orderkey,
+      lag(o_totalprice) over w as prev_o_totalprice from orders
+      window w as (partition by nullif(left(o_orderpriority, 1), '5')
+        order by date_trunc('year', o_orderdate), o_orderkey)""",
+    "pairs_wide": """with bought as (select distinct o_custkey as k, p_brand as b from lineitem
+      join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey)
+      select x.b as condition_a, y.b as condition_b, count(*) as patient_count
+      from bought x join bought y on x.k = y.k and x.b < y.b group by 1, 2""",
 }
 
 ORACLES = {name: _with(body) for name, body in RESULT.items()}

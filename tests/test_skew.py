@@ -6,9 +6,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import Window, functions as F
 
-from cohortflow.operators.cohort import comorbidity_pairs, label_pairs
+from cohortflow.operators.cohort import comorbidity_pairs, label_pairs, pair_tiles
 from cohortflow.operators.joins import attach_state, enrich
-from cohortflow.operators.sequence import return_sequence, top_n_per_group
+from cohortflow.operators.sequence import previous_event, return_sequence, top_n_per_group
 from cohortflow.operators.skew import hot_keys, salted_join
 
 FORCED = {"share": 0.05, "min_rows": 10}
@@ -98,6 +98,34 @@ def test_return_sequence_of_a_hot_patient(skewed):
     assert split.where("is_readmitted_30d = 1").count() > 0
 
 
+@pytest.fixture
+def crowded(spark):
+    """A key with a third of all rows on one day, and as many rows without a key."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 50))
+    day = F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("2020-05-05")).cast("timestamp_ntz")
+    at = F.when(F.col("id") % 3 == 0, F.lit("2020-05-05").cast("timestamp_ntz")).otherwise(day)
+    return spark.range(3000).select(F.format_string("e%05d", F.xxhash64("id") % 1_000_003 + 2_000_000).alias("tie"), key.alias("key"), at.alias("at"), F.col("id").alias("v"))
+
+
+@pytest.mark.parametrize("min_rows", [3, 40, 300, 100_000])
+def test_previous_event_within_one_day(crowded, min_rows):
+    w = Window.partitionBy("key").orderBy("at", "tie")
+    expected = crowded.select("*", F.lag("v").over(w).alias("prev_v"))
+    found = previous_event(crowded, "key", "at", "tie", ["v"], share=1e-9, min_rows=min_rows)
+    assert rows(found) == rows(expected)
+
+
+def test_one_day_of_a_hot_key_is_many_tasks(spark, crowded):
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        found = previous_event(crowded, "key", "at", "tie", ["v"], share=1 / 64, min_rows=10)
+        for name in ("hot", None):
+            part = found.where(F.col("key").eqNullSafe(F.lit(name))).groupBy(F.spark_partition_id().alias("task")).count().collect()
+            assert len(part) >= 4 and max(r["count"] for r in part) < 0.5 * 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_enrich_keeps_every_row_once(spark, skewed):
     df = encounters(skewed)
     a = spark.createDataFrame([("hot", 1), ("k1", 2)], "patient_id string, a int")
@@ -139,6 +167,7 @@ def labels(spark, rng, hot_labels):
 
 
 def brute_pairs(df):
+    df = df.distinct()
     a, b = df.alias("a"), df.alias("b")
     on = (F.col("a.patient_id") == F.col("b.patient_id")) & (F.col("a.condition") < F.col("b.condition"))
     return (
@@ -153,6 +182,30 @@ def test_label_pairs_equal_the_self_join(spark):
     assert rows(label_pairs(df)) == rows(brute_pairs(df))
 
 
+@pytest.mark.parametrize("tile", [1, 4, 7, 256])
+def test_label_pairs_in_tiles(spark, tile):
+    """Repeated rows, keys and labels that are NULL, a key without a pair."""
+    df = labels(spark, random.Random(5), 90)
+    odd = spark.createDataFrame([(None, "a"), (None, "b"), (5, None), (6, "lone")], df.schema)
+    df = df.unionByName(df.limit(50)).unionByName(odd)
+    assert rows(label_pairs(df, tile=tile)) == rows(brute_pairs(df))
+    assert label_pairs(df.limit(0), tile=tile).count() == 0
+
+
+def test_a_wide_key_is_no_tasks_whole(spark):
+    """One key with 20,000 labels, a third of all rows and more: tiles of bounded size, exact pairs."""
+    wide = spark.range(20_000).select(F.lit(1).alias("patient_id"), F.format_string("L%05d", "id").alias("condition"))
+    few = spark.range(3000).select((F.col("id") % 600 + 2).cast("int").alias("patient_id"), F.format_string("L%05d", F.pmod(F.xxhash64("id"), F.lit(37))).alias("condition"))
+    df = wide.unionByName(few)
+    tiles = pair_tiles(df, "patient_id", "condition", 256)
+    sizes = [r.n for r in tiles.select((F.size("left") + F.size("right")).alias("n")).collect()]
+    assert max(sizes) < 3 * 256 and len(sizes) > 79 * 80 / 2
+    top = comorbidity_pairs(df)
+    narrow = df.where("condition < 'L00037'")  # other labels are one key's alone
+    best = [r for r in brute_pairs(narrow).orderBy(F.col("patient_count").desc(), "condition_a", "condition_b").limit(50).collect()]
+    assert top.collect() == best and best[-1].patient_count > 1
+
+
 @pytest.mark.parametrize("k", [5, 50, 5000])
 def test_top_pairs_are_exact_after_pruning(spark, k):
     df = labels(spark, random.Random(4), 40)
