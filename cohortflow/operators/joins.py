@@ -23,6 +23,7 @@ def enrich(
     by_subject: Sequence[DataFrame] = (),
     row_key: str = "encounter_id",
     subject_key: str = "patient_id",
+    hot: DataFrame | None = None,
     **skew,
 ) -> DataFrame:
     """Left-join feature tables, all unique per key, so no row is multiplied.
@@ -30,20 +31,54 @@ def enrich(
     ``rows`` is unique per ``row_key``, so those joins cannot be skewed and share one
     partitioning. Subject tables are first combined among themselves; the rows then
     meet them in a single join that splits hot subjects. Those are counted on ``rows``, which
-    has the same subjects as the joined rows, so the joins run once.
+    has the same subjects as the joined rows, so the joins run once; ``hot`` gives them where a
+    cheaper frame than ``rows`` tells them.
     """
     out = reduce(lambda a, b: a.join(b, row_key, "left"), by_row, rows)
     if by_subject:
         wide = combine_features(by_subject, subject_key)
-        hot = hot_keys(rows, [subject_key], **skew)
+        hot = hot_keys(rows, [subject_key], **skew) if hot is None else hot
         out = salted_join(out, wide, [subject_key], "left", spread=[row_key], hot=hot)
     return out
 
 
+#: Tasks over which a source that fills most of a batch is spread when it meets a ledger.
+SEEN_PIECES = 32
+SEEN = "_seen"
+
+
+def mark_seen(
+    df: DataFrame, ledger: DataFrame, columns: Sequence[str], within: Column | None = None, pieces: int = SEEN_PIECES
+) -> DataFrame:
+    """``df`` with ``_seen``: whether the ledger, which has columns of the same names, knows a row's source.
+
+    ``within`` is a further condition on the ledger's columns, true for one of its rows at most. The
+    ledger is small beside a batch, so it is copied to fixed pieces and every source is dealt over
+    them: one that fills most of the batch is split without a pass that counts it first.
+    """
+    known = ledger.withColumns({SEEN: F.lit(True), "_deal": F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))})
+    named = {c: f"_of_{c}" for c in columns}
+    known = known.withColumnsRenamed(named)
+    on = [F.col(c) == F.col(n) for c, n in named.items()] + [F.col("_row_deal") == F.col("_deal")] + ([] if within is None else [within])
+    spread = [c for c, t in df.dtypes if not t.startswith("map")]
+    dealt = df.withColumn("_row_deal", F.pmod(F.xxhash64(*spread), F.lit(pieces)).cast("int"))
+    met = dealt.join(known, reduce(lambda a, b: a & b, on), "left")
+    return met.select(*df.columns, F.coalesce(SEEN, F.lit(False)).alias(SEEN))
+
+
 def skip_seen(df: DataFrame, ledger: DataFrame, column: str, ledger_column: str) -> DataFrame:
     """Rows whose source is not in the ledger; one file may hold most of the batch."""
     seen = ledger.select(F.col(ledger_column).alias(column)).distinct()
-    return salted_join(df, seen, [column], "left_anti")
+    return mark_seen(df, seen, [column]).where(~F.col(SEEN)).drop(SEEN)
+
+
+LOG_PLACE = ("kafka_topic", "kafka_partition")
+
+
+def mark_seen_offsets(df: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``df`` with ``_seen``: whether a row's offset lies in one of the ranges, which do not overlap."""
+    inside = F.col("kafka_offset").between(F.col("first_offset"), F.col("last_offset"))
+    return mark_seen(df, ranges.select(*LOG_PLACE, "first_offset", "last_offset"), LOG_PLACE, inside)
 
 
 def upsert_counts(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .sequence import latest_per_key
 
@@ -88,10 +88,34 @@ def file_ledger(df: DataFrame, status: str | Column, source: str = "source_file"
     )
 
 
-def offset_ledger(df: DataFrame) -> DataFrame:
-    """Rows and offset range per log partition, for batches that come from a log."""
-    return df.groupBy("kafka_topic", "kafka_partition").agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.min("kafka_offset").alias("first_offset"),
-        F.max("kafka_offset").alias("last_offset"),
+#: Offsets of a log partition that one window group numbers.
+OFFSET_BLOCK = 1 << 16
+
+
+def offset_runs(df: DataFrame, block: int = OFFSET_BLOCK) -> DataFrame:
+    """Ranges of consecutive offsets per log partition, without gaps, and the records of each.
+
+    Offsets are numbered within blocks of their values, so a log partition that fills the batch is not one
+    task's; ranges that touch across blocks are merged.
+    """
+    place = ["kafka_topic", "kafka_partition"]
+    rows = df.where(F.col("kafka_offset").isNotNull()).groupBy(*place, "kafka_offset").agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumn("_block", F.floor(F.col("kafka_offset") / block))
+    number = F.row_number().over(Window.partitionBy(*place, "_block").orderBy("kafka_offset"))
+    runs = rows.withColumn("_run", F.col("kafka_offset") - number).groupBy(*place, "_block", "_run")
+    found = runs.agg(
+        F.sum("_n").alias("record_count"), F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset")
     )
+    return merge_runs(found.drop("_block", "_run"))
+
+
+def merge_runs(runs: DataFrame) -> DataFrame:
+    """Ranges per log partition that neither overlap nor touch; ranges are few beside the records they stand for."""
+    place = ["kafka_topic", "kafka_partition"]
+    ordered = Window.partitionBy(*place).orderBy("first_offset", "last_offset")
+    reached = F.max("last_offset").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = runs.withColumn("_opens", F.when(F.col("first_offset") <= reached + 1, F.lit(0)).otherwise(F.lit(1)))
+    numbered = opens.withColumn("_range", F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*place, "_range").agg(
+        F.sum("record_count").alias("record_count"), F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset")
+    ).drop("_range")

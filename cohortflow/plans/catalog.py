@@ -768,24 +768,22 @@ def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query
 def micro_batch_silver(spark, sf):
-    """The encounter stream run to its end, then Silver read back."""
+    """The encounter stream run to its end in two batches, the second after a restart, then Silver read back."""
     root = fresh_run(spark, "medallion")
-    raw = g.damaged(_table_stream(spark, sf, "orders"))
-    stream = raw.select(
-        *canonicalise(raw),
-        F.lit("file").alias("source_system"),
-        F.concat(F.lit("orders-"), F.substring("DATE", 1, 4), F.lit(".csv")).alias("source_file"),
-    )
+    orders = g.read(spark, sf, "orders")
     patients, *by_patient = g.patient_features(spark, sf)
     known = Features(patients, g.encounter_features(spark, sf), by_patient)
-    query = run_medallion(
-        stream,
-        Tables(root),
-        known,
-        f"{root}/checkpoint",
-        now=datetime(2024, 2, 1, tzinfo=timezone.utc),
-    )
-    query.awaitTermination()
+    for part in (0, 1):
+        orders.where(F.col("o_orderkey") % 2 == part).write.mode("append").parquet(f"{root}/landed")
+        raw = g.damaged(spark.readStream.schema(orders.schema).parquet(f"{root}/landed"))
+        half = (F.col("ROW_NUMBER") % 2).cast("string")
+        stream = raw.select(
+            *canonicalise(raw),
+            F.lit("file").alias("source_system"),
+            F.concat(F.lit("orders-"), F.substring("DATE", 1, 4), F.lit("-"), half, F.lit(".csv")).alias("source_file"),
+        )
+        now = datetime(2024, 2, 1 + part, tzinfo=timezone.utc)
+        run_medallion(stream, Tables(root), known, f"{root}/checkpoint", now=now).awaitTermination()
     columns = (
         "encounter_id",
         "patient_id",

@@ -33,7 +33,8 @@ from ..sources.logs import (
 )
 from ..sources.snapshot import write_snapshot
 from ..streaming.cursor import cursor_of, incremental_slice, load_cursors, next_cursor, save_cursors
-from ..streaming.medallion import Features, Tables, process_batch, state_of, with_lineage
+from ..streaming.medallion import Features, Tables, process_batch, with_lineage
+from ..streaming.state import KeyedState
 from ..streaming.writers import Load, stream_to_table
 from . import given as g
 from .catalog import QUERIES, audit, fresh_run, gaps, groups, metrics, pairs, query, stays
@@ -273,15 +274,29 @@ def file_idempotence(spark, sf):
 
 @query
 def keyed_state(spark, sf):
-    """The latest stay of each patient over the state updates of two loads."""
-    path = fresh_run(spark, "state")
+    """The latest stay of each patient over the state updates of two loads, the second written twice as by a retry."""
+    state = KeyedState(fresh_run(spark, "state"))
     rows = stays(spark, sf).withColumn("late", F.col("diagnosis_code") == "O")
-    for batch_id, late in enumerate((False, True)):
+    for batch_id, late in ((0, False), (1, True), (1, True)):
         updates = state_updates(rows.where(F.col("late") == late))
-        at = F.lit(f"2024-02-0{batch_id + 1}").cast("timestamp")
-        Load("run", batch_id).write(updates.withColumn("loaded_at", at), path)
-    fields = ["patient_id", "last_encounter_id", "last_admission_date", "last_discharge_date", "last_los_days"]
-    return state_of(read_optional(spark, path, merge_schema=True)).select(*fields)
+        state.update(spark, Load("run", batch_id), updates, F.lit(f"2024-02-0{batch_id + 1}").cast("timestamp"))
+    return state.now(spark).select("patient_id", *state.fields)
+
+
+@query
+def offset_idempotence(spark, sf):
+    """Log records delivered again with later ones: offsets that have landed are skipped before Bronze."""
+    tables = Tables(fresh_run(spark, "offsets"))
+    rows = parse_encounter_log(encounter_records(spark, sf))
+    at = F.col("kafka_offset")
+    middle = rows.agg(F.expr("percentile_approx(kafka_offset, array(0.3, 0.6))").alias("cut")).first()["cut"]
+    batches = (rows.where(at <= middle[1]), rows.where(at > middle[0]), rows.where(at <= middle[0]))
+    for batch_id, batch in enumerate(batches):
+        process_batch(batch, batch_id, tables, Features(), run_id="log", now=datetime(2024, 2, batch_id + 1))
+    bronze = spark.read.parquet(tables.bronze)
+    return bronze.groupBy("kafka_partition").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("kafka_offset").alias("offsets"), F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset")
+    )
 
 
 @query

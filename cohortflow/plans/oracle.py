@@ -908,6 +908,8 @@ RESULT |= {
       case when left(dt, 4) < '1996' then 0 else 1 end as batch_id, count(*) as n_rows
       from raw group by 1, 2""",
     "keyed_state": RESULT["upsert_conditional"],
+    "offset_idempotence": """select (row_number % 4)::int as kafka_partition, count(*) as n_rows,
+      count(*) as offsets, min(row_number) as first_offset, max(row_number) as last_offset from raw group by 1""",
     "cursor_upsert": " union all ".join(
         _cursor(n, k) for n, k in (("events", "event_id"), ("orders", "o_orderkey"), ("customer", "c_custkey"))
     ),

@@ -10,24 +10,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.cohort import derive_silver, drop_private
-from ..operators.joins import attach_state, enrich, skip_seen, upsert_counts
+from ..operators.joins import SEEN, attach_state, enrich, mark_seen, mark_seen_offsets
 from ..operators.quality import (
     batch_audit,
     clinical_gate,
     counts_frame,
     raw_rules,
-    split_tagged,
     tag_reference,
     tag_rules,
     warning_status,
 )
-from ..operators.sequence import dedup_by_key, latest_per_key
-from ..operators.tables import current_rows, file_ledger, offset_ledger, state_updates
+from ..operators.sequence import dedup_by_key
+from ..operators.skew import hot_keys
+from ..operators.tables import current_rows, file_ledger, merge_runs, offset_runs, state_updates
 from ..sources.files import read_optional
+from .state import KeyedState
 from .writers import Load, run_id_of, with_checkpoint, with_trigger
 
 SKIPPED = "SKIPPED_ALREADY_PROCESSED"
 CLEAN, REJECTED = "clean", "rejected"
+#: Whether no earlier load has landed a row's file or offset.
+FRESH = "_fresh"
 LINEAGE = (
     "source_system",
     "source_file",
@@ -63,7 +66,7 @@ class Tables:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in ("bronze", "quarantine", "silver", "state", "ledger", "offsets", "audit"):
+        if name not in ("bronze", "checked", "silver", "state", "ledger", "offsets", "audit"):
             raise AttributeError(name)
         return f"{self.root}/{name}"
 
@@ -82,6 +85,7 @@ def with_lineage(df: DataFrame, now: Column) -> DataFrame:
     kept = [c for c in (*CORE, *LINEAGE) if c in df.columns]
     return df.select(
         *kept,
+        *[c for c in (FRESH,) if c in df.columns],
         now.alias("ingestion_timestamp"),
         F.to_json(F.struct(*kept)).alias("raw_payload"),
     )
@@ -98,32 +102,19 @@ def silver_now(spark: SparkSession, tables: Tables) -> DataFrame | None:
 def quarantine_now(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """All rejected rows: raw failures, and rows the clinical gate turned away."""
     parts = []
-    raw = read_optional(spark, tables.quarantine, merge_schema=True)
+    raw = read_optional(spark, tables.checked, merge_schema=True)
     gated = read_optional(spark, tables.silver, merge_schema=True)
     common = ["encounter_id", "patient_id", "admission_date", "quarantine_reason", "quality_stage"]
     if raw is not None:
-        parts.append(raw.select(*common))
+        parts.append(_rejected(raw, "RAW_VALIDATION").select(*common))
     if gated is not None:
-        late = gated.where(F.col("verdict") == REJECTED)
-        stage = F.lit("ENRICHED_VALIDATION").alias("quality_stage")
-        parts.append(
-            late.select(*common[:3], F.col("failure_reasons").alias("quarantine_reason"), stage)
-        )
+        parts.append(_rejected(gated, "ENRICHED_VALIDATION").select(*common))
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def state_of(log: DataFrame | None, only: DataFrame | None = None) -> DataFrame | None:
-    """Latest encounter per patient over state updates of many loads.
-
-    A later load only replaces an earlier one when its date is not older. ``only`` holds
-    the patients asked for; a small batch then leaves the rest of the log untouched.
-    """
-    if log is None:
-        return None
-    if only is not None:
-        log = log.join(only, "patient_id", "left_semi")
-    order = ["last_admission_date", "loaded_at", "batch_id", "run_id"]
-    return latest_per_key(log, ["patient_id"], [c for c in order if c != "run_id" or c in log.columns])
+def _rejected(rows: DataFrame, stage: str) -> DataFrame:
+    reason = F.col("failure_reasons").alias("quarantine_reason")
+    return rows.where(F.col("verdict") == REJECTED).select("*", reason, F.lit(stage).alias("quality_stage"))
 
 
 def tag_raw(bronze: DataFrame, patients: DataFrame | None, now: Column) -> DataFrame:
@@ -131,6 +122,37 @@ def tag_raw(bronze: DataFrame, patients: DataFrame | None, now: Column) -> DataF
     return tagged if patients is None else tag_reference(tagged, patients, "patient_id")
 
 
+OFFSETS = "kafka_topic string, kafka_partition int, record_count bigint, first_offset bigint, last_offset bigint"
+
+
+def seen_offsets(spark: SparkSession, load: Load, tables: Tables) -> DataFrame | None:
+    """Offset ranges that loads before this one have landed.
+
+    Each load leaves the whole set, merged, so the last one's is enough; loads of one instant are merged again.
+    """
+    left = load.earlier(spark, tables.offsets, f"{OFFSETS}, loaded_at timestamp")
+    if left is None:
+        return None
+    last = left.agg(F.max("loaded_at")).scalar()
+    return merge_runs(left.where(F.col("loaded_at") == last).select(*[f.split()[0] for f in OFFSETS.split(", ")]))
+
+
+def _unseen(spark: SparkSession, batch: DataFrame, load: Load, tables: Tables) -> DataFrame:
+    """The batch with a flag for rows whose file, or whose place in the log, no earlier load has landed."""
+    seen = None
+    if "source_file" in batch.columns:
+        seen = load.earlier(spark, tables.ledger, "file_name string")
+        if seen is not None:
+            seen = mark_seen(batch, seen.select(F.col("file_name").alias("source_file")).distinct(), ["source_file"])
+    elif "kafka_offset" in batch.columns:
+        ranges = seen_offsets(spark, load, tables)
+        if ranges is not None:
+            seen = mark_seen_offsets(batch, ranges)
+    if seen is None:
+        return batch.withColumn(FRESH, F.lit(True))
+    return seen.withColumn(FRESH, ~F.col(SEEN)).drop(SEEN)
+
+
 def process_batch(
     batch: DataFrame,
     batch_id: int,
@@ -141,12 +163,13 @@ def process_batch(
     pipeline: str = "encounters",
     batch_type: str = "INCREMENTAL",
 ) -> None:
-    """Run one micro-batch; safe to repeat.
+    """Run one micro-batch in six writes at most; safe to repeat.
 
-    Files in the ledger are skipped before anything is written, so Bronze holds no file twice. What
-    is left is written to Bronze and read back, so nothing later depends on cached blocks or
-    re-reads the source. The ledger and the audit come last: a batch that died half-way
-    is not in the ledger, and its retry overwrites what it left.
+    Files and log offsets that an earlier load landed are skipped before anything is written, so Bronze holds
+    none twice. What is left is written to Bronze and read back, so nothing later depends on cached
+    blocks or re-reads the source. All counts of the audit are gathered by the writes themselves. The
+    ledger and the audit come last: a batch that died half-way is not in the ledger, and its
+    retry overwrites what it left.
     """
     spark = batch.sparkSession
     load = Load(run_id or run_id_of(spark), int(batch_id))
@@ -155,18 +178,20 @@ def process_batch(
     stamp = F.lit(now or started)
 
     by_file = "source_file" in batch.columns
-    seen = load.earlier(spark, tables.ledger) if by_file else None
-    came = batch.agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.count_distinct("source_file") if by_file else F.lit(0)).alias("files"),
-    ).first()
-    total, files = came["n"], came["files"]
+    landing = with_lineage(_unseen(spark, batch, load, tables), stamp)
+    one = F.lit(1)
+    came = load.write(
+        landing,
+        tables.bronze,
+        keep=FRESH,
+        total=F.count(one),
+        fresh=F.count(F.when(F.col(FRESH), one)),
+        # Names of the batch's files, which Spark's source has listed on the driver before.
+        files=F.size(F.collect_set("source_file")) if by_file else F.max(F.lit(0)),
+    )
+    total, fresh_count = came["total"], came["fresh"]
     if total == 0:
         return
-    unseen = skip_seen(batch, seen, "source_file", "file_name") if seen is not None else batch
-    load.write(with_lineage(unseen, stamp), tables.bronze)
-    fresh = load.own(spark, tables.bronze)
-    fresh_count = fresh.count()
     metrics = {
         "source_records_read": total,
         "silver_records_written": 0,
@@ -175,19 +200,22 @@ def process_batch(
         "duplicate_records_skipped": total - fresh_count,
         "records_inserted": 0,
         "records_updated": 0,
-        "input_file_count": files,
+        "input_file_count": came["files"] or 0,
         "batch_type": batch_type,
         "pipeline_name": pipeline,
     }
     status = None if fresh_count else SKIPPED
     if fresh_count:
+        fresh = load.own(spark, tables.bronze, landing.drop(FRESH).schema)
         metrics |= _refine(spark, fresh, load, tables, features, at, stamp)
         metrics["duplicate_records_skipped"] += total - fresh_count
         verdict = "ANOMALIES_ISOLATED" if metrics["quarantine_records_written"] else "SUCCESS"
         if by_file:
             load.write(file_ledger(fresh, verdict).withColumn("loaded_at", stamp), tables.ledger)
         elif "kafka_offset" in fresh.columns:
-            load.write(offset_ledger(fresh).withColumn("loaded_at", stamp), tables.offsets)
+            runs, before = offset_runs(fresh), seen_offsets(spark, load, tables)
+            whole = runs if before is None else merge_runs(runs.unionByName(before))
+            load.write(whole.withColumn("loaded_at", stamp), tables.offsets)
 
     finished = datetime.now(timezone.utc)
     metrics["execution_timestamp"] = now or finished
@@ -216,52 +244,58 @@ def _needed(features: Features, landed: DataFrame) -> Features:
 
 
 def _refine(spark, fresh, load, tables, features, at, stamp) -> dict[str, int]:
-    landed = load.own(spark, tables.bronze)
-    features = _needed(features, landed)
-    batch_patients = landed.select("patient_id").distinct()
+    """Checked rows by verdict, Silver, state: three writes that count what they write."""
+    features = _needed(features, fresh)
+    state = KeyedState(tables.state)
+    one = F.lit(1)
+
     tagged = tag_raw(fresh, features.patients, at)
-    clean, raw_bad = split_tagged(tagged, "failure_reasons", "RAW_VALIDATION", stamp)
-    load.write(raw_bad, tables.quarantine)
+    ok = F.col("verdict") == CLEAN
+    checked = tagged.withColumns({"verdict": F.when(F.col("failure_reasons") == "", F.lit(CLEAN)).otherwise(F.lit(REJECTED)), "checked_at": stamp})
+    raw = load.write(
+        checked, tables.checked, ["verdict"], clean=F.count(F.when(ok, one)), bad=F.count(F.when(~ok, one)), buckets=F.collect_set(F.when(ok, state.bucket()))
+    )
+    if not raw["clean"]:
+        return {"quarantine_records_written": raw["bad"]}
+    clean = load.own(spark, tables.checked, checked.schema).where(ok).drop("verdict", "failure_reasons", "checked_at")
 
     # One row per encounter: the first by all its columns, so a retry picks the same.
     order = [c for c in (*CORE[1:], *LINEAGE) if c in clean.columns]
     unique = dedup_by_key(clean, ["encounter_id"], order)
-    repeats = clean.groupBy("encounter_id").agg((F.count(F.lit(1)) - 1).alias("n"))
-    duplicates = repeats.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-
     by_patient = [t for t in (features.patients, *features.by_patient) if t is not None]
-    derived = derive_silver(enrich(unique, features.by_encounter, by_patient), at)
-    state = state_of(load.earlier(spark, tables.state), batch_patients)
-    gated = warning_status(clinical_gate(attach_state(derived, state))).drop("raw_payload")
+    hot = hot_keys(clean, ["patient_id"])
+    derived = derive_silver(enrich(unique, features.by_encounter, by_patient, hot=hot), at)
+    stood = attach_state(derived, state.earlier(spark, load, raw["buckets"]), hot=hot)
+    gated = warning_status(clinical_gate(stood)).drop("raw_payload")
     verdict = F.when(F.col("failure_reasons") == "", F.lit(CLEAN)).otherwise(F.lit(REJECTED))
-    load.write(
-        drop_private(gated).withColumns({"verdict": verdict, "loaded_at": stamp}),
+    rows = drop_private(gated).withColumns({"verdict": verdict, "loaded_at": stamp})
+
+    known = load.earlier(spark, tables.silver, "encounter_id string, verdict string")
+    flagged = rows.withColumn("_updates", F.lit(False))
+    if known is not None:
+        ids = clean.select("encounter_id").distinct()
+        there = known.where(ok).select("encounter_id").join(ids, "encounter_id", "left_semi").distinct()
+        flagged = rows.join(there.withColumn("_updates", F.lit(True)), "encounter_id", "left")
+    done = load.write(
+        flagged,
         tables.silver,
         ["verdict", "encounter_year"],
+        unwritten=["_updates"],
+        n=F.count(F.when(ok, one)),
+        warned=F.count(F.when(ok & (F.col("quality_warning_count") > 0), one)),
+        bad=F.count(F.when(~ok, one)),
+        updated=F.count(F.when(ok & F.col("_updates"), one)),
     )
-
-    written = load.own(spark, tables.silver)
-    counts = {"n": 0, "w": 0, "bad": 0}
-    updated = 0
-    if written is not None:
-        ok = F.col("verdict") == CLEAN
-        counts = written.agg(
-            F.count(F.when(ok, F.lit(1))).alias("n"),
-            F.count(F.when(ok & (F.col("quality_warning_count") > 0), F.lit(1))).alias("w"),
-            F.count(F.when(~ok, F.lit(1))).alias("bad"),
-        ).first()
-        silver = written.where(ok)
-        load.write(state_updates(silver).withColumn("loaded_at", stamp), tables.state)
-        before = load.earlier(spark, tables.silver).where(ok)
-        updated = upsert_counts(silver, before, ["encounter_id"]).first()["records_updated"]
-    raw_bad_count = load.own(spark, tables.quarantine).count()
+    if done["n"]:
+        written = load.own(spark, tables.silver, rows.schema).where(ok)
+        state.update(spark, load, state_updates(written), stamp.cast("timestamp"), raw["buckets"])
     return {
-        "silver_records_written": counts["n"],
-        "warning_records": counts["w"],
-        "quarantine_records_written": raw_bad_count + counts["bad"],
-        "duplicate_records_skipped": duplicates,
-        "records_inserted": counts["n"] - updated,
-        "records_updated": updated,
+        "silver_records_written": done["n"],
+        "warning_records": done["warned"],
+        "quarantine_records_written": raw["bad"] + done["bad"],
+        "duplicate_records_skipped": raw["clean"] - done["n"] - done["bad"],
+        "records_inserted": done["n"] - done["updated"],
+        "records_updated": done["updated"],
     }
 
 

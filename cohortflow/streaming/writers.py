@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..sources.files import read_optional
+from ..sources.files import load_if_present, read_optional
 
 
 def with_trigger(writer, mode: str = "availablenow", interval: str = "0 seconds"):
@@ -46,17 +47,37 @@ class Load:
     def folder(self, table: str) -> str:
         return f"{table}/run_id={self.run_id}/batch_id={self.batch_id}"
 
-    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        """Overwrite the load's folder; partitions get few files, large ones are split."""
+    def write(
+        self, df: DataFrame, table: str, partition_by: Sequence[str] = (), keep: str | None = None, unwritten: Sequence[str] = (), **counts: Column
+    ) -> dict:
+        """Overwrite the load's folder; partitions get few files, large ones are split.
+
+        Rows where ``keep`` is not true are counted only; neither it nor the columns ``unwritten`` reach the table.
+
+        ``counts`` are aggregates of the rows written, gathered as they are written: in the tasks of the
+        last stage, whose results count once however often a task is run.
+        """
         if partition_by:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        seen = Observation() if counts else None
+        if seen is not None:
+            df = df.observe(seen, *[count.alias(name) for name, count in counts.items()])
+        df = (df if keep is None else df.where(keep).drop(keep)).drop(*unwritten)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(table))
-
-    def own(self, spark: SparkSession, table: str) -> DataFrame | None:
-        return read_optional(spark, self.folder(table))
-
-    def earlier(self, spark: SparkSession, table: str) -> DataFrame | None:
-        rows = read_optional(spark, table, merge_schema=True)
+        return seen.get if seen is not None else {}
+
+    def own(self, spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame | None:
+        """What this load has written; with its ``schema`` given, no file is opened to learn it."""
+        if schema is None:
+            return read_optional(spark, self.folder(table))
+        return load_if_present(spark.read.schema(schema), self.folder(table), "parquet")
+
+    def earlier(self, spark: SparkSession, table: str, columns: str | None = None) -> DataFrame | None:
+        """Rows of all other loads. ``columns`` (DDL) are those needed: then no footer of a past load is read for its schema."""
+        if columns is None:
+            rows = read_optional(spark, table, merge_schema=True)
+        else:
+            rows = load_if_present(spark.read.schema(f"{columns}, run_id string, batch_id bigint"), table, "parquet")
         if rows is None:
             return None
         mine = (F.col("run_id") == self.run_id) & (F.col("batch_id") == self.batch_id)

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cohortflow.operators.features import allergy_features, patients
+from cohortflow.operators.tables import offset_runs
 from cohortflow.plans.domains import DOMAINS
 from cohortflow.sources.logs import LOG_SCHEMA, encounter_file_stream, log_stream, parse_encounter_log
 from cohortflow.streaming.cursor import (
@@ -22,8 +23,9 @@ from cohortflow.streaming.medallion import (
     quarantine_now,
     run_medallion,
     silver_now,
-    state_of,
 )
+from cohortflow.streaming.state import KeyedState
+from cohortflow.streaming.writers import Load
 from cohortflow.streaming.router import route_domains, run_router
 
 NOW = datetime(2026, 6, 1, tzinfo=timezone.utc)
@@ -140,7 +142,7 @@ def test_restart_updates_state_and_upserts(spark, tmp_path, two_batches):
     assert silver["e0003"].is_readmitted_online == 1
     assert silver["e0004"].is_readmitted_online == 0  # arrived after a later stay
 
-    state = {r.patient_id: r.last_encounter_id for r in state_of(spark.read.parquet(tables.state)).collect()}
+    state = {r.patient_id: r.last_encounter_id for r in KeyedState(tables.state).now(spark).collect()}
     assert state == {"p1": "e0003", "p2": "e0002"}  # an older date does not replace a newer one
 
     run(spark, tmp_path, feats)  # nothing new: no batch, no rows
@@ -149,7 +151,7 @@ def test_restart_updates_state_and_upserts(spark, tmp_path, two_batches):
 
 def test_repeated_batch_leaves_the_same_tables(spark, tmp_path, two_batches):
     feats, tables = two_batches
-    names = ("bronze", "quarantine", "silver", "state", "ledger")
+    names = ("bronze", "checked", "silver", "state", "ledger")
     before = {n: rows(spark.read.parquet(getattr(tables, n)).drop("raw_payload")) for n in names}
     last = spark.read.parquet(tables.bronze).where("batch_id = 1")
     run_id = last.first().run_id
@@ -195,6 +197,80 @@ def test_log_batches_keep_an_offset_ledger_and_need_no_features(spark, tmp_path)
     assert silver.first().quality_status == "VALID_WITH_WARNINGS"
 
 
+def log_batch(spark, offsets):
+    body = {"PATIENT": "p1", "DATE": "2026-01-02", "CODE": "c", "DESCRIPTION": "x"}
+    records = [("t", i % 2, i // 2, datetime(2026, 1, 1), "k", json.dumps({**body, "ID": f"e{i}"})) for i in offsets]
+    return parse_encounter_log(spark.createDataFrame(records, LOG_SCHEMA))
+
+
+def test_log_offsets_land_once(spark, tmp_path):
+    """The second delivery overlaps the first by half, the third fills a gap, the fourth is a retry of it, the fifth is all known."""
+    tables = Tables(str(tmp_path / "lake"))
+    deliveries = [(0, range(40)), (1, [*range(20, 60), *range(70, 80)]), (2, range(50, 75)), (2, range(50, 75)), (3, range(80))]
+    for batch_id, offsets in deliveries:
+        process_batch(log_batch(spark, offsets), batch_id, tables, Features(), run_id="r", now=NOW + timedelta(hours=batch_id))
+    bronze = spark.read.parquet(tables.bronze)
+    assert bronze.count() == 80 == bronze.select("encounter_id").distinct().count()
+    whole = spark.read.parquet(tables.offsets).where("batch_id = 2").select("kafka_partition", "first_offset", "last_offset", "record_count")
+    assert rows(whole) == [(0, 0, 39, 40), (1, 0, 39, 40)]
+    audit = {r.batch_id: r for r in audits(spark, tables)}
+    assert [audit[i].duplicate_records_skipped for i in range(4)] == [0, 20, 15, 80]
+    assert audit[3].status == "SKIPPED_ALREADY_PROCESSED"
+    assert all(r.reconciliation_status == "PASS" for r in audit.values())
+
+
+def test_offset_runs_within_and_across_blocks(spark):
+    offsets = [("t", 0, i) for i in [*range(10), *range(12, 30), 12, 31]] + [("t", 1, 5), ("u", 0, 7), ("u", 0, 8)]
+    df = spark.createDataFrame(offsets, "kafka_topic string, kafka_partition int, kafka_offset bigint")
+    for block in (3, 1 << 16):
+        found = offset_runs(df, block).select("kafka_topic", "kafka_partition", "first_offset", "last_offset", "record_count")
+        assert rows(found) == [("t", 0, 0, 9, 10), ("t", 0, 12, 29, 19), ("t", 0, 31, 31, 1), ("t", 1, 5, 5, 1), ("u", 0, 7, 8, 2)]
+    assert offset_runs(df.limit(0)).count() == 0
+
+
+def test_a_batch_is_six_writes(spark, tmp_path):
+    """Counts come from the writes: no action besides them."""
+    feats, tables = known(spark, ["p1", "p2"]), Tables(str(tmp_path / "lake"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    rows_of = lambda ids: spark.createDataFrame(
+        [(f"e{i}", f"p{i % 2 + 1}", datetime(2026, 1, 2), "A", "Inpatient stay", None, None, f"f{i % 3}-{len(ids)}") for i in ids],
+        "encounter_id string, patient_id string, admission_date timestamp_ntz, diagnosis_code string, description string, "
+        "reason_code string, reason_description string, source_file string",
+    )
+    for batch_id, ids in ((0, range(9)), (1, range(5, 25))):
+        before = store.executionsCount()
+        process_batch(rows_of(ids), batch_id, tables, feats, run_id="r", now=NOW)
+        ran = store.executionsList(before, 1000)
+        assert sum(ran.apply(i).jobs().size() > 0 for i in range(ran.size())) <= 6
+    assert [(a.records_inserted, a.records_updated, a.input_file_count) for a in audits(spark, tables)] == [(9, 0, 3), (16, 4, 3)]
+
+
+def test_state_reads_and_rewrites_touched_buckets(spark, tmp_path):
+    state = KeyedState(str(tmp_path / "state"), buckets=8)
+    schema = f"patient_id string, {state.types}"
+
+    def put(batch_id, *updates, touched=None):
+        df = spark.createDataFrame([(p, f"e{batch_id}", day, day, 1) for p, day in updates], "patient_id string, e string, a string, d string, n int")
+        df = df.selectExpr("patient_id", "e as last_encounter_id", "cast(a as date) last_admission_date", "cast(d as date) last_discharge_date", "n as last_los_days")
+        touched = df.agg(state.touched()).first()[0] if touched is None else touched
+        state.update(spark, Load("r", batch_id), df, F.lit(NOW + timedelta(hours=batch_id)).cast("timestamp"), touched)
+        return touched
+
+    assert state.now(spark).count() == 0 and schema
+    put(0, *[(f"p{i}", "2026-01-01") for i in range(100)], ("none", None))
+    for batch_id in range(1, 11):
+        touched = put(batch_id, ("p1", f"2026-02-{batch_id:02d}"), ("p2", "2025-12-31"), ("none", "2026-01-01"), ("p3", None))
+        files = state._rows(spark, touched).select("_metadata.file_path").distinct().count()
+        assert files <= len(touched) <= 4  # whatever the number of batches
+    now = {r.patient_id: (r.last_encounter_id, str(r.last_admission_date)) for r in state.now(spark).collect()}
+    assert len(now) == 101
+    assert (now["p1"], now["p2"], now["p3"], now["none"]) == (("e10", "2026-02-10"), ("e0", "2026-01-01"), ("e0", "2026-01-01"), ("e10", "2026-01-01"))
+    before = rows(spark.read.parquet(state.path))
+    assert {r.patient_id: r.last_encounter_id for r in state.earlier(spark, Load("r", 10)).collect()}["p1"] == "e9"
+    put(10, ("p1", "2026-02-10"), ("p2", "2025-12-31"), ("none", "2026-01-01"), ("p3", None))
+    assert rows(spark.read.parquet(state.path)) == before  # a retry leaves what its first try left
+
+
 def envelopes(spark, path):
     def text(domain, **payload):
         return json.dumps({"domain": domain, "producer_run_id": "r", "payload": payload})
