@@ -1,16 +1,19 @@
 """Divergence of the sources of each language, from exact term counts.
 
-Documents become sparse count vectors by ``CountVectorizer`` with a minimum document frequency and the largest
-integer as the size of its vocabulary. Terms carry their language, so one model holds a vocabulary of
-its own for each language, however many there are. The vectors' entries are summed by source, and pairs of
+``CountVectorizer`` with a minimum document frequency and the largest integer as the size of its vocabulary is
+fitted on all languages at once: terms carry their language, so the one model holds a vocabulary of
+its own for each language, however many there are. Documents become sparse vectors over the model's items, whole
+slices of them together, and are summed by source in the tasks before anything is shuffled. Pairs of
 sources are evaluated on the sums' occurring terms alone: what terms without occurrences add depends
 only on the two sources, what a term of one source adds only on its count there, and just terms of both are met
 as pairs, in slices of numpy arrays that leave one sum per pair.
 
-* The model is fitted on reduced bags: a task gives a term to ``min_docs`` of its documents at most, which decides
+* The model is fitted on reduced bags: a slice gives a term to ``min_docs`` of its documents at most, which decides
   as well whether that many hold it and keeps the fit's integer counters small.
-* The vocabulary goes through the driver, so it is counted first. Beyond ``VOCABULARY_TERMS`` the same sums
-  come from term counts grouped in Spark, joined with the kept terms.
+* The vocabulary goes through the driver and to all workers, so it is measured first. Beyond ``VOCABULARY_TERMS`` or
+  ``VOCABULARY_BYTES`` the same sums come from tokens grouped in Spark and joined with the kept terms.
+* ``CountVectorizerModel.transform`` gives the same vectors; it took 640 of 1,089 CPU seconds a GB, so the items of a
+  slice's different terms are looked up together instead.
 * All numbers are integers; shares are in billionths, rounded as the definition says.
 
 A null text, language or source reads as ''. Sources without a term are groups too. Equal rows each count.
@@ -18,12 +21,12 @@ A null text, language or source reads as ''. Sources without a term are groups t
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -33,10 +36,11 @@ MIN_DOCS = 3
 LARGEST_INT = 2**31 - 1
 TOP_TERMS = 200
 SHARES = 1_000_000_000
-#: So many kept terms, some hundred MB as the driver holds them, may make up a model.
+#: So many kept terms, some hundred MB as the driver holds them, and bytes of them may make up a model.
 VOCABULARY_TERMS = 1 << 20
-#: Different terms that a task remembers.
-MEMO_TERMS = 200_000
+VOCABULARY_BYTES = 64 << 20
+#: Bytes of text that are cut into terms together.
+TEXT_SLICE = 16 << 20
 #: Term pairs of sources evaluated together.
 PAIR_SLICE = 1 << 20
 #: Sums of pairs are taken in a table of this size, over sorted codes beyond.
@@ -44,22 +48,18 @@ PAIR_TABLE = 1 << 22
 #: Parts a term from its language; no term holds it.
 MARK = "\x00"
 
-#: ASCII letters in lower case and all bytes beyond ASCII stay, others part the terms.
-TERM_BYTES = bytes(b if b > 0x7F else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
-
-
-def terms_of(text: str | None) -> list[bytes]:
-    """Terms ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` of a text, A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").translate(TERM_BYTES).split() if text else []
+#: ASCII letters in lower case and all bytes beyond ASCII stay, others (0) part the terms.
+TERM_BYTES = np.array([b if b > 0x7F else ord(chr(b).lower()) if chr(b).isalpha() else 0 for b in range(256)], np.uint8)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Documents that must hold a kept term, ranks of terms reported, and the terms that a model may have."""
+    """Documents that must hold a kept term, ranks of terms reported, and what a model may hold."""
 
     min_docs: int = MIN_DOCS
     top_terms: int = TOP_TERMS
     vocabulary_terms: int = VOCABULARY_TERMS
+    vocabulary_bytes: int = VOCABULARY_BYTES
 
 
 def plain(documents: DataFrame) -> DataFrame:
@@ -67,42 +67,58 @@ def plain(documents: DataFrame) -> DataFrame:
     return documents.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
 
 
-def token_rows(docs: DataFrame) -> DataFrame:
-    """``source`` and the tokens of each document, its language before every term."""
+def cut_terms(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """Terms ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` of all texts, A-Z lower-cased, and the text of each."""
+    edges = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+    edges = edges - edges[0]
+    low = TERM_BYTES[data]
+    inside = low != 0
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    at_edge = edges[:-1][edges[:-1] < len(data)]
+    opens[at_edge] = inside[at_edge]
+    starts = np.flatnonzero(opens[inside])
+    offsets = np.append(starts, np.count_nonzero(inside)).astype(np.int32)
+    terms = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(low[inside]))
+    return terms, np.searchsorted(edges, np.flatnonzero(opens), "right") - 1
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DictionaryArray, pa.RecordBatch, pa.DictionaryArray, np.ndarray]]:
+    """Slices of rows with their languages and their terms, each as codes of a dictionary, and the row of each term."""
+    for batch in batches:
+        for part in slices(batch, "text", TEXT_SLICE):
+            terms, rows = cut_terms(part.column("text").cast(pa.string()))
+            yield part.column("lang").dictionary_encode(), part, terms.dictionary_encode(), rows
+
+
+def codes_of(encoded: pa.DictionaryArray) -> np.ndarray:
+    return np.asarray(encoded.indices).astype(np.int64)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows = []
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    head = (lang + MARK).encode()
-                    rows.append([head + term for term in terms_of(text)])
-                offsets = np.cumsum([0, *map(len, rows)])
-                flat = pa.array([term for row in rows for term in row], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("source"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)], ["source", "tokens"])
 
-    return docs.mapInArrow(cut, "source string, tokens array<string>")
+def tokens(langs: pa.Array, terms: pa.Array) -> pa.Array:
+    """Terms with their languages before them."""
+    return pc.binary_join_element_wise(langs, terms, MARK)
 
 
 def reduced_bags(docs: DataFrame, min_docs: int) -> DataFrame:
-    """``bag``: of each document those terms that fewer than ``min_docs`` earlier ones of the task gave."""
+    """``bag``: of each document its different terms, but a term only of the first ``min_docs`` documents of a slice."""
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given: Counter[bytes] = Counter()
-        for batch in batches:
-            for part in slices(batch, "text"):
-                bags = []
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    head = (lang + MARK).encode()
-                    bag = [term for term in (head + t for t in set(terms_of(text))) if given[term] < min_docs]
-                    given.update(bag)
-                    if bag:
-                        bags.append(bag)
-                    if len(given) > MEMO_TERMS:
-                        given.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(bags, pa.list_(pa.binary())).cast(pa.list_(pa.string()))], ["bag"])
-
-    return docs.mapInArrow(reduced, "bag array<string>")
+        for langs, part, terms, rows in parts_of(batches):
+            wide, high = len(terms.dictionary), max(part.num_rows, 1)
+            held = np.unique((codes_of(langs)[rows] * wide + codes_of(terms)) * high + rows)
+            token, row = np.divmod(held, high)
+            first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
+            rank = np.arange(len(token)) - np.repeat(first, np.diff(np.r_[first, len(token)]))
+            token, row = token[rank < min_docs], row[rank < min_docs]
+            order = np.argsort(row, kind="stable")
+            token, row = token[order], row[order]
+            names = tokens(langs.dictionary.take(pa.array(token // max(wide, 1))), terms.dictionary.take(pa.array(token % max(wide, 1))))
+            offsets = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), names)], ["bag"])
+
+    return docs.mapInArrow(reduced, "bag array<string>").where(F.size("bag") > 0)
 
 
 def unmarked(token: Column) -> tuple[Column, Column]:
@@ -111,54 +127,77 @@ def unmarked(token: Column) -> tuple[Column, Column]:
     return F.left(token, F.length(token) - F.length(term) - 1).alias("lang"), term.alias("term")
 
 
+def source_counts(
+    langs: pa.DictionaryArray, part: pa.RecordBatch, terms: pa.DictionaryArray, rows: np.ndarray
+) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Sums of a slice's term vectors by source: language code, source, term code and count of each entry."""
+    sources = part.column("source").dictionary_encode()
+    wide, many = max(len(terms.dictionary), 1), max(len(sources.dictionary), 1)
+    group = codes_of(langs)[rows] * many + codes_of(sources)[rows]
+    entries, n = np.unique(group * wide + codes_of(terms), return_counts=True)
+    group, term = np.divmod(entries, wide)
+    return group // many, sources.dictionary.take(pa.array(group % many)), term, n
+
+
 def vector_sums(docs: DataFrame, bags: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """Sums of the documents' count vectors by source as (source, item, n), and the model's (item, lang, term)."""
+    """Sums of the documents' vectors by source as (source, item, n), and the model's (item, lang, term)."""
     spark = docs.sparkSession
     model = CountVectorizer(inputCol="bag", outputCol="counts", minDF=min_docs, vocabSize=LARGEST_INT).fit(bags)
     path = scratch_path(spark, "vocabulary")
     model.write().overwrite().save(path)
     named = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("item", "token")).select("item", *unmarked(F.col("token")))
-    vector = F.unwrap_udt("counts")
-    entries = model.setInputCol("tokens").transform(token_rows(docs)).select("source", F.arrays_zip(vector["indices"].alias("item"), vector["values"].alias("n")).alias("entries"))
-    counted = entries.select("source", F.explode("entries").alias("entry")).groupBy("source", F.col("entry.item").alias("item"))
-    return counted.agg(F.sum(F.col("entry.n").cast("bigint")).alias("n")), named
+    sink = pa.BufferOutputStream()
+    vocabulary = named.toArrow().combine_chunks()  # within the bounds checked before
+    with pa.ipc.new_stream(sink, vocabulary.schema) as writer:
+        writer.write_table(vocabulary)
+    shipped = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
 
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pa.ipc.open_stream(shipped.value).read_all()
+        by_lang: dict[str, tuple[pa.Array, np.ndarray]] = {}
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(source, item, n) with the token itself as the item, added up in each task before anything is shuffled."""
+        def items(lang: str) -> tuple[pa.Array, np.ndarray]:
+            if lang not in by_lang:
+                own = model.filter(pc.equal(model["lang"], lang)).combine_chunks()
+                by_lang[lang] = own["term"].combine_chunks(), np.asarray(own["item"]).astype(np.int64)
+            return by_lang[lang]
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[tuple[str, bytes]] = Counter()
+        for langs, part, terms, rows in parts_of(batches):
+            lang, source, term, n = source_counts(langs, part, terms, rows)
+            for code, name in enumerate(langs.dictionary.to_pylist()):
+                known, numbers = items(name)
+                here = np.flatnonzero(lang == code)
+                if not len(known) or not len(here):
+                    continue
+                found = pc.index_in(terms.dictionary, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)[term[here]]
+                here, found = here[found >= 0], found[found >= 0]
+                yield pa.RecordBatch.from_arrays([source.take(pa.array(here)), pa.array(numbers[found]), pa.array(n[here])], ["source", "item", "n"])
 
-        def out() -> pa.RecordBatch:
-            sources, tokens = zip(*held) if held else ((), ())
-            made = [pa.array(sources, pa.string()), pa.array(tokens, pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())]
-            held.clear()
-            return pa.RecordBatch.from_arrays(made, ["source", "item", "n"])
+    return docs.mapInArrow(summed, "source string, item bigint, n bigint").groupBy("source", "item").agg(F.sum("n").alias("n")), named
 
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for source, lang, text in zip(*(part.column(c).to_pylist() for c in ("source", "lang", "text"))):
-                    head = (lang + MARK).encode()
-                    for term, n in Counter(terms_of(text)).items():
-                        held[source, head + term] += n
-                    if len(held) > MEMO_TERMS:
-                        yield out()
-        yield out()
 
-    return docs.mapInArrow(counted, "source string, item string, n bigint").groupBy("source", "item").agg(F.sum("n").alias("n"))
+def token_sums(docs: DataFrame) -> DataFrame:
+    """The same with the token itself as the item, of all terms."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, part, terms, rows in parts_of(batches):
+            lang, source, term, n = source_counts(langs, part, terms, rows)
+            names = tokens(langs.dictionary.take(pa.array(lang)), terms.dictionary.take(pa.array(term)))
+            yield pa.RecordBatch.from_arrays([source, names, pa.array(n)], ["source", "item", "n"])
+
+    return docs.mapInArrow(summed, "source string, item string, n bigint").groupBy("source", "item").agg(F.sum("n").alias("n"))
 
 
 def group_sums(docs: DataFrame, settings: Settings) -> DataFrame:
     """Occurrences ``n`` of each kept ``term`` in each group (lang, source) that has any."""
     bags = stage(reduced_bags(docs, settings.min_docs), "bags")
     kept = stage(bags.select(F.explode("bag").alias("item")).groupBy("item").count().where(F.col("count") >= settings.min_docs).select("item"), "kept")
-    terms = kept.count()
-    if 0 < terms <= settings.vocabulary_terms:
+    terms, size = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("item")), F.lit(0))).first()
+    if 0 < terms <= settings.vocabulary_terms and size <= settings.vocabulary_bytes:
         sums, named = vector_sums(docs, bags, settings.min_docs)
         sums = sums.join(named, "item")
     else:
-        sums = term_counts(docs).join(kept, "item", "left_semi").select("*", *unmarked(F.col("item")))
+        sums = token_sums(docs).join(kept, "item", "left_semi").select("*", *unmarked(F.col("item")))
     sums = stage(sums.select("lang", "term", "source", "n"), "sums")
     drop_stage(bags)
     drop_stage(kept)

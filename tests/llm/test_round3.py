@@ -196,7 +196,7 @@ def test_divergence_by_brute_force(spark, divergent_rows, model_terms):
 
 def test_divergence_in_small_slices(spark, divergent_rows, monkeypatch):
     """Memos that fill, pair slices that cut a term's pairs, sums over sorted codes, joins without broadcasts."""
-    for name, value in (("MEMO_TERMS", 40), ("PAIR_SLICE", 13), ("PAIR_TABLE", 10), ("BROADCAST_KEYS", 0)):
+    for name, value in (("TEXT_SLICE", 300), ("PAIR_SLICE", 13), ("PAIR_TABLE", 10), ("BROADCAST_KEYS", 0)):
         monkeypatch.setattr(divergence, name, value)
     docs = spark.createDataFrame(divergent_rows, DOCS).repartition(5)
     rows = divergence.common_terms(spark.createDataFrame([("a", [(1, 5, 2), (2, 7, 3), (4, 9, 1)])], "lang string, entries array<struct<s:int,p:bigint,z:bigint>>"))
@@ -213,6 +213,19 @@ def test_divergence_of_nothing(spark):
     assert sorted(map(tuple, divergence.source_divergence(silent).collect())) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
 
 
+def test_terms_are_those_of_the_pattern():
+    import re
+
+    import pyarrow as pa
+
+    texts = ["", "Ab-cd É漢 x", "x", "", "  ", "\x00a\x7fB", "Straße_[z]{Z}", "😀9k", "", "end"]
+    want = [(i, t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) for i, text in enumerate(texts) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)]
+    for start in range(len(texts)):
+        terms, rows = divergence.cut_terms(pa.array(texts, pa.string()).slice(start))
+        assert [(r + start, t) for r, t in zip(rows.tolist(), terms.to_pylist())] == [w for w in want if w[0] >= start]
+    assert divergence.cut_terms(pa.array([], pa.string()))[0].to_pylist() == []
+
+
 def test_sums_stay_exact_beyond_doubles():
     values = np.array([2**60 + 1, 2**60 + 3, -(2**61) - 7, 5], np.int64)
     for size in (3, divergence.PAIR_TABLE + 1):
