@@ -26,12 +26,13 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from cohortflow.llm.common import drop_stage, list_column, slices, stage
+from cohortflow.llm.common import drop_stage, list_column, slices, stage, tidied
 
 # The pattern of words that the public vocabulary was made with.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -40,7 +41,9 @@ LAST_AGREED = "՗"
 # A letter-only chunk is one word; with one of these at its end it is two.
 MARKS = frozenset(".,;:!?")
 LEXICON_WORDS = 65_536
-MEMO_CHUNKS = 200_000
+#: Bytes of chunks and their ids that a worker remembers, once fresh and once of the time before.
+MEMO_BYTES = 24 << 20
+ENTRY_BYTES = 190
 COUNT_WORDS = 200_000
 HEAP_LENGTH = 64
 WIDTH = 1 << 24
@@ -178,11 +181,11 @@ class Unsplittable(Exception):
 
 
 class Memo(dict):
-    """Values made when first asked for. When it holds ``limit``, what is not asked for until it has filled again goes."""
+    """Values made when first asked for. When it holds ``limit`` bytes, what is not asked for until it has filled again goes."""
 
     def __init__(self, make: Callable[[str], bytes], limit: int):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.held, self.old = make, limit, 0, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.old.get(key)
@@ -193,9 +196,12 @@ class Memo(dict):
 
     def put(self, keys: list[str], values: list[bytes]) -> None:
         """Hold these values too."""
-        if len(self) + len(keys) > self.limit:
+        size = sum(map(len, keys)) + sum(map(len, values)) + ENTRY_BYTES * len(keys)
+        if self.held and self.held + size > self.limit:
             self.old = dict(self)
             self.clear()
+            self.held = 0
+        self.held += size
         self.update(zip(keys, values))
 
 
@@ -206,8 +212,8 @@ class Encoder:
     text is cut there and each chunk is encoded once per worker.
     """
 
-    def __init__(self, path: str, piece: Callable[[str], bytes], memo: int = MEMO_CHUNKS):
-        self.vocabulary = vocabulary(path)
+    def __init__(self, words: Vocabulary, piece: Callable[[str], bytes], memo: int = MEMO_BYTES):
+        self.special, self.cut = words.special, words.cut
         self.piece = piece
         self.chunks = Memo(self.chunk, memo)
         self.heads = Memo(self.head, memo // 8 + 1)
@@ -231,9 +237,9 @@ class Encoder:
         self.chunks.put(again + new, values)
 
     def __call__(self, text: str) -> bytes:
-        special = self.vocabulary.special
-        if self.vocabulary.cut and any(content in text for content in special):
-            parts = self.vocabulary.cut.split(text)
+        special = self.special
+        if self.cut and any(content in text for content in special):
+            parts = self.cut.split(text)
             return b"".join(struct.pack("<I", special[p]) if p in special else self.plain(p) for p in parts if p)
         return self.plain(text)
 
@@ -247,21 +253,19 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> Encoder:
-    """Ids by the installed libraries: for operators that need ids and are not about making them."""
+    """Ids by the installed libraries: for operators that need ids and are not about making them.
+
+    The vocabulary's own tables are not kept, and ``tokenizers`` is loaded when a text first needs it.
+    """
     import tiktoken
 
-    words = vocabulary(path)
+    words = Vocabulary(path)
     beyond = re.compile(f"[^\\x00-{LAST_AGREED}]").search
-    tokenizer = library_tokenizer(path)
+    by_library = lambda text: library_tokenizer(path).encode(text, add_special_tokens=False).ids
     if words.made != sorted(words.made):
-        return Encoder(path, lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+        return Encoder(words, lambda text: array("I", by_library(text)).tobytes())
     fast = tiktoken.Encoding("byte-level", pat_str=WORDS, mergeable_ranks=words.ids, special_tokens={}).encode_ordinary
-
-    def piece(text: str) -> bytes:
-        ids = tokenizer.encode(text, add_special_tokens=False).ids if beyond(text) else fast(text)
-        return array("I", ids).tobytes()
-
-    return Encoder(path, piece)
+    return Encoder(words, lambda text: array("I", by_library(text) if beyond(text) else fast(text)).tobytes())
 
 
 def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
@@ -406,7 +410,7 @@ class WordCoder:
 @lru_cache(maxsize=2)
 def lexicon_encoder(path: str, lexicon: str | None, ranked: bool = False) -> Encoder:
     """One encoder per worker; ``lexicon`` is the name of a file shipped by ``ship_lexicon``."""
-    return Encoder(path, WordCoder(path, Lexicon(SparkFiles.get(lexicon)) if lexicon else None, ranked))
+    return Encoder(vocabulary(path), WordCoder(path, Lexicon(SparkFiles.get(lexicon)) if lexicon else None, ranked))
 
 
 def count_words(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -471,6 +475,41 @@ def ship_lexicon(df: DataFrame, path: str, text: str = "text", words: int = LEXI
     return name
 
 
+def encoded_rows(encoder: Encoder, texts: list[str | None]) -> list[bytes]:
+    """Ids of each text of a slice; what is new in them is looked up together."""
+    values = [text or "" for text in texts]
+    encoder.prepare(values, encoder.piece.all)
+    return list(map(encoder, values))
+
+
+class Pieces:
+    """Bytes that stand for each id, joined for many ids at once."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def joined(self, ids: np.ndarray, edges: np.ndarray) -> tuple[memoryview, list[int]]:
+        """The bytes of all ``ids``, and where the rows that end at ``edges`` of them begin and end."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[ids] - (ends - lengths), lengths)
+        return memoryview(self.flat[at].tobytes()), np.r_[0, ends][edges].tolist()
+
+
+@lru_cache(maxsize=2)
+def token_pieces(path: str) -> Pieces:
+    """The bytes of every token."""
+    return Pieces(vocabulary(path).pieces)
+
+
+@lru_cache(maxsize=2)
+def decimal_pieces(path: str) -> Pieces:
+    """Every id in decimal with a comma after it."""
+    return Pieces([b"%d," % i for i in range(len(vocabulary(path).pieces))])
+
+
 def encode(df: DataFrame, path: str, lexicon: str | None, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids of ``text`` as a list; a column of that name is replaced."""
     df = df.drop(ids)
@@ -481,14 +520,12 @@ def encode(df: DataFrame, path: str, lexicon: str | None, text: str = "text", id
         encoder = lexicon_encoder(path, lexicon, ranked)
         for batch in batches:
             for part in slices(batch, text):
-                values = [value or "" for value in part.column(text).to_pylist()]
-                encoder.prepare(values, encoder.piece.all)
-                rows = list(map(encoder, values))
+                rows = encoded_rows(encoder, part.column(text).to_pylist())
                 offsets = np.cumsum([0, *(len(row) // 4 for row in rows)])
                 column = list_column(np.frombuffer(b"".join(rows), "<i4"), offsets)
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, ids])
 
-    return df.mapInArrow(encoded, schema)
+    return df.mapInArrow(tidied(encoded), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -497,12 +534,38 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     schema = StructType([*df.schema.fields, StructField(out, StringType())])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = vocabulary(path).pieces.__getitem__
         for batch in batches:
-            texts = []
-            for row in batch.column(ids):
-                values = row.values.to_numpy().tolist() if row.is_valid else []
-                texts.append(b"".join(map(piece, values)).decode("utf-8", "replace"))
+            column = batch.column(ids)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            edges = np.cumsum([0, *pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)])
+            data, at = token_pieces(path).joined(flat.astype(np.int64), edges)
+            texts = [str(data[start:end], "utf-8", "replace") for start, end in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
-    return df.mapInArrow(decoded, schema)
+    return df.mapInArrow(tidied(decoded), schema)
+
+
+ROUNDTRIP = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def roundtrip(df: DataFrame, path: str, lexicon: str | None) -> DataFrame:
+    """Every text encoded and decoded in one pass, of which digests leave the task: of its ids in decimal and of the decoded text."""
+    ranked = vocabulary(path).ranked
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = lexicon_encoder(path, lexicon, ranked)
+        sha = lambda data: hashlib.sha256(data).hexdigest()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = encoded_rows(encoder, part.column("text").to_pylist())
+                counts = [len(row) // 4 for row in rows]
+                flat, edges = np.frombuffer(b"".join(rows), "<u4").astype(np.int64), np.cumsum([0, *counts])
+                decimals, at = decimal_pieces(path).joined(flat, edges)
+                by_ids = [sha(decimals[start : max(start, end - 1)]) for start, end in zip(at, at[1:])]
+                data, at = token_pieces(path).joined(flat, edges)
+                texts = (str(data[start:end], "utf-8", "replace") for start, end in zip(at, at[1:]))
+                by_text = [sha(text.encode("utf-8")) for text in texts]
+                columns = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(by_ids), pa.array(by_text)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return df.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidied(digested), ROUNDTRIP)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortflow.llm.bpe import library_encoder
-from cohortflow.llm.common import slices, stage, texts_of
+from cohortflow.llm.common import slices, stage, texts_of, tidied
 
 CAPACITY = 1024
 END_ID = 2
@@ -51,7 +51,7 @@ def cut_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return texts_of(df).mapInArrow(cut, PIECES)
+    return texts_of(df).mapInArrow(tidied(cut), PIECES)
 
 
 def best_pair(counts: np.ndarray, room: int) -> tuple[int, int] | None:
@@ -176,7 +176,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
     rows = ranked(pieces, histogram)
     schema = rows.drop("rank").withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}).schema
-    return rows.mapInArrow(placed, schema)
+    return rows.mapInArrow(tidied(placed), schema)
 
 
 def pack_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
