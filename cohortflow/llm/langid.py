@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from cohortflow.llm.common import list_column, slices, stage, without
+from cohortflow.llm.common import list_column, slices, stage, without, tidied
 
 #: At most about so many different texts of each language train the text model.
 LABEL_ROWS = 2_000
@@ -89,7 +89,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang", rows: in
             columns = [pa.array([language] * len(used)), pa.array(used.astype(np.int32)), pa.array(cells[used])]
             yield pa.RecordBatch.from_arrays(columns, ["label", "cell", "n"])
 
-    counts = sample.mapInArrow(counted, "label string, cell int, n bigint").groupBy("label", "cell").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(tidied(counted), "label string, cell int, n bigint").groupBy("label", "cell").agg(F.sum("n").alias("n"))
     counts = stage(counts, "trigrams")
     found = counts.toArrow()  # LANGUAGES times CELLS
     languages = sorted(set(found.column("label").to_pylist()))
@@ -115,7 +115,7 @@ def scored(df: DataFrame, model: Model, text: str = "text", out: str = "text_sco
                 column = list_column(scores.ravel(), np.arange(0, width * (part.num_rows + 1), width))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, out])
 
-    return df.mapInArrow(added, schema)
+    return df.mapInArrow(tidied(added), schema)
 
 
 def softmax(scores: Column) -> Column:

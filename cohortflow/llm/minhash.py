@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortflow.llm.common import MIX, ODD, drop_stage, mixed, slices, stage, texts_of, without, words_of
+from cohortflow.llm.common import MIX, ODD, drop_stage, mixed, slices, stage, texts_of, tidied, without, words_of
 from cohortflow.llm.components import components
 
 SHINGLE = 5
@@ -122,7 +122,7 @@ def sketch(documents: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "k1", "k2", "bands", "signature"],
                 )
 
-    return texts_of(documents).mapInArrow(sketched, SKETCH)
+    return texts_of(documents).mapInArrow(tidied(sketched), SKETCH)
 
 
 def shingle_sets(documents: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
                 sets = [shingle_set(words_of(text)).tobytes() for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "payload"])
 
-    return texts_of(documents).mapInArrow(made, "doc_id bigint, payload binary")
+    return texts_of(documents).mapInArrow(tidied(made), "doc_id bigint, payload binary")
 
 
 @lru_cache(maxsize=8)
@@ -218,7 +218,7 @@ def in_tiles(tiles: DataFrame, payloads: DataFrame, check: Callable) -> DataFram
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(paired, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(tidied(paired), "a bigint, b bigint").distinct()
 
 
 def by_signature(one: np.ndarray, many: np.ndarray, rows: np.ndarray, band: int) -> np.ndarray:

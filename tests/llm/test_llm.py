@@ -129,6 +129,30 @@ def test_bpe_as_the_library(spark, odd_texts):
             assert list(np.frombuffer(bpe.library_encoder(VOCABULARY)(row.text or ""), "<i4")) == row.ids
 
 
+def test_roundtrip_digests(spark, odd_texts):
+    import hashlib
+
+    import tokenizers
+
+    df = documents(spark, odd_texts).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    library = tokenizers.Tokenizer.from_file(VOCABULARY)
+    for lexicon in (bpe.ship_lexicon(df, VOCABULARY), None):
+        found = bpe.roundtrip(df, VOCABULARY, lexicon).collect()
+        assert len(found) == len(odd_texts)
+        for row in found:
+            ids = library.encode(odd_texts[row.doc_id] or "", add_special_tokens=False).ids
+            assert row.n_tokens == len(ids)
+            assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_pieces_join_as_one_by_one():
+    pieces = bpe.Pieces([b"a", b"", b"long piece", b"\xff"])
+    data, at = pieces.joined(np.array([2, 0, 1, 3, 3]), np.array([0, 0, 2, 3, 5]))
+    assert [bytes(data[a:b]) for a, b in zip(at, at[1:])] == [b"", b"long piecea", b"", b"\xff\xff"]
+    assert pieces.joined(np.zeros(0, np.int64), np.array([0, 0]))[1] == [0, 0]
+
+
 def test_splitting_agrees_with_the_library_for_every_code_point():
     split = bpe.WordSplitter(VOCABULARY)
     library = bpe.library_tokenizer(VOCABULARY).pre_tokenizer
@@ -171,9 +195,10 @@ def test_words_merge_by_rank_only_where_that_is_exact():
 def test_new_chunks_of_a_slice_read_as_one_by_one():
     texts = [prose(seed, 30) for seed in range(40)] + ["", " ", "a  b", "\n x", "end ", prose(1, 30)]
     coder = bpe.WordCoder(VOCABULARY, None)
-    single = bpe.Encoder(VOCABULARY, coder)
-    for memo in (20, 100, 10_000):
-        encoder = bpe.Encoder(VOCABULARY, coder, memo)
+    words = bpe.vocabulary(VOCABULARY)
+    single = bpe.Encoder(words, coder)
+    for memo in (4_000, 20_000, 2_000_000):
+        encoder = bpe.Encoder(words, coder, memo)
         for at in range(0, len(texts), 7):
             encoder.prepare(texts[at : at + 7], coder.all)
             assert list(map(encoder, texts[at : at + 7])) == list(map(single, texts[at : at + 7]))
@@ -465,6 +490,17 @@ def test_recurring_lines_go_but_for_the_first(spark):
     assert rows[9].text is None and rows[9].n_lines == 0 and rows[10].text == "" and rows[11].text == "" and rows[12].text == texts[12]
 
 
+def test_rows_that_share_a_doc_id_lose_their_own_lines_alone(spark):
+    texts = [f"the notice of all documents stands here\nline {word} is of text {word} and no other\nagain some words that recur in all" for word in "alpha beta gamma delta epsilon zeta eta theta".split()]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    own = "one clean line of its own\ntwo other clean words follow\nthree and nothing that recurs"
+    docs = spark.createDataFrame([*rows, (3, own, "en", "s", 0), (None, texts[4], "en", "s", 0)], DOCS)
+    found = linedup.drop_recurring_lines(docs).collect()
+    assert len(found) == len(texts) + 2
+    assert [r.text for r in found if r.doc_id == 3 and r.n_dropped == 0] == [own]
+    assert sum(r.n_dropped >= 2 for r in found) == len(texts) - 1
+
+
 def test_copies_of_one_text_are_no_recurrence(spark):
     texts = [prose(1, 60)] * 20
     assert all(r.n_dropped == 0 for r in linedup.drop_recurring_lines(documents(spark, texts)).collect())
