@@ -107,7 +107,8 @@ def reduced_bags(docs: DataFrame, min_docs: int) -> DataFrame:
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, part, terms, rows in parts_of(batches):
             wide, high = len(terms.dictionary), max(part.num_rows, 1)
-            held = np.unique((codes_of(langs)[rows] * wide + codes_of(terms)) * high + rows)
+            held = np.sort((codes_of(langs)[rows] * wide + codes_of(terms)) * high + rows)
+            held = held[np.r_[True, held[1:] != held[:-1]]] if len(held) else held
             token, row = np.divmod(held, high)
             first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
             rank = np.arange(len(token)) - np.repeat(first, np.diff(np.r_[first, len(token)]))
