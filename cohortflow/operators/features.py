@@ -18,7 +18,8 @@ from ..plans.domains import (
     PREVENTIVE_IMMUNIZATION_PATTERN,
     SEVERE_ALLERGY_PATTERN,
 )
-from .intervals import Measure, active_aggregates, closed, merge_spans
+from .intervals import closed
+from .sweep import active_sweep, distinct_steps
 
 
 def patients(raw: DataFrame) -> DataFrame:
@@ -124,12 +125,8 @@ def immunization_features(raw: DataFrame) -> DataFrame:
     return event_features(raw, "PATIENT", "patient_id", PREVENTIVE_IMMUNIZATION_PATTERN, names)
 
 
-def medication_features(encounters: DataFrame, raw: DataFrame, **skew) -> DataFrame:
-    """Medications active on each encounter's date: events, distinct codes, longest course.
-
-    Distinct codes come from merged intervals: once a code's courses are disjoint, at
-    most one of them holds a given date, so counting active intervals counts codes.
-    """
+def medication_features(encounters: DataFrame, raw: DataFrame) -> DataFrame:
+    """Medications active on each encounter's date: events, distinct codes, longest course."""
     courses = closed(
         raw.select(
             F.col("PATIENT").alias("patient_id"),
@@ -141,47 +138,28 @@ def medication_features(encounters: DataFrame, raw: DataFrame, **skew) -> DataFr
         "start",
         "stop",
     ).where(F.col("patient_id").isNotNull())
-
-    coded = F.col("code").isNotNull()
     kinds = {
-        "unique_medications": coded,
-        "high_risk_med_count": coded & matches(F.col("name"), HIGH_RISK_MEDICATION_PATTERN),
-        "antimicrobial_count": coded & matches(F.col("name"), ANTIMICROBIAL_PATTERN),
-    }
-    # Every course counts once as itself, and once per kind in its code's merged intervals.
-    as_kinds = F.array(F.lit("course"), *[F.when(p, F.lit(k)) for k, p in kinds.items()])
-    itself = F.col("kind") == "course"
-    labelled = (
-        courses.withColumn("kind", F.explode(as_kinds))
-        .where(F.col("kind").isNotNull())
-        .select(
-            "patient_id",
-            "kind",
-            F.when(~itself, F.col("code")).alias("code"),
-            F.when(itself, F.struct("start", "stop")).alias("own"),
-            "start",
-            "stop",
-            F.when(itself & coded, F.lit(1)).otherwise(F.lit(0)).alias("coded"),
-            F.when(itself, F.col("days")).alias("days"),
-        )
-    )
-    spans = merge_spans(
-        labelled,
-        ["patient_id", "kind", "code", "own"],
-        carry={"coded": F.sum, "days": F.max},
-    )
-    measures = {
-        "medication_events": Measure(F.col("coded"), "sum"),
-        **{k: Measure(F.when(F.col("kind") == k, 1).otherwise(0), "sum") for k in kinds},
-        "max_medication_days": Measure(F.col("days"), "max"),
+        "unique_medications": F.lit(True),
+        "high_risk_med_count": matches(F.col("name"), HIGH_RISK_MEDICATION_PATTERN),
+        "antimicrobial_count": matches(F.col("name"), ANTIMICROBIAL_PATTERN),
     }
+    coded = F.col("code").isNotNull()
     dated = encounters.select(
         "encounter_id", "patient_id", F.col("admission_date").cast("date").alias("encounter_date")
     )
-    found = active_aggregates(
-        dated, spans, "patient_id", "encounter_date", "start", "stop", measures, **skew
+    found = active_sweep(
+        dated,
+        courses,
+        "patient_id",
+        "encounter_date",
+        "start",
+        "stop",
+        sums={"medication_events": F.when(coded, 1).otherwise(0)},
+        longest=("max_medication_days", F.col("days")),
+        steps=distinct_steps(courses.where(coded), ["patient_id", "code"], "start", "stop", kinds),
+        step_sums=list(kinds),
     )
-    counts = [n for n in measures if n != "max_medication_days"]
+    counts = ["medication_events", *kinds]
     return found.select(
         "encounter_id",
         *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in counts],

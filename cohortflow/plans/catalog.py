@@ -19,7 +19,8 @@ from ..functions.text import (
     stay_hours,
 )
 from ..operators import cohort, envelopes, feeds, features, joins, quality, sequence, serving, tables
-from ..operators.intervals import Measure, active_aggregates, closed
+from ..operators.intervals import closed
+from ..operators.sweep import active_sweep
 from ..sources.files import work_dir
 from ..sources.logs import canonicalise
 from ..streaming.cursor import incremental_slice
@@ -410,7 +411,7 @@ def enrich_encounters(spark, sf):
 @query
 def interval_join(spark, sf):
     """Per encounter: spans active on its date, the earliest start and the latest stop."""
-    spans = g.lines(spark, sf, kind="medications").select(
+    spans = g.lines(spark, sf, named=False).select(
         F.col("PATIENT").alias("patient_id"),
         try_date(F.col("START")).alias("start"),
         try_date(F.col("STOP")).alias("stop"),
@@ -419,13 +420,16 @@ def interval_join(spark, sf):
     events = g.encounters(spark, sf).select(
         "encounter_id", "patient_id", F.col("admission_date").cast("date").alias("on_date")
     )
-    measures = {
-        "active_spans": Measure(F.lit(1), "sum"),
-        "first_start": Measure(F.col("start"), "min"),
-        "last_stop": Measure(F.col("stop"), "max"),
-    }
-    found = active_aggregates(
-        events, usable, "patient_id", "on_date", "start", "closed_stop", measures
+    found = active_sweep(
+        events,
+        usable,
+        "patient_id",
+        "on_date",
+        "start",
+        "closed_stop",
+        sums={"active_spans": F.lit(1)},
+        earliest="first_start",
+        latest=("last_stop", F.col("stop")),
     )
     return found.select(
         "encounter_id",

@@ -156,24 +156,29 @@ KINDS = {
 }
 
 
-def lines(spark: SparkSession, sf_dir: str, patient: bool = True, kind: str | None = None) -> DataFrame:
-    """Raw text rows of one domain; only the joins the domain needs."""
+def lines(
+    spark: SparkSession, sf_dir: str, patient: bool = True, kind: str | None = None, named: bool = True
+) -> DataFrame:
+    """Raw text rows of one domain; only the joins the domain needs, none for names without ``named``."""
     rows = read(spark, sf_dir, "lineitem")
     cols = ["ENCOUNTER", "CODE", "DESCRIPTION", "START", "STOP"]
     if patient:
         orders = read(spark, sf_dir, "orders").select("o_orderkey", text("o_custkey").alias("PATIENT"))
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         cols = ["PATIENT", *cols]
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    if named:
+        part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    else:
+        cols.remove("DESCRIPTION")
     shipped = F.col("l_shipdate").cast("date")
     until = F.date_add(shipped, F.col("l_quantity").cast("int"))
     unreadable = (F.col("l_orderkey") + F.col("l_linenumber")) % 83 == 0
     if kind is None:
-        named = F.col("p_brand")
+        label = F.col("p_brand")
     else:
         *special, (_, other) = KINDS[kind]
-        named = F.concat_ws(
+        label = F.concat_ws(
             " ",
             "p_name",
             F.coalesce(*[F.when(F.col("p_type") == t, F.lit(w)) for t, w in special], F.lit(other)),
@@ -182,7 +187,7 @@ def lines(spark: SparkSession, sf_dir: str, patient: bool = True, kind: str | No
         {
             "ENCOUNTER": text("l_orderkey"),
             "CODE": text("l_partkey"),
-            "DESCRIPTION": named,
+            **({"DESCRIPTION": label} if named else {}),
             "START": F.when(unreadable, F.lit("bad")).otherwise(shipped.cast("string")),
             "STOP": F.when(F.col("l_returnflag") != "N", until.cast("string")),
         }

@@ -15,6 +15,7 @@ from cohortflow.operators.intervals import (
     closed,
     merge_spans,
 )
+from cohortflow.operators.sweep import active_sweep
 
 START = date(2019, 12, 1)
 
@@ -106,6 +107,30 @@ def test_aggregates_over_active_spans(data):
     assert rows(got) == rows(expected)
 
 
+@pytest.mark.parametrize("classes", [13, 16])
+def test_sweep_over_active_spans(data, classes):
+    ev, sp = data
+    usable = closed(sp.withColumn("end", F.col("stop")), "start", "end")
+    days = F.datediff("stop", "start")
+    out = active_sweep(
+        ev, usable, "patient_id", "at", "start", "end", {"n": F.lit(1), "ids": F.col("span")}, "low", ("high", F.col("stop")), ("long", days), classes=classes
+    )
+    expected = brute(ev, sp).groupBy("encounter_id").agg(
+        F.count("span").alias("n"), F.coalesce(F.sum("span"), F.lit(0)).alias("ids"), F.min("start").alias("low"), F.max("stop").alias("high"), F.max(days).alias("long")
+    )
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "ids")]
+    assert rows(out.select("encounter_id", *counts, "low", "high", "long")) == rows(expected)
+    assert active_sweep(ev, usable.where("1=0"), "patient_id", "at", "start", "end", {"n": F.lit(1)}).count() == ev.count()
+    assert active_sweep(ev.where("1=0"), usable, "patient_id", "at", "start", "end", {"n": F.lit(1)}).count() == 0
+
+
+def test_sweep_needs_few_exchanges(data):
+    ev, sp = data
+    raw = sp.selectExpr("patient_id as PATIENT", "code as CODE", "name as DESCRIPTION", "string(start) as START", "string(stop) as STOP")
+    plan = medication_features(ev.withColumnRenamed("at", "admission_date"), raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 7 and "SinglePartition" not in plan
+
+
 def test_medication_features_count_overlapping_courses_once(data):
     ev, sp = data
     raw = sp.select(
@@ -125,7 +150,7 @@ def test_medication_features_count_overlapping_courses_once(data):
         F.count_distinct(F.when(anti, F.col("code"))).alias("antimicrobial_count"),
         F.max(F.datediff("stop", "start")).alias("max_medication_days"),
     )
-    out = medication_features(encounters, raw, share=0.05, min_rows=10)
+    out = medication_features(encounters, raw)
     assert rows(out.select(*expected.columns)) == rows(expected)
 
 
