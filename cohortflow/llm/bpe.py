@@ -42,7 +42,9 @@ LAST_AGREED = "՗"
 MARKS = frozenset(".,;:!?")
 LEXICON_WORDS = 65_536
 #: Bytes of chunks and their ids that a worker remembers, once fresh and once of the time before.
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 36 << 20
+#: Bytes of text encoded together; their chunks are a part of what is remembered, or each slice would drop the one before.
+ENCODE_SLICE = 1 << 20
 ENTRY_BYTES = 190
 COUNT_WORDS = 200_000
 HEAP_LENGTH = 64
@@ -519,7 +521,7 @@ def encode(df: DataFrame, path: str, lexicon: str | None, text: str = "text", id
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = lexicon_encoder(path, lexicon, ranked)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, ENCODE_SLICE):
                 rows = encoded_rows(encoder, part.column(text).to_pylist())
                 offsets = np.cumsum([0, *(len(row) // 4 for row in rows)])
                 column = list_column(np.frombuffer(b"".join(rows), "<i4"), offsets)
@@ -556,7 +558,7 @@ def roundtrip(df: DataFrame, path: str, lexicon: str | None) -> DataFrame:
         encoder = lexicon_encoder(path, lexicon, ranked)
         sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODE_SLICE):
                 rows = encoded_rows(encoder, part.column("text").to_pylist())
                 counts = [len(row) // 4 for row in rows]
                 flat, edges = np.frombuffer(b"".join(rows), "<u4").astype(np.int64), np.cumsum([0, *counts])
