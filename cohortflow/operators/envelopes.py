@@ -11,6 +11,7 @@ from ..functions.dates import try_timestamp, utc_iso
 from ..functions.text import classify_encounter, first_present, present, stay_hours
 from ..plans.domains import DOMAINS, Domain
 
+# Fields of an envelope, a vitals event and an encounter event.
 ENVELOPE_SCHEMA = (
     "domain string, producer_run_id string, producer_row_number bigint, "
     "producer_timestamp string, payload map<string,string>"

@@ -277,11 +277,11 @@ def batch_audit(metrics: DataFrame) -> DataFrame:
 
 
 def stream_audit(
-    silver: DataFrame, quarantine: DataFrame, duplicates: DataFrame, audit: DataFrame
+    silver: DataFrame, quarantine: DataFrame, duplicates: DataFrame | Column, audit: DataFrame
 ) -> DataFrame:
     """Audit row of a live feed, numbered after the latest batch on record.
 
-    ``duplicates`` holds the re-delivered rows that were dropped, so the row
+    ``duplicates`` holds the re-delivered rows that were dropped, or is their number, so the row
     reconciles against what was read.
     """
 
@@ -290,7 +290,7 @@ def stream_audit(
 
     n_silver = one(silver, F.count(F.lit(1)))
     n_bad = one(quarantine, F.count(F.lit(1)))
-    n_dup = one(duplicates, F.count(F.lit(1)))
+    n_dup = duplicates if isinstance(duplicates, Column) else one(duplicates, F.count(F.lit(1)))
     latest = audit.agg(F.coalesce(F.max("batch_id"), F.lit(0)).alias("latest"))
     counted = latest.select(
         (F.col("latest") + 1).cast("bigint").alias("batch_id"),
@@ -351,7 +351,7 @@ def feed_checks(
     summary: DataFrame,
     by_patient: DataFrame,
 ) -> list[Check]:
-    """The seven post-load checks of a vitals feed."""
+    """The seven post-load checks of a live feed; the range checked is that of its own measure."""
     rows = F.count(F.lit(1))
     loaded = silver.select(F.lit(-1).alias("w")).unionAll(quarantine.select(F.lit(-1).alias("w")))
     margin = bronze.select(F.lit(1).alias("w")).unionAll(loaded)
@@ -361,6 +361,22 @@ def feed_checks(
         return F.count(F.when(p, F.lit(1)))
 
     repeated = silver.groupBy("event_id").agg(rows.alias("n")).where("n > 1")
+    if "heart_rate" in silver.columns:
+        ranged = Check(
+            "silver_heart_rate_valid",
+            silver,
+            counted(~F.col("heart_rate").between(rate_low, rate_high)),
+            "invalid_heart_rates",
+            lambda v: v == 0,
+        )
+    else:
+        ranged = Check(
+            "silver_stay_not_negative",
+            silver,
+            counted(F.col("length_of_stay_hours") < 0),
+            "negative_stays",
+            lambda v: v == 0,
+        )
     return [
         Check("bronze_not_empty", bronze, rows, "bronze_count", lambda v: v > 0),
         Check(
@@ -378,13 +394,7 @@ def feed_checks(
             "missing_patient_ids",
             lambda v: v == 0,
         ),
-        Check(
-            "silver_heart_rate_valid",
-            silver,
-            counted(~F.col("heart_rate").between(rate_low, rate_high)),
-            "invalid_heart_rates",
-            lambda v: v == 0,
-        ),
+        ranged,
         Check("gold_summary_single_row", summary, rows, "gold_summary_rows", lambda v: v == 1),
         Check("gold_patient_not_empty", by_patient, rows, "gold_patient_rows", lambda v: v > 0),
     ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -207,22 +208,32 @@ def dashboard_totals(
     )
 
 
-#: Rows of the sections that grow with the population. Sections of aggregates are written whole.
-SNAPSHOT_LIMITS = {"careGaps": 250, "comorbidityPairs": 50, "audit": 50}
-PATIENTS_PER_BAND = 250
+# How many rows of the growing sections a dashboard shows.
+DASHBOARD_LIMITS = {"careGaps": 250, "comorbidityPairs": 50, "audit": 50}
+DASHBOARD_PATIENTS_PER_BAND = 250
+
+
+@dataclass(frozen=True)
+class Section:
+    """Rows of a serving section, the table they were taken from, and whether rows of it were left out."""
+
+    rows: DataFrame
+    source: DataFrame
+    cut: bool = False
 
 
 def snapshot_sections(
-    tables: dict[str, DataFrame],
-    limits: Mapping[str, int] = SNAPSHOT_LIMITS,
-    patients_per_band: int | None = PATIENTS_PER_BAND,
-) -> dict[str, DataFrame]:
+    tables: Mapping[str, DataFrame | None],
+    limits: Mapping[str, int] | None = None,
+    patients_per_band: int | None = None,
+) -> dict[str, Section]:
     """Serving sections from the population tables that exist.
 
     Expects any of ``metrics, demographics, patient_360, care_gaps, pairs, return_gaps,
     rankings, audit``. ``limits`` holds the top rows of a section; a section without a limit
-    is whole, and so is the patients' with ``patients_per_band`` None.
+    is whole, and so is the patients' without ``patients_per_band``.
     """
+    limits = limits or {}
     heads = {
         "clinicalMetrics": ("metrics", [F.col("total_encounters").desc(), F.col("condition_name")]),
         "demographics": ("demographics", ["race", "gender", "age_group"]),
@@ -236,12 +247,14 @@ def snapshot_sections(
         "audit": ("audit", [F.col("execution_timestamp").desc(), F.col("batch_id").desc()]),
     }
     sections = {
-        name: top_k(tables[table], order, limits[name]) if name in limits else tables[table].orderBy(*order)
+        name: Section(top_k(tables[table], order, limits[name]), tables[table], True)
+        if name in limits
+        else Section(tables[table].orderBy(*order), tables[table])
         for name, (table, order) in heads.items()
         if tables.get(table) is not None
     }
-    if tables.get("patient_360") is not None:
-        people = tables["patient_360"]
+    people = tables.get("patient_360")
+    if people is not None:
         whole = patients_per_band is None
-        sections["patient360"] = people if whole else balanced_top_n(people, n=patients_per_band)
+        sections["patient360"] = Section(people, people) if whole else Section(balanced_top_n(people, n=patients_per_band), people, True)
     return sections

@@ -8,16 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.dates import try_timestamp
 from ..operators import cohort, features, feeds
 from ..operators.envelopes import project_payload, to_dlq
-from ..operators.quality import TableSpec, encounter_event_rules, first_error, scorecard, vitals_rules
+from ..operators.quality import (
+    QUALITY_TARGET_PCT,
+    TableSpec,
+    encounter_event_rules,
+    feed_checks,
+    first_error,
+    quality_gate,
+    require_checks,
+    run_checks,
+    scorecard,
+    stream_audit,
+    vitals_rules,
+)
 from ..operators.sequence import dedup_by_key, dedup_events, latest_by_natural_key
-from ..operators.serving import serving_kpis, snapshot_sections
+from ..operators.serving import Section, serving_kpis, snapshot_sections
 from ..operators.tables import merge_upsert
 from ..sources.files import (
+    CORRUPT,
+    read_csv_tagged,
     read_optional,
     read_version,
     replace_table,
@@ -26,6 +40,7 @@ from ..sources.files import (
 )
 from ..sources.logs import write_log
 from ..sources.snapshot import write_snapshot
+from ..streaming.medallion import Features, Tables, run_medallion
 from .domains import DOMAINS, Domain
 
 # Columns the features read from each raw domain.
@@ -179,17 +194,28 @@ GOLD_SECTIONS = {
 
 
 def publish_snapshot(
-    spark: SparkSession, gold: str, audit: str, scores: str, path: str, now: Column
+    spark: SparkSession,
+    gold: str,
+    audit: str,
+    scores: str,
+    path: str,
+    now: Column,
+    limits: Mapping[str, int] | None = None,
+    patients_per_band: int | None = None,
 ) -> list[str]:
-    """Bounded JSON sections and headline numbers for a dashboard."""
+    """JSON sections and headline numbers for a dashboard, whole where no limit is given.
+
+    The manifest tells of each section how many rows there are and how many were written.
+    """
     found = {k: read_optional(spark, f"{gold}/{t}") for k, t in GOLD_SECTIONS.items()}
     if found["metrics"] is None:
         raise FileNotFoundError(f"no population tables under {gold}")
     found["audit"] = read_optional(spark, audit)
-    sections = snapshot_sections(found)
+    sections = snapshot_sections(found, limits or {}, patients_per_band)
     card = read_optional(spark, scores)
     if found["patient_360"] is not None and found["care_gaps"] is not None and card is not None:
-        sections["kpis"] = serving_kpis(found["patient_360"], found["care_gaps"], card)
+        kpis = serving_kpis(found["patient_360"], found["care_gaps"], card)
+        sections["kpis"] = Section(kpis, kpis)
     write_snapshot(sections, path, now)
     return sorted(sections)
 
@@ -229,8 +255,12 @@ def refresh_feed(
     version: int,
     dlq_format: str = "json",
     dlq_options: Mapping[str, str] | None = None,
+    require: bool = True,
 ) -> None:
-    """Silver, quarantine, summaries and new dead letters of a live feed.
+    """Silver, quarantine, summaries, new dead letters, audit and checks of a live feed.
+
+    The run fails if a check does, after everything is written, verdicts and their time too; a run that is repeated under
+    its version writes the same again. Without ``require`` the verdicts are written only.
 
     Only rejections whose log position was not in the version before are sent out, so a
     refresh does not publish the whole quarantine again.
@@ -251,3 +281,87 @@ def refresh_feed(
     write_log(letters, dlq_format, dlq_options or {}, f"{root}/dlq/version={int(version)}")
     for name, (build, by) in summaries.items():
         replace_table(build(silver, by).withColumn("gold_processed_at", now), f"{root}/{name}")
+
+    rows = F.count(F.lit(1))
+    on_record = read_optional(spark, f"{root}/audit")
+    on_record = spark.createDataFrame([], "batch_id bigint") if on_record is None else on_record.where(F.col("version") < version)
+    repeats = bronze.agg(rows).scalar() - latest.agg(rows).scalar()
+    told = stream_audit(silver, rejected, repeats, on_record).withColumn("execution_timestamp", now)
+    replace_table(told, f"{root}/audit/version={int(version)}")
+    summary, by_patient = (spark.read.parquet(f"{root}/{name}") for name in ("summary", "by_patient"))
+    checks = run_checks(feed_checks(bronze, silver, rejected, summary, by_patient))
+    write_verdicts(checks, f"{root}/checks/version={int(version)}", now, require)
+
+
+def write_verdicts(results: DataFrame, path: str, now: Column, require: bool = True) -> None:
+    """Check results with the time they were made, written; then the run fails if one of them did."""
+    replace_table(results.withColumn("checked_at", now), path)
+    if require:
+        require_checks(results.sparkSession.read.parquet(path))
+
+
+def gate_batches(spark: SparkSession, audit: str, path: str, now: Column, threshold: float = QUALITY_TARGET_PCT) -> None:
+    """The latest batch's verdict against the quality target, written; then the run fails if the batch did."""
+    batches = read_optional(spark, audit)
+    if batches is None:
+        raise FileNotFoundError(f"no batch on record under {audit}")
+    replace_table(quality_gate(batches, threshold).withColumn("checked_at", now), path)
+    verdict = spark.read.parquet(path).withColumnRenamed("gate_passed", "passed")
+    details = F.concat(F.lit("pass_rate_of_batch_"), F.col("batch_id").cast("string"))
+    require_checks(verdict.select(details.alias("check_name"), "passed"))
+
+
+def load_encounters(
+    stream: DataFrame, tables: Tables, known: Features, checkpoint: str, now: Column, threshold: float = QUALITY_TARGET_PCT, **options
+) -> None:
+    """Run the encounter stream to the end of what is there, then hold its latest batch against the target.
+
+    What the batches wrote stays when the run fails, and so does the verdict under ``gate``; running it again
+    reads new files only and judges the latest batch anew.
+    """
+    run_medallion(stream, tables, known, checkpoint, **options).awaitTermination()
+    gate_batches(stream.sparkSession, tables.audit, f"{tables.root}/gate", now, threshold)
+
+
+# ---- files to features ----------------------------------------------------------------------------
+
+
+def land_files(spark: SparkSession, folder: str, root: str, version: int, now: Column, domains: Mapping[str, Domain] = DOMAINS) -> DataFrame:
+    """CSV files of each domain's folder written as tables, readable and malformed rows apart, in one scan of each.
+
+    Returns (domain, read, malformed), gathered by the writes. A domain without files is left out; so is
+    what an earlier try of the version wrote.
+    """
+    counts = []
+    for name in domains:
+        fields = list(dict.fromkeys([*DOMAIN_FIELDS[name], *domains[name].required]))
+        found = read_csv_tagged(spark, f"{folder}/{name}", fields)
+        if found is None:
+            continue
+        seen = Observation()
+        bad = F.col(CORRUPT).isNotNull()
+        line = F.when(bad, F.lit("malformed")).otherwise(F.lit("readable"))
+        tagged = found.select("*", line.alias("line"), F.when(bad, now).alias("quarantine_timestamp"))
+        told = tagged.observe(seen, F.count(F.lit(1)).alias("read"), F.count(F.when(bad, 1)).alias("malformed"))
+        told.write.mode("overwrite").partitionBy("line").parquet(f"{root}/{name}/version={int(version)}")
+        counts.append((name, seen.get["read"], seen.get["malformed"]))
+    return spark.createDataFrame(counts, "domain string, read bigint, malformed bigint")
+
+
+def files_to_features(spark: SparkSession, folder: str, root: str, version: int, now: Column) -> list[str]:
+    """From folders of CSV files, ``<folder>/<domain>``, to feature tables of a new version.
+
+    Landed rows, malformed ones among them, lie under ``landed``, their counts and the scorecard of the
+    readable rows under ``scores``, features under ``features``. Everything carries the version, so a
+    repeated call writes the same again.
+    """
+    counts = land_files(spark, folder, f"{root}/landed", version, now)
+    raw = {}
+    for name in (r["domain"] for r in counts.collect()):  # one row per domain
+        landed = spark.read.parquet(f"{root}/landed/{name}/version={int(version)}")
+        raw[name] = landed.where("line = 'readable'").drop("line", CORRUPT, "quarantine_timestamp")
+    if not raw:
+        raise FileNotFoundError(f"no files of any domain under {folder}")
+    replace_table(counts.withColumn("counted_at", now), f"{root}/scores/rows/version={int(version)}")
+    completeness_table(raw, f"{root}/scores/completeness/version={int(version)}")
+    return prepare_features(raw, f"{root}/features", version)

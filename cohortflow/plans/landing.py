@@ -4,6 +4,7 @@ and read back through another, every row of them."""
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,6 +26,7 @@ from ..sources.files import (
 )
 from ..sources.logs import (
     ENCOUNTER_SCHEMA,
+    Admission,
     canonicalise,
     encounter_file_stream,
     log_stream,
@@ -32,11 +34,12 @@ from ..sources.logs import (
     write_log,
 )
 from ..sources.snapshot import write_snapshot
-from ..streaming.cursor import cursor_of, incremental_slice, load_cursors, next_cursor, save_cursors
+from ..streaming.cursor import drain, load_cursors
 from ..streaming.medallion import Features, Tables, process_batch, with_lineage
 from ..streaming.state import KeyedState
 from ..streaming.writers import Load, stream_to_table
 from . import given as g
+from . import jobs
 from .catalog import QUERIES, audit, fresh_run, gaps, groups, metrics, pairs, query, stays
 
 __all__ = ["QUERIES"]
@@ -159,9 +162,9 @@ def snapshot_sections(spark, sf):
         "pairs": pairs(spark, sf),
         "audit": audit(spark, sf),
     }
-    sections = serving.snapshot_sections(tables)
+    sections = serving.snapshot_sections(tables, serving.DASHBOARD_LIMITS)
     write_snapshot(sections, path, F.lit(g.FEED_NOW).cast("timestamp"))
-    listed = spark.read.json(f"{path}/manifest").select(F.explode("sections").alias("section"))
+    listed = spark.read.json(f"{path}/manifest").select("section", "total", "written")
     lines = spark.read.text([f"{path}/{name}" for name in sections])
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     counted = lines.groupBy(folder.alias("section")).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -198,8 +201,8 @@ def encounter_log(spark, sf):
 def log_stream_(spark, sf):
     """Files of log records read at a bounded rate, parsed and appended to a table."""
     path = fresh_run(spark, "log_stream")
-    encounter_records(spark, sf).repartition(3, "kafka_offset").write.json(f"{path}/log")
-    records = log_stream(spark, "json", {"maxFilesPerTrigger": "1"}, f"{path}/log")
+    encounter_records(spark, sf).write.option("maxRecordsPerFile", 50_000).json(f"{path}/log")
+    records = log_stream(spark, "json", path=f"{path}/log", admission=Admission(bytes=8 << 20))
     stream_to_table(parse_encounter_log(records), f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/table").select(*FROM_LOG)
 
@@ -301,19 +304,38 @@ def offset_idempotence(spark, sf):
 
 @query
 def cursor_upsert(spark, sf):
-    """Slices of three sources by saved cursors, two rounds, the second saved twice as by a retry."""
+    """Three sources drained in slices of a third by saved cursors, then once more with nothing left."""
     path = fresh_run(spark, "cursors")
-    sources = {"events": "event_id", "orders": "o_orderkey", "customer": "c_custkey"}
-    for version, save in ((0, 1), (1, 2)):
-        cursors = load_cursors(spark, path, below=version)
-        for _ in range(save):
-            merged = None
-            for name, key in sources.items():
-                part = incremental_slice(g.read(spark, sf, name), key, cursor_of(cursors, name), 60)
-                row = next_cursor(part, key, name, g.feed_now().cast("timestamp"))
-                merged = row if merged is None else merged.unionByName(row)
-            save_cursors(cursors, merged, path, version)
-    return load_cursors(spark, path).select("source_name", "last_key")
+    keys = {"events": "event_id", "orders": "o_orderkey", "customer": "c_custkey"}
+    sources = {name: (g.read(spark, sf, name), key) for name, key in keys.items()}
+    third = {name: -(-table.count() // 3) for name, (table, _) in sources.items()}
+    for _ in range(2):
+        now = g.feed_now().cast("timestamp")
+        drain(spark, sources, path, third, now, lambda name, part: append_table(part, f"{path}-out/{name}"))
+    out = [read_optional(spark, f"{path}-out/{name}").agg(F.lit(name).alias("source_name"), F.count(F.lit(1)).alias("delivered")) for name in keys]
+    delivered = reduce(DataFrame.unionByName, out)
+    return load_cursors(spark, path).join(delivered, "source_name").select("source_name", "last_key", "delivered")
+
+
+@query
+def files_to_features(spark, sf):
+    """CSV files of three domains, malformed lines among them and headers in two orders, to feature tables: rows of each step."""
+    root = fresh_run(spark, "files")
+    patients = g.raw_patients(spark, sf).withColumn("n", F.col("ID").cast("bigint"))
+    encounters = g.raw_encounters(spark, sf).select("ID", "PATIENT", "DATE", F.col("ROW_NUMBER").alias("n"))
+    seen = g.observations(spark, sf).withColumn("n", F.col("ENCOUNTER").cast("bigint"))
+    for name, rows in (("patients", patients), ("encounters", encounters), ("observations", seen)):
+        fields = [c for c in rows.columns if c != "n"]
+        for part, order, mode in zip(halves(rows, "n"), (fields, fields[::-1]), ("overwrite", "append")):
+            extra = F.when(F.col("n") % 13 == 0, F.lit(",one,two")).otherwise(F.lit(""))
+            cells = [F.coalesce(F.col(c), F.lit("")) for c in order]
+            line = F.concat(F.concat_ws(",", *cells), extra).alias(",".join(order))
+            write_csv(part.select(line), f"{root}/in/{name}", mode, sep="\t")
+    jobs.files_to_features(spark, f"{root}/in", root, 0, F.lit(g.FEED_NOW).cast("timestamp"))
+    counts = spark.read.parquet(f"{root}/scores/rows/version=0").select("domain", "read", "malformed")
+    made = {"patients": "patients", "observations": "observations_by_encounter"}
+    sizes = [spark.read.parquet(f"{root}/features/{t}/version=0").agg(F.lit(d).alias("domain"), F.count(F.lit(1)).alias("features")) for d, t in made.items()]
+    return counts.join(reduce(DataFrame.unionByName, sizes), "domain", "left")
 
 
 # ---- joins and sequences on forced paths --------------------------------------------------------------

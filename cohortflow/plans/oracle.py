@@ -867,8 +867,12 @@ _CANONICAL = "encounter_id, patient_id, admission_date, diagnosis_code, descript
 
 
 def _cursor(name: str, key: str) -> str:
-    return f"""select '{name}' as source_name, max({key}) as last_key
-      from (select {key} from {name} where {key} > 0 order by {key} limit 120)"""
+    return f"select '{name}' as source_name, max({key}) as last_key, count(*) as delivered from {name}"
+
+
+def _section(name: str, table: str, limit: int | None = None) -> str:
+    written = f"least({limit}, count(*))" if limit else "count(*)"
+    return f"select '{name}' as section, count(*) as total, {written} as written, {written} as n_rows from {table}"
 
 
 #: The queries of ``landing``: what was written is what is read, but for empty text, which CSV files
@@ -890,11 +894,20 @@ RESULT |= {
       case when c_custkey % 2 = 1 or c_custkey % 10 = 0 then 1 end as batch from customer""",
     "views": """select n_name, count(*) as customers, 2 as views from customer
       join nation on c_nationkey = n_nationkey group by 1""",
-    "snapshot_sections": """select 'clinicalMetrics' as section, (select count(*) from met) as n_rows
-      union all select 'demographics', (select count(*) from demo)
-      union all select 'careGaps', (select least(250, count(*)) from gap)
-      union all select 'comorbidityPairs', (select least(50, count(*)) from pair)
-      union all select 'audit', (select least(50, count(*)) from aud)""",
+    "snapshot_sections": " union all ".join(
+        (
+            _section("clinicalMetrics", "met"),
+            _section("demographics", "demo"),
+            _section("careGaps", "gap", 250),
+            _section("comorbidityPairs", "pair", 50),
+            _section("audit", "aud", 50),
+        )
+    ),
+    "files_to_features": """select 'patients' as domain, count(*) as read,
+        count(*) filter (c_custkey % 13 = 0) as malformed, count(*) filter (c_custkey % 13 <> 0) as features from customer
+      union all select 'encounters', count(*), count(*) filter (o_orderkey % 13 = 0), null from orders
+      union all select 'observations', count(*), count(*) filter (l_orderkey % 13 = 0),
+        count(distinct l_orderkey) filter (l_orderkey % 13 <> 0) from lineitem""",
     "encounter_log": f"select {_FROM_LOG}, {_CANONICAL} from rawc",
     "log_stream": f"select {_FROM_LOG}, {_CANONICAL} from rawc",
     "dlq_sink": RESULT["dlq_records"],

@@ -125,13 +125,10 @@ def read_csv_upper(
     return _with_fields(rows, schema.names).select(*schema.names)
 
 
-def read_csv_with_quarantine(
-    spark: SparkSession, path: str, fields: Sequence[str], now: Column
-) -> tuple[DataFrame, DataFrame] | None:
-    """Readable rows and malformed rows of a header CSV; None when the path is absent.
+def read_csv_tagged(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame | None:
+    """Rows of a header CSV with ``_corrupt_record``, the whole line of a malformed row; None when the path is absent.
 
-    Each file's header names its columns, so a re-ordered file reads right. Both parts can be
-    counted or narrowed without a change of the rows they hold.
+    Each file's header names its columns, so a re-ordered file reads right.
     """
 
     def read(files) -> DataFrame:
@@ -147,9 +144,19 @@ def read_csv_with_quarantine(
         return rows.where(F.length(F.concat_ws("", *rows.columns[:-1])) >= 0)
 
     rows = _read_groups(spark, path, read)
+    return None if rows is None else _with_fields(rows, fields).select(*fields, CORRUPT)
+
+
+def read_csv_with_quarantine(
+    spark: SparkSession, path: str, fields: Sequence[str], now: Column
+) -> tuple[DataFrame, DataFrame] | None:
+    """Readable rows and malformed rows of a header CSV; None when the path is absent.
+
+    Both parts can be counted or narrowed without a change of the rows they hold.
+    """
+    rows = read_csv_tagged(spark, path, fields)
     if rows is None:
         return None
-    rows = _with_fields(rows, fields)
     good = rows.where(F.col(CORRUPT).isNull()).select(*fields)
     bad = rows.where(F.col(CORRUPT).isNotNull()).select(*fields, CORRUPT)
     return good, bad.withColumn("quarantine_timestamp", now)

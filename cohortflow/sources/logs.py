@@ -3,22 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import try_timestamp
 
+# Names and types of a log record's columns.
 LOG_SCHEMA = (
     "kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, "
     "kafka_key string, raw_value string"
 )
 
-# Rate limit and recovery options of the live feeds.
-LIVE_OPTIONS = {
-    "startingOffsets": "earliest",
-    "maxOffsetsPerTrigger": "5000",
-    "failOnDataLoss": "false",
-}
+@dataclass(frozen=True)
+class Admission:
+    """How much of a log one micro-batch takes at most; None leaves it to the source.
+
+    ``rows`` bounds Kafka's offsets, ``files`` and ``bytes`` the files that stand for a log. ``least_rows`` lets Kafka
+    wait for so many offsets, ``longest_wait`` at most.
+    """
+
+    rows: int | None = None
+    least_rows: int | None = None
+    longest_wait: str | None = None
+    files: int | None = None
+    bytes: int | None = None
+
+    def options(self, fmt: str) -> dict[str, str]:
+        kafka = {"maxOffsetsPerTrigger": self.rows, "minOffsetsPerTrigger": self.least_rows, "maxTriggerDelay": self.longest_wait}
+        files = {"maxFilesPerTrigger": self.files, "maxBytesPerTrigger": self.bytes}
+        own, other = (kafka, files) if fmt == "kafka" else (files, kafka)
+        if given := sorted(name for name, value in other.items() if value is not None):
+            raise ValueError(f"a {fmt} source has no {', '.join(given)}")
+        return {name: str(value) for name, value in own.items() if value is not None}
+
+
+# Start and rate limit of the live feeds.
+LIVE_START = {"startingOffsets": "earliest"}
+LIVE_ADMISSION = Admission(rows=5000)
 
 
 def as_log(raw: DataFrame) -> DataFrame:
@@ -34,19 +56,26 @@ def as_log(raw: DataFrame) -> DataFrame:
 
 
 def log_stream(
-    spark: SparkSession, fmt: str, options: Mapping[str, str], path: str | None = None
+    spark: SparkSession,
+    fmt: str,
+    options: Mapping[str, str] | None = None,
+    path: str | None = None,
+    admission: Admission | None = None,
 ) -> DataFrame:
     """Streaming log records from Kafka, or from files of log records.
 
-    Kafka takes ``subscribe``, ``kafka.bootstrap.servers``, security and rate options; the
-    file formats take ``maxFilesPerTrigger`` as their rate limit.
+    Kafka takes ``subscribe``, ``kafka.bootstrap.servers`` and security options, and begins at the earliest offset at
+    5,000 a batch unless told otherwise. Records that the log no longer holds are an error unless the
+    caller sets ``failOnDataLoss``.
     """
-    reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
-        return as_log(reader.load())
-    return reader.schema(LOG_SCHEMA).load(path)
+        given = LIVE_START | (admission or LIVE_ADMISSION).options(fmt) | dict(options or {})
+        return as_log(spark.readStream.format(fmt).options(**given).load())
+    given = (admission or Admission()).options(fmt) | dict(options or {})
+    return spark.readStream.format(fmt).options(**given).schema(LOG_SCHEMA).load(path)
 
 
+# Columns of the raw encounter file.
 ENCOUNTER_SCHEMA = (
     "ID string, DATE string, PATIENT string, CODE string, DESCRIPTION string, "
     "REASONCODE string, REASONDESCRIPTION string"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortflow.operators.envelopes import VITALS_SCHEMA, event_bronze
 from cohortflow.plans import jobs
 from cohortflow.sources.files import read_version
-from cohortflow.sources.logs import LOG_SCHEMA, log_stream
+from cohortflow.sources.logs import LOG_SCHEMA, encounter_file_stream, log_stream
 from cohortflow.streaming.medallion import Features, Tables, process_batch, silver_now
 from cohortflow.streaming.router import route_domains
 from cohortflow.streaming.writers import stream_to_table
@@ -102,6 +102,10 @@ def test_log_to_population_tables(spark, tmp_path):
         spark, gold, tables.audit, f"{root}/scores", f"{root}/snapshot", now()
     )
     assert "kpis" in sections and "patient360" in sections
+    limited = f"{root}/limited"
+    jobs.publish_snapshot(spark, gold, tables.audit, f"{root}/scores", limited, now(), {"demographics": 1, "careGaps": 0}, 1)
+    told = {r.section: (r.total, r.written) for r in spark.read.json(f"{limited}/manifest").collect()}
+    assert told["demographics"] == (1, 1) and told["patient360"] == (1, 1) and told["clinicalMetrics"][0] == told["clinicalMetrics"][1]
     kpis = spark.read.json(f"{root}/snapshot/kpis").first()
     assert (kpis.patients_monitored, kpis.pipeline_trust_score_pct) == (1, 100.0)
     views = jobs.register_outputs(spark, gold, {"batch_audit": tables.audit, "nothing": f"{root}/none"})
@@ -157,6 +161,77 @@ def test_live_feed_from_stream_to_summaries(spark, tmp_path):
     assert by_patient.has_abnormal_vitals
 
 
+def test_feed_checks_fail_the_run_after_it_is_written(spark, tmp_path):
+    """Nothing valid came: the summaries are empty, which the checks tell; the run fails and can be repeated."""
+    root = str(tmp_path / "feed")
+    bronze = event_bronze(spark.createDataFrame([vital(1, heart_rate=999.0)], LOG_SCHEMA), VITALS_SCHEMA)
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="gold_patient_not_empty"):
+            jobs.refresh_feed(bronze, "vitals", root, now(), 0)
+        verdicts = spark.read.parquet(f"{root}/checks/version=0")
+        assert verdicts.count() == 7 and {r.check_name for r in verdicts.where("not passed").collect()} == {"gold_patient_not_empty"}
+        assert verdicts.where("checked_at is null").count() == 0
+        assert spark.read.json(f"{root}/dlq/version=0").count() == 1
+    jobs.refresh_feed(bronze, "vitals", root, now(), 0, require=False)
+    more = [vital(1, heart_rate=999.0), vital(2, heart_rate=70.0, systolic_bp=120.0, diastolic_bp=80.0, temperature=36.6)]
+    twice = spark.createDataFrame([*more, more[1][:2] + (9,) + more[1][3:]], LOG_SCHEMA)
+    jobs.refresh_feed(event_bronze(twice, VITALS_SCHEMA), "vitals", root, now(), 1)
+    audit = {r.version: r for r in spark.read.parquet(f"{root}/audit").collect()}
+    assert [(audit[v].batch_id, audit[v].source_records_read, audit[v].duplicate_records_skipped) for v in (0, 1)] == [(1, 1, 0), (2, 3, 1)]
+    assert all(r.reconciliation_status == "PASS" for r in audit.values())
+
+
+def test_encounters_are_gated_after_they_are_written(spark, tmp_path):
+    source, tables = tmp_path / "in", Tables(str(tmp_path / "lake"))
+    source.mkdir()
+    header = "ID,DATE,PATIENT,CODE,DESCRIPTION,REASONCODE,REASONDESCRIPTION"
+
+    def run(name, lines):
+        (source / name).write_text("\n".join([header, *lines]) + "\n")
+        stream = encounter_file_stream(spark, str(source))
+        jobs.load_encounters(stream, tables, Features(), str(tmp_path / "ck"), now(), threshold=80.0)
+
+    good = [f"e{i},2026-01-0{i + 1},p{i},A,Visit,," for i in range(5)]
+    run("a_encounters.csv", good)
+    with pytest.raises(RuntimeError, match="pass_rate_of_batch_1"):
+        run("b_encounters.csv", ["x1,never,p,A,Visit,,", "x2,2026-01-01,p,A,Visit,,"])
+    assert silver_now(spark, tables).count() == 6
+    (verdict,) = spark.read.parquet(f"{tables.root}/gate").collect()
+    assert (verdict.batch_id, verdict.pass_rate_pct, verdict.gate_passed) == (1, 50.0, False) and verdict.checked_at is not None
+    run("c_encounters.csv", [line.replace("e", "g", 1) for line in good])
+    with pytest.raises(FileNotFoundError):
+        jobs.gate_batches(spark, str(tmp_path / "none"), str(tmp_path / "gate"), now())
+
+
+def test_files_to_features(spark, tmp_path):
+    """Malformed rows and differing headers, twice under one version, then a version more; domains without files are left out."""
+    root, folder = str(tmp_path / "out"), tmp_path / "in"
+    for name, text in {
+        "patients/a.csv": "ID,BIRTHDATE,GENDER\np1,1950-01-01,F\np2,bad,M\np3,1960-01-01,M,too,many\n",
+        "patients/b.csv": "gender,id\nM,p4\n",
+        "encounters/e.csv": "ID,PATIENT,DATE\ne1,p1,2026-01-05\n",
+        "medications/m.csv": "CODE,PATIENT,START,STOP,DESCRIPTION\nm,p1,2026-01-01,,Insulin\n",
+    }.items():
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    for version in (0, 0, 1):
+        made = jobs.files_to_features(spark, str(folder), root, version, now())
+        assert set(made) == {"patients", "medications_by_encounter"}
+        counts = spark.read.parquet(f"{root}/scores/rows/version={version}").select("domain", "read", "malformed")
+        assert rows(counts) == [("encounters", 1, 0), ("medications", 1, 0), ("patients", 4, 1)]
+        bad = spark.read.parquet(f"{root}/landed/patients/version={version}").where("line = 'malformed'")
+        assert [(r._corrupt_record, r.quarantine_timestamp is not None) for r in bad.collect()] == [("p3,1960-01-01,M,too,many", True)]
+    patients = read_version(spark, f"{root}/features/patients")
+    assert rows(patients.select("patient_id", "gender")) == [("p1", "F"), ("p2", "M"), ("p4", "M")]
+    (found,) = read_version(spark, f"{root}/features/medications_by_encounter").collect()
+    assert (found.encounter_id, found.high_risk_med_count) == ("e1", 1)
+    card = spark.read.parquet(f"{root}/scores/completeness/version=1")
+    assert card.count() == 3
+    with pytest.raises(FileNotFoundError):
+        jobs.files_to_features(spark, str(tmp_path / "none"), root, 0, now())
+
+
 def test_encounter_feed_summaries(spark, tmp_path):
     event = {"encounter_id": "e", "patient_id": "p", "encounter_type": "Emergency",
              "event_timestamp": "2026-01-01 10:00:00", "length_of_stay_hours": 30.0}

@@ -22,7 +22,7 @@ from cohortflow.sources.files import (
     write_partitioned,
     write_version,
 )
-from cohortflow.sources.logs import LOG_SCHEMA, log_stream, parse_encounter_log, write_log
+from cohortflow.sources.logs import LIVE_ADMISSION, LIVE_START, LOG_SCHEMA, Admission, log_stream, parse_encounter_log, write_log
 from cohortflow.sources.snapshot import write_snapshot
 from cohortflow.streaming.writers import stream_to_table
 
@@ -141,7 +141,7 @@ def test_log_round_trip_and_rate_limit(spark, tmp_path):
     for i in range(3):
         batch = spark.createDataFrame([record({"n": i}, i)], LOG_SCHEMA)
         batch.coalesce(1).write.mode("append").json(source)
-    stream = log_stream(spark, "json", {"maxFilesPerTrigger": "1"}, source)
+    stream = log_stream(spark, "json", path=source, admission=Admission(files=1))
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
     query = stream_to_table(stream, out, checkpoint)
     query.awaitTermination()
@@ -156,6 +156,21 @@ def test_log_round_trip_and_rate_limit(spark, tmp_path):
     assert rows(spark.read.json(str(tmp_path / "dlq"))) == [("k", "v")]
 
 
+def test_admission_by_bytes_and_its_options(spark, tmp_path):
+    source = str(tmp_path / "log")
+    for i in range(3):
+        spark.createDataFrame([record({"n": i, "x": "y" * 5000}, i)], LOG_SCHEMA).coalesce(1).write.mode("append").json(source)
+    query = stream_to_table(log_stream(spark, "json", path=source, admission=Admission(bytes=6000)), str(tmp_path / "out"), str(tmp_path / "ck"))
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
+    assert Admission(rows=7, longest_wait="5m").options("kafka") == {"maxOffsetsPerTrigger": "7", "maxTriggerDelay": "5m"}
+    assert LIVE_ADMISSION.options("kafka") == {"maxOffsetsPerTrigger": "5000"} and "failOnDataLoss" not in LIVE_START
+    with pytest.raises(ValueError, match="maxOffsetsPerTrigger"):
+        log_stream(spark, "json", path=source, admission=Admission(rows=5))
+    with pytest.raises(ValueError, match="maxBytesPerTrigger"):
+        Admission(bytes=1).options("kafka")
+
+
 def test_snapshot_sections_and_manifest(spark, tmp_path):
     tables = {
         "metrics": spark.createDataFrame([("Diabetes", 10)], "condition_name string, total_encounters long"),
@@ -167,16 +182,18 @@ def test_snapshot_sections_and_manifest(spark, tmp_path):
             [(1, datetime(2026, 1, 1))], "batch_id long, execution_timestamp timestamp"
         ),
     }
-    sections = snapshot_sections(tables)
+    sections = snapshot_sections(tables, patients_per_band=250)
     assert set(sections) == {"clinicalMetrics", "patient360", "audit"}
     path = str(tmp_path / "snap")
     write_snapshot(sections, path, F.lit("2026-01-01 10:00:00").cast("timestamp"))
     assert spark.read.json(f"{path}/patient360").groupBy("risk_band").count().collect() != []
     per_band = {r["risk_band"]: r["count"] for r in spark.read.json(f"{path}/patient360").groupBy("risk_band").count().collect()}
     assert per_band == {"LOW": 250, None: 250}
-    manifest = spark.read.json(f"{path}/manifest").first()
-    assert manifest.sections == ["audit", "clinicalMetrics", "patient360"]
-    assert manifest.generatedAt == "2026-01-01T10:00:00Z"
+    manifest = {r.section: r for r in spark.read.json(f"{path}/manifest").collect()}
+    assert {n: (r.total, r.written) for n, r in manifest.items()} == {"audit": (1, 1), "clinicalMetrics": (1, 1), "patient360": (600, 500)}
+    assert manifest["audit"].generatedAt == "2026-01-01T10:00:00Z"
+    whole = write_snapshot(snapshot_sections(tables), f"{path}-whole", F.lit("2026-01-01 10:00:00").cast("timestamp"))
+    assert ("patient360", 600, 600) in rows(whole) and spark.read.json(f"{path}-whole/patient360").count() == 600
 
 
 def test_label_summaries(spark):

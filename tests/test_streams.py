@@ -11,6 +11,7 @@ from cohortflow.plans.domains import DOMAINS
 from cohortflow.sources.logs import LOG_SCHEMA, encounter_file_stream, log_stream, parse_encounter_log
 from cohortflow.streaming.cursor import (
     cursor_of,
+    drain,
     incremental_slice,
     load_cursors,
     next_cursor,
@@ -314,6 +315,19 @@ def test_router_retry_does_not_duplicate(spark, tmp_path):
     assert spark.read.json(f"{root}/dlq").count() == 3
 
 
+def test_sources_drain_to_their_end(spark, tmp_path):
+    path, out = str(tmp_path / "cursors"), {"a": [], "b": []}
+    sources = {"a": (spark.range(0, 25), "id"), "b": (spark.range(-3, 4), "id")}
+    now = F.lit(NOW).cast("timestamp")
+    deliver = lambda name, part: out[name].extend(r.id for r in part.collect())
+    assert drain(spark, sources, path, {"a": 10, "b": 10}, now, deliver) == 3
+    assert drain(spark, sources, path, {"a": 10, "b": 10}, now, deliver) == 0
+    assert sorted(out["a"]) == list(range(25)) and sorted(out["b"]) == list(range(-3, 4))  # keys of 0 and below too
+    sources["a"] = (spark.range(0, 30), "id")
+    assert drain(spark, sources, path, {"a": 3, "b": 10}, now, deliver) == 2
+    assert sorted(out["a"]) == list(range(30)) and len(out["b"]) == 7
+
+
 def test_cursor_slices_walk_the_table_once(spark, tmp_path):
     path = str(tmp_path / "cursors")
     df = spark.range(1, 26)
