@@ -298,26 +298,23 @@ MAXIMA = (
 def patient_360(scored: DataFrame) -> DataFrame:
     """One row per patient: highest scores, counts and flags, and all their conditions.
 
-    Labels are exploded before the one aggregation: maxima and a set do not mind
-    repeated rows, and a patient's set is bounded by the label vocabulary.
+    Encounters give their measures, and apart from them their labels, in rows of the one aggregation, so the
+    measures are not repeated for every label.
     """
     names, name = F.col("condition_names"), F.col("condition_name")
     listed = (
         F.when(names.isNotNull() & (names != "General Outpatient Checkup"), names)
         .when(name != "General Clinical Encounter", name)
     )
-    wide = scored.select(
-        "patient_id",
-        F.col("readmission_risk_score").alias("risk_score"),
-        *MAXIMA,
-        F.explode_outer(F.array_distinct(split_labels(listed))).alias("_label"),
-    )
-    label = F.when(present(F.col("_label")), F.trim("_label"))
-    labels = F.array_join(F.array_sort(F.collect_set(label)), LIST_SEPARATOR)
-    grouped = wide.groupBy("patient_id").agg(
+    measures = scored.select("patient_id", F.col("readmission_risk_score").alias("risk_score"), *MAXIMA)
+    label = F.explode(F.array_distinct(split_labels(listed))).alias("_label")
+    labels = scored.select("patient_id", label).where(present(F.col("_label")))
+    rows = measures.unionByName(labels, allowMissingColumns=True)
+    found = F.array_join(F.array_sort(F.collect_set(F.trim("_label"))), LIST_SEPARATOR)
+    grouped = rows.groupBy("patient_id").agg(
         F.max("risk_score").alias("risk_score"),
         *[F.max(c).alias(c) for c in MAXIMA],
-        labels.alias("_labels"),
+        found.alias("_labels"),
     )
     return grouped.select(
         "patient_id",

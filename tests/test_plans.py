@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from cohortflow.operators import cohort, serving
 from cohortflow.plans import given
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -66,3 +67,16 @@ def test_return_sequence_shuffles_its_rows_once(spark):
     text = plan(contract.queries()["return_sequence"](spark, SF_DIR))
     wide = [x for x in re.findall(r"Exchange hashpartitioning\((.*?)\)", text) if "_day" in x]
     assert any(x.startswith("patient_id") for x in wide)
+
+
+def test_measures_are_not_repeated_for_every_label(spark):
+    text = plan(cohort.patient_360(given.scored(spark, SF_DIR)))
+    generated = [line for line in text.splitlines() if "Generate explode" in line]
+    assert generated and all("abnormal_vital_count" not in line for line in generated)
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_return_gaps_come_in_the_order_of_their_buckets(spark):
+    names = ["0-7 days", "8-30 days", "31-90 days", "90+ days"]
+    mixed = spark.createDataFrame([(n, i) for i, n in enumerate(names[::-1])], "return_gap_bucket string, encounter_count int").repartition(3)
+    assert [r.return_gap_bucket for r in serving.ordered_return_gaps(mixed).collect()] == names
