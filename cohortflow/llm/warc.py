@@ -225,13 +225,19 @@ def read_range(path: str, start: int, end: int) -> Iterator[dict]:
             position = member[1]
 
 
+#: Tasks that ranges are dealt to at most; with more ranges a task reads several.
+MOST_TASKS = 100_000
+
+
 def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
     """Records of the archives in ``files`` (file, bytes), in tasks of ``range_bytes`` each.
 
     ``payloads`` off leaves them out of the result; digests and lengths still come from the whole payload.
     """
     ends = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint")))
-    ranges = files.select("file", "bytes", ends.alias("start")).repartition("file", "start")
+    n = files.agg(F.sum(F.greatest(F.ceil(F.col("bytes") / range_bytes), F.lit(1)))).first()[0] or 1
+    # A number given is kept: rows of some bytes would else be merged into one task, however much each has to read.
+    ranges = files.select("file", "bytes", ends.alias("start")).repartition(min(int(n), MOST_TASKS), "file", "start")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
