@@ -29,16 +29,20 @@ BLOCK_VECTORS = 8192
 BLOCK_QUERIES = 2048
 STEP_QUERIES = 256
 EXACT_FLOAT = 1 << 53
+#: Squared norm of whole components below which all inner products are sure to fit 64 bits.
+NORM_LIMIT = float(1 << 62)
 
 ENTRIES = "query bigint, vector bigint, list int, local bigint"
 
 
 def quantised(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """``id`` and ``x``: whole components floor(scale * x). Rows with a null key are left out, as are vectors
-    that are null, empty or hold null or non-finite components."""
+    that are null, empty, hold null or non-finite components, or are so long (2**31 and more, scaled) that scores could exceed 64 bits."""
     whole = F.transform(F.col(vector), lambda x: x.cast("double"))
     bad = F.exists(whole, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = embeddings.select(F.col(key).alias("id"), whole.alias("v"), bad.alias("bad")).where("id is not null and v is not null and size(v) > 0 and not bad")
+    longest = F.aggregate("v", F.lit(0.0), lambda total, x: total + (F.abs(x) * scale + 1) * (F.abs(x) * scale + 1))
+    rows = rows.where(longest < NORM_LIMIT)
     return rows.select("id", F.transform("v", lambda x: F.floor(x * scale).cast("bigint")).alias("x"))
 
 
@@ -134,10 +138,11 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, lists: int = LI
     """query_id, rank, vec_id, score: the k highest scores of each vector whose id is divisible by ``every``.
 
     All other vectors are candidates; ties go to smaller ids; fewer rows where there are fewer candidates. Vectors
-    of different lengths never meet. Rows that repeat an id are one vector, the smallest in order. An empty table gives an empty result.
+    of different lengths never meet. Rows that repeat an id are vectors of their own: each is a candidate for the others, and
+    each asks for itself. An empty table gives an empty result.
     """
-    rows = quantised(embeddings).groupBy("id").agg(F.min("x").alias("x"))
-    rows = stage(rows.withColumn("width", F.size("x")), "vectors")
+    rows = quantised(embeddings).withColumns({"width": F.size("x"), "row": F.monotonically_increasing_id()})
+    rows = stage(rows, "vectors")  # rows keep their numbers from here on
     result = None
     widths = [row.width for row in rows.select("width").distinct().collect()] or [0]
     for width in sorted(widths):
@@ -151,7 +156,8 @@ def of_one_width(rows: DataFrame, k: int, every: int, lists: int) -> DataFrame:
     place = Window.partitionBy("x").orderBy("id")
     copies = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1)
     names = F.collect_list("id")  # k + 1 at most
-    classes = stage(copies.groupBy("x").agg(F.min("id").alias("id"), F.sort_array(names).alias("ids")), "classes")
+    classes = copies.groupBy("x").agg(F.sort_array(names).alias("ids")).withColumn("id", F.monotonically_increasing_id())
+    classes = stage(classes, "classes")
     n = classes.count()
     asked = rows.where(F.col("id") % every == 0)
     queries = asked.select("x").distinct().join(classes.select("x", "id"), "x").select("id", "x")
@@ -176,9 +182,11 @@ def of_one_width(rows: DataFrame, k: int, every: int, lists: int) -> DataFrame:
     limit = F.ceil(F.col("cutoff") / lists).cast("bigint") - 1
     able = most.join(with_cutoff.select(F.col("id").alias("query"), "cutoff"), "query").where(F.col("seen") + (lists - F.col("lists")) * limit >= F.col("cutoff"))
     final = scores_of(able.select("query", "vector"), classes, queries)
-    same = asked.join(classes.select("x", F.col("id").alias("query")), "x").select("query", F.col("id").alias("query_id"))
-    members = final.join(classes.select(F.col("id").alias("vector"), "ids"), "vector").select("query", "score", F.explode("ids").alias("vec_id"))
+    same = asked.join(classes.select("x", F.col("id").alias("query")), "x").select("query", "row", F.col("id").alias("query_id"))
+    members = final.join(classes.select(F.col("id").alias("vector"), "ids"), "vector").select("query", "vector", "score", "ids", F.posexplode("ids").alias("at", "vec_id"))
+    own = (F.col("query") == F.col("vector")) & (F.array_position("ids", F.col("vec_id")) == F.col("at") + 1)  # one row of a query's vector and id is itself
+    members = members.select("query", "score", "vec_id", own.alias("own"))
     members = best(members, k + 1, "query", [F.desc("score"), F.col("vec_id")], "place")
-    pairs = same.join(members, "query").where("query_id <> vec_id")
-    ranked = best(pairs, k, "query_id", [F.desc("score"), F.col("vec_id")], "rank")
+    pairs = same.join(members, "query").where("not (own and query_id = vec_id)")
+    ranked = best(pairs, k, "row", [F.desc("score"), F.col("vec_id")], "rank")
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

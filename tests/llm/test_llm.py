@@ -295,6 +295,21 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_takes_every_row(spark):
+    """Ids that repeat with other vectors and with the same one, and components too large for a score."""
+    rng = random.Random(8)
+    rows = [(i % 60, [float(rng.randrange(-3, 4)) for _ in range(4)]) for i in range(200)]
+    rows += [(7, [5.0, 0.0, 0.0, 0.0]), (7, [1.0, 1.0, 0.0, 0.0]), (50, [5.0, 0.0, 0.0, 0.0]), (50, [5.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame([*rows, (100, [1e18, 0.0, 0.0, 0.0]), (101, [1e300, -1e300, 0.0, 0.0])], "vec_id bigint, embedding array<double>")
+    whole = [(key, [math.floor(256 * x) for x in v]) for key, v in rows]
+    want = []
+    for q, (key, x) in enumerate(whole):
+        if key % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), v) for i, (v, y) in enumerate(whole) if i != q)
+            want += [(key, r + 1, v, -s) for r, (s, v) in enumerate(scored[:5])]
+    assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(want)
+
+
 def test_simhash_of_edits_and_neighbours(spark, odd_texts):
     df = documents(spark, odd_texts)
     rows = {r.doc_id: r for r in simhash.edit_likeness(df).collect()}
@@ -427,6 +442,14 @@ def test_warc_ranges_own_each_record_once(tmp_path, step):
     assert [r["payload"] for r in found] == payloads and [warc.page_of(r["record_id"]) for r in found] == list(range(60))
 
 
+def test_warc_ranges_are_dealt_to_many_tasks(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://e.org/{i}", prose(i, 300)) for i in range(60)], "page_id bigint, url string, html string")
+    files = warc.write_archives(warc.with_revisits(pages, 0), f"file://{tmp_path}/warc")
+    records = warc.read_archives(files, range_bytes=4096, payloads=False)
+    by_task = records.groupBy(F.spark_partition_id()).count().collect()
+    assert len(by_task) >= 8 and sum(r["count"] for r in by_task) == 60 and max(r["count"] for r in by_task) <= 30
+
+
 def brute_scores(rows):
     tokens = {d: [*minhash.words_of(t), None] for d, t in rows}
     train = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 != 2]
