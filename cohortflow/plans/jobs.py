@@ -28,9 +28,9 @@ from ..operators.quality import (
 )
 from ..operators.sequence import dedup_by_key, dedup_events, latest_by_natural_key
 from ..operators.serving import Section, serving_kpis, snapshot_sections
-from ..operators.tables import merge_upsert
 from ..sources.files import (
     CORRUPT,
+    publish_upsert,
     read_csv_tagged,
     read_optional,
     read_version,
@@ -132,11 +132,11 @@ def refresh_domain_silver(
     return done
 
 
-def refresh_features(spark: SparkSession, silver: str, root: str, version: int) -> list[str]:
-    """Upsert feature tables from domain Silver into a new version of each.
+def refresh_features(spark: SparkSession, silver: str, root: str) -> list[str]:
+    """Upsert feature tables from domain Silver, kept in buckets of their keys (see ``read_buckets``).
 
-    Rows that vanish upstream stay; only keys the source holds are replaced. Earlier rows come from
-    versions below ``version``, so a repeated call gives the same tables.
+    Rows that vanish upstream stay; only buckets with keys that the source holds are rewritten, and a repeated
+    call leaves the same tables.
     """
     raw = {}
     for domain, fields in DOMAIN_FIELDS.items():
@@ -145,11 +145,7 @@ def refresh_features(spark: SparkSession, silver: str, root: str, version: int)
             raw[domain] = project_payload(table, fields)
     frames = feature_frames(raw)
     for name, frame in frames.items():
-        earlier = read_version(spark, f"{root}/{name}", below=version)
-        merged = frame if earlier is None else merge_upsert(
-            earlier, frame, FEATURE_KEYS[name], null_safe=True
-        )
-        write_version(merged, f"{root}/{name}", version)
+        publish_upsert(frame, f"{root}/{name}", FEATURE_KEYS[name])
     return list(frames)
 
 

@@ -15,6 +15,8 @@ from ..operators.skew import salted_join
 from ..operators.tables import merge_upsert, state_updates
 from ..sources.files import (
     append_table,
+    publish_upsert,
+    read_buckets,
     read_csv_upper,
     read_csv_with_quarantine,
     read_optional,
@@ -137,6 +139,18 @@ def upsert_retry(spark, sf):
     return read_version(spark, path)
 
 
+@query
+def upsert_buckets(spark, sf):
+    """Two upserts into buckets of keys, the second repeated: rows before 1999, then some customers' rows since 1998."""
+    path = fresh_run(spark, "buckets")
+    rows = g.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    publish_upsert(rows.where("o_orderdate < '1999-01-01'").withColumn("origin", F.lit("first")), path, ["o_orderkey"])
+    later = rows.where("o_orderdate >= '1998-01-01' and o_custkey % 100 = 0").withColumns({"origin": F.lit("second"), "batch": F.lit(2)})
+    for _ in range(2):
+        publish_upsert(later, path, ["o_orderkey"])
+    return read_buckets(spark, path).select("o_orderkey", "o_custkey", "origin", "batch")
+
+
 @query
 def views(spark, sf):
     """Views over the tables that exist."""

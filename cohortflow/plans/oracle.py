@@ -892,6 +892,10 @@ RESULT |= {
       where o_orderstatus <> 'F' or o_orderkey % 3 = 0""",
     "upsert_retry": """select c_custkey, c_acctbal,
       case when c_custkey % 2 = 1 or c_custkey % 10 = 0 then 1 end as batch from customer""",
+    "upsert_buckets": """select o_orderkey, o_custkey,
+      case when o_orderdate >= '1998-01-01' and o_custkey % 100 = 0 then 'second' else 'first' end as origin,
+      case when o_orderdate >= '1998-01-01' and o_custkey % 100 = 0 then 2 end as batch from orders
+      where o_orderdate < '1999-01-01' or o_custkey % 100 = 0""",
     "views": """select n_name, count(*) as customers, 2 as views from customer
       join nation on c_nationkey = n_nationkey group by 1""",
     "snapshot_sections": " union all ".join(

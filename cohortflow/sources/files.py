@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.tables import merge_upsert
+
 CORRUPT = "_corrupt_record"
 
 # Column names of the patient file.
@@ -222,6 +225,46 @@ def read_version(spark: SparkSession, path: str, below: int | None = None) -> Da
     return None if latest is None else spark.read.parquet(f"{path}/version={latest}")
 
 
+BUCKET = "_bucket"
+KEY_BUCKETS = 64
+
+
+def read_buckets(spark: SparkSession, path: str, touched: Sequence[int] | None = None) -> DataFrame | None:
+    """A table kept in buckets of its keys, or those of its buckets that are named; None when there is none yet."""
+    rows = read_optional(spark, path, merge_schema=True)
+    if rows is None:
+        return None
+    return (rows if touched is None else rows.where(F.col(BUCKET).isin([*touched]))).drop(BUCKET)
+
+
+def publish_upsert(source: DataFrame, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS) -> list[int]:
+    """Upsert rows, unique per key, into a table kept in hash buckets of its keys; returns the buckets rewritten.
+
+    Buckets that hold no key of ``source`` are neither read nor written. A NULL key matches a NULL key; columns that
+    one side lacks become NULL. The number of buckets is the table's for good. Repeating the upsert leaves the same
+    rows, also after a try that broke off between two buckets. ``source`` is written once beforehand, so it
+    is not worked out again to learn its buckets.
+    """
+    spark = source.sparkSession
+    staged = f"{work_dir(spark)}/cohortflow/{spark.sparkContext.applicationId}/upsert-{uuid.uuid4().hex}"
+    placed = source.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    seen = Observation()
+    placed.observe(seen, F.collect_set(BUCKET).alias("touched")).write.parquet(staged)
+    touched = sorted(seen.get["touched"])  # ``buckets`` numbers at most
+    fresh = spark.read.schema(placed.schema).parquet(staged).drop(BUCKET)
+    standing = read_buckets(spark, path, touched)
+    merged = fresh if standing is None else merge_upsert(standing, fresh, keys, null_safe=True)
+    if touched:
+        write_partitioned(merged.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), path, [BUCKET])
+    return touched
+
+
+def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """The same upsert into a catalog table whose format has MERGE, by Spark's own ``mergeInto``."""
+    same = reduce(lambda a, b: a & b, [F.col(f"source.{k}").eqNullSafe(F.col(f"{table}.{k}")) for k in keys])
+    source.alias("source").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().withSchemaEvolution().merge()
+
+
 def register_views(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet") -> list[str]:
     """Temporary views over the tables that exist; returns the names registered."""
     made = []

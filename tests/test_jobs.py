@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators.envelopes import VITALS_SCHEMA, event_bronze
 from cohortflow.plans import jobs
-from cohortflow.sources.files import read_version
+from cohortflow.sources.files import read_buckets, read_version
 from cohortflow.sources.logs import LOG_SCHEMA, encounter_file_stream, log_stream
 from cohortflow.streaming.medallion import Features, Tables, process_batch, silver_now
 from cohortflow.streaming.router import route_domains
@@ -53,20 +53,20 @@ def test_log_to_population_tables(spark, tmp_path):
     route(spark, medical(), root, 0)
     found = jobs.refresh_domain_silver(spark, f"{root}/bronze", f"{root}/silver")
     assert set(found) == {"patients", "encounters", "conditions", "medications", "observations", "allergies"}
-    names = jobs.refresh_features(spark, f"{root}/silver", f"{root}/features", 0)
+    names = jobs.refresh_features(spark, f"{root}/silver", f"{root}/features")
     assert "medications_by_encounter" in names and "procedures_by_encounter" not in names
 
     route(spark, medical("M", "Water", 20)[:1] + [envelope(40, "patients", ID="p2", BIRTHDATE="bad")], root, 1)
     jobs.refresh_domain_silver(spark, f"{root}/bronze", f"{root}/silver")
-    jobs.refresh_features(spark, f"{root}/silver", f"{root}/features", 1)
-    patients = read_version(spark, f"{root}/features/patients")
+    jobs.refresh_features(spark, f"{root}/silver", f"{root}/features")
+    patients = read_buckets(spark, f"{root}/features/patients")
     assert rows(patients.select("patient_id", "gender", F.col("birthdate").cast("string"))) == [
         ("p1", "M", "1950-01-01"),
         ("p2", None, "1980-01-01"),
     ]
 
     def feature(name):
-        return read_version(spark, f"{root}/features/{name}")
+        return read_buckets(spark, f"{root}/features/{name}")
 
     known = Features(
         patients,
@@ -128,11 +128,11 @@ def test_a_repeated_feature_refresh_loses_nothing(spark, tmp_path):
         frame.write.mode("overwrite").parquet(f"{silver}/patients")
 
     land([("p1",), ("p2",)])
-    jobs.refresh_features(spark, silver, root, 0)
+    jobs.refresh_features(spark, silver, root)
     land([("p2",), ("p3",)])
     for _ in range(2):
-        jobs.refresh_features(spark, silver, root, 1)
-        kept = read_version(spark, f"{root}/patients")
+        jobs.refresh_features(spark, silver, root)
+        kept = read_buckets(spark, f"{root}/patients")
         assert sorted(r.patient_id for r in kept.select("patient_id").collect()) == ["p1", "p2", "p3"]
 
 
