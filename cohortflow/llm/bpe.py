@@ -43,8 +43,10 @@ MARKS = frozenset(".,;:!?")
 LEXICON_WORDS = 65_536
 #: Bytes of chunks and their ids that a worker remembers, once fresh and once of the time before.
 MEMO_BYTES = 36 << 20
+#: The same where all that a worker does is to encode.
+LEXICON_MEMO_BYTES = 72 << 20
 #: Bytes of text encoded together; their chunks are a part of what is remembered, or each slice would drop the one before.
-ENCODE_SLICE = 1 << 20
+ENCODE_SLICE = 2 << 20
 ENTRY_BYTES = 190
 COUNT_WORDS = 200_000
 HEAP_LENGTH = 64
@@ -412,7 +414,7 @@ class WordCoder:
 @lru_cache(maxsize=2)
 def lexicon_encoder(path: str, lexicon: str | None, ranked: bool = False) -> Encoder:
     """One encoder per worker; ``lexicon`` is the name of a file shipped by ``ship_lexicon``."""
-    return Encoder(vocabulary(path), WordCoder(path, Lexicon(SparkFiles.get(lexicon)) if lexicon else None, ranked))
+    return Encoder(vocabulary(path), WordCoder(path, Lexicon(SparkFiles.get(lexicon)) if lexicon else None, ranked), LEXICON_MEMO_BYTES)
 
 
 def count_words(df: DataFrame, path: str, text: str = "text") -> DataFrame:
