@@ -61,12 +61,12 @@ def test_interval_join_has_no_range_residual(spark):
 
 
 def test_return_sequence_shuffles_its_rows_once(spark):
-    """The rows meet the hot-key table by broadcast and keep their partitioning to the end."""
+    """The rows meet the tables of cuts and of handed rows by broadcast and are dealt once, by subject and range."""
     rows = given.encounters(spark, SF_DIR)
     assert rows.count() > 0
     text = plan(contract.queries()["return_sequence"](spark, SF_DIR))
-    wide = [x for x in re.findall(r"Exchange hashpartitioning\((.*?)\)", text) if "_day" in x]
-    assert any(x.startswith("patient_id") for x in wide)
+    wide = [x for x in re.findall(r"Exchange hashpartitioning\((.*?)\)", text) if "_piece" in x and x.startswith("patient_id")]
+    assert len(wide) == 1 and "SortMergeJoin" not in text
 
 
 def test_measures_are_not_repeated_for_every_label(spark):
