@@ -100,33 +100,3 @@ def active_sweep(
     on_dates = days.select("_key", "_day", "_asked", *found).where("_asked = 1").drop("_asked")
     own = (F.col(key) == F.col("_key")) & (F.unix_date(F.col(at).cast("date")) == F.col("_day"))
     return events.join(on_dates, own, "left").drop("_key", "_day")
-
-
-def distinct_steps(spans: DataFrame, keys: Sequence[str], start: str, stop: str, kinds: Mapping[str, Column]) -> DataFrame:
-    """Changes of the number of different things active, for ``active_sweep``: (key, ``day``, a sum per kind).
-
-    ``keys`` are the sweep's key and what tells things apart. A thing's spans count as their union, and for each kind as the
-    union of those where the kind holds. They are first reduced to one per start, then one window over a
-    thing's starts finds where each union opens and closes.
-    """
-    widest = spans.groupBy(*keys, start).agg(*[F.max(F.when(held, F.col(stop))).alias(f"_stop_{k}") for k, held in kinds.items()])
-    by_start = Window.partitionBy(*keys).orderBy(start)
-    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
-    rows = widest.select(
-        *keys, start, *[f"_stop_{k}" for k in kinds], *[F.max(f"_stop_{k}").over(before).alias(f"_reach_{k}") for k in kinds], F.lead(start).over(by_start).isNull().alias("_final")
-    )
-
-    def step(kind: str, day: Column, change: int) -> Column:
-        return F.struct(day.alias("day"), *[F.lit(change if k == kind else 0).cast("bigint").alias(k) for k in kinds])
-
-    changes = []
-    for k in kinds:
-        ends, reach = F.col(f"_stop_{k}"), F.col(f"_reach_{k}")
-        opens = ends.isNotNull() & (reach.isNull() | (F.col(start) > reach))
-        changes += [
-            step(k, F.when(opens, F.col(start)), 1),
-            step(k, F.when(opens, F.date_add(reach, 1)), -1),
-            step(k, F.when(F.col("_final"), F.date_add(F.greatest(reach, ends), 1)), -1),
-        ]
-    told = rows.select(keys[0], F.explode(F.array(*changes)).alias("_step"))
-    return told.where("_step.day is not null").select(keys[0], "_step.*")

@@ -126,9 +126,10 @@ def test_sweep_over_active_spans(data, classes):
 
 def test_sweep_needs_few_exchanges(data):
     ev, sp = data
-    raw = sp.selectExpr("patient_id as PATIENT", "code as CODE", "name as DESCRIPTION", "string(start) as START", "string(stop) as STOP")
-    plan = medication_features(ev.withColumnRenamed("at", "admission_date"), raw)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") <= 7 and "SinglePartition" not in plan
+    usable = closed(sp.withColumn("end", F.col("stop")), "start", "end")
+    out = active_sweep(ev, usable, "patient_id", "at", "start", "end", {"n": F.lit(1)}, "low", ("high", F.col("stop")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4 and "SinglePartition" not in plan
 
 
 def test_medication_features_count_overlapping_courses_once(data):
@@ -150,7 +151,7 @@ def test_medication_features_count_overlapping_courses_once(data):
         F.count_distinct(F.when(anti, F.col("code"))).alias("antimicrobial_count"),
         F.max(F.datediff("stop", "start")).alias("max_medication_days"),
     )
-    out = medication_features(encounters, raw)
+    out = medication_features(encounters, raw, share=0.05, min_rows=10)
     assert rows(out.select(*expected.columns)) == rows(expected)
 
 
