@@ -35,8 +35,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def simhash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every fiftieth document, how many different fingerprints lie within the radius, its own included."""
-    documents = table(spark, sf_dir, "documents").where("doc_id is not null")
-    marks = stage(simhash.fingerprints(documents, ["doc_id"], "text"), "marks")
+    documents = texts_of(table(spark, sf_dir, "documents")).where("doc_id is not null")
+    documents = documents.withColumn("mark", simhash.text_mark(F.col("text")))
+    marks = stage(simhash.fingerprints(documents, ["doc_id", "mark"], "text"), "marks")
     asked = marks.where(F.col("doc_id") % 50 == 0)
     found = simhash.neighbours(asked, marks).groupBy("query").agg(F.count(F.lit(1)).alias("n_near"), F.max("distance").alias("farthest"))
     return asked.join(found, asked["fingerprint"] == found["query"]).select("doc_id", "fingerprint", "n_near", "farthest")

@@ -23,6 +23,7 @@ BLOCKS = 5
 SHORT = 3
 HEAVIEST = 8
 LANES = 0x0000000100000001
+COPIES_AT_ONCE = 65_536
 
 
 def words(text: Column) -> Column:
@@ -106,57 +107,89 @@ def neighbours(queries: DataFrame, rows: DataFrame, radius: int = RADIUS, blocks
     return met.where(apart <= radius).select("query", "found", apart.alias("distance")).distinct()
 
 
-def next_ids(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``key`` and ``next_id``: the next smaller key, for the smallest the largest one. Keys are distinct.
+def text_mark(text: Column) -> Column:
+    """128 bits that tell the different texts of one doc_id apart."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
-    Keys are dealt by ranges, written, and looked at range by range; only each range's largest key meets the
-    others, one row per range.
+
+def next_documents(documents: DataFrame) -> DataFrame:
+    """doc_id, mark, next_id, next_mark, half of the different documents: each one's next, and half its length.
+
+    Documents are ordered by doc_id and mark; the next is the one before, for the first one the last. They are dealt
+    by ranges of both, so many texts of one doc_id are split too, written, and looked at range by range; only each
+    range's last document meets the others, one row per range.
     """
     from cohortflow.llm.common import stage
     from pyspark.sql import Window
 
-    ids = df.select(key).where(F.col(key).isNotNull()).distinct()
-    dealt = stage(ids.repartitionByRange(key).withColumn("_range", F.spark_partition_id()), "ranges")
-    tops = dealt.groupBy("_range").agg(F.max(key).alias("_top"))
+    each = documents.select("doc_id", text_mark(F.col("text")).alias("mark"), F.floor(F.length("text") / 2).cast("int").alias("half")).distinct()
+    each = each.withColumn("key", F.struct("doc_id", "mark"))
+    dealt = stage(each.repartitionByRange("key").withColumn("_range", F.spark_partition_id()), "ranges")
+    tops = dealt.groupBy("_range").agg(F.max("key").alias("_top"))
     whole = Window.orderBy("_range")
     below = tops.select("_range", F.coalesce(F.lag("_top").over(whole), F.max("_top").over(Window.partitionBy())).alias("_below"))
-    own = Window.partitionBy("_range").orderBy(key)
-    return dealt.withColumn("_own", F.lag(key).over(own)).join(below, "_range").select(key, F.coalesce("_own", "_below").alias("next_id"))
+    own = Window.partitionBy("_range").orderBy("key")
+    following = F.coalesce("_own", "_below")
+    found = dealt.withColumn("_own", F.lag("key").over(own)).join(F.broadcast(below), "_range")  # a row per range
+    return found.select("doc_id", "mark", following["doc_id"].alias("next_id"), following["mark"].alias("next_mark"), "half")
 
 
 def edited_texts(documents: DataFrame) -> DataFrame:
-    """doc_id, next_id, text, edited: the last half of each text replaced by the head of the next document's.
+    """doc_id, mark, copies, next_id, next_mark, text, edited, and own_edited where there are copies.
 
-    The next document is that with the next smaller doc_id, for the smallest the largest. Null texts are
-    empty. Only the head that is needed is sent to the document that needs it.
+    A row stands for all ``copies`` of one doc_id and text. ``edited`` is the text with its last half replaced by
+    the head of the next document's. Among copies the next of all but one is a copy: ``own_edited`` is their edited
+    text. Null texts are empty. Only the head that is needed is sent to the document that needs it.
     """
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
-    size = texts.select("doc_id", F.floor(F.length("text") / 2).cast("int").alias("half"))
-    wants = next_ids(texts).join(size, "doc_id").select(F.col("doc_id").alias("wanted_by"), F.col("next_id").alias("doc_id"), "half")
-    heads = texts.join(wants, "doc_id").select(F.col("wanted_by").alias("doc_id"), F.col("doc_id").alias("next_id"), F.substring("text", F.lit(1), F.col("half")).alias("head"))
-    first = F.substring("text", F.lit(1), F.length("text") - F.floor(F.length("text") / 2).cast("int"))
-    return texts.join(heads, "doc_id").select("doc_id", "next_id", "text", F.concat(first, "head").alias("edited"))
+    nexts = next_documents(texts)
+    texts = texts.withColumn("mark", text_mark(F.col("text"))).groupBy("doc_id", "mark").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    wants = nexts.select(F.col("doc_id").alias("wanted_by"), F.col("mark").alias("wanted_mark"), F.col("next_id").alias("doc_id"), F.col("next_mark").alias("mark"), "half")
+    heads = texts.join(wants, ["doc_id", "mark"]).select(
+        F.col("wanted_by").alias("doc_id"), F.col("wanted_mark").alias("mark"), F.col("doc_id").alias("next_id"), F.col("mark").alias("next_mark"), F.substring("text", F.lit(1), F.col("half")).alias("head")
+    )
+    half = F.floor(F.length("text") / 2).cast("int")
+    first = F.substring("text", F.lit(1), F.length("text") - half)
+    own = F.when(F.col("copies") > 1, F.concat(first, F.substring("text", F.lit(1), half)))
+    return texts.join(heads, ["doc_id", "mark"]).select("doc_id", "mark", "copies", "next_id", "next_mark", "text", F.concat(first, "head").alias("edited"), own.alias("own_edited"))
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` times, without that column; no array is longer than ``COPIES_AT_ONCE``."""
+    last = F.floor((F.col(times) - 1) / COPIES_AT_ONCE)
+    blocks = df.where(F.col(times) > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    size = F.least(F.col(times) - F.col("_block") * COPIES_AT_ONCE, F.lit(COPIES_AT_ONCE)).cast("int")
+    return blocks.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), size))).drop("_block", "_copy", times)
 
 
 def edit_likeness(documents: DataFrame, bits: int = BITS) -> DataFrame:
     """Fingerprints of each text, its edited text and the next document's, and how alike they are.
 
-    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Rows without
-    doc_id are left out; doc_ids are distinct. An empty table gives an empty result.
+    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next; a row per
+    row. Rows without doc_id are left out. Different texts of one doc_id are documents of their own, in the order of
+    a hash; of equal rows all but one have a copy as their next. An empty table gives an empty result.
     """
+    from cohortflow.llm.common import stage
+
     pairs = edited_texts(documents)
-    kinds = F.array(F.struct(F.lit(0).alias("edit"), F.col("text").alias("text")), F.struct(F.lit(1).alias("edit"), F.col("edited").alias("text")))
-    facts = ["doc_id", "next_id", "n_chars", "edited_sha256"]
-    rows = pairs.withColumns({"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.sha2("edited", 256)})
+    kind = lambda edit, text: F.struct(F.lit(edit).alias("edit"), F.col(text).alias("text"))
+    kinds = F.filter(F.array(kind(0, "text"), kind(1, "edited"), kind(2, "own_edited")), lambda k: k["text"].isNotNull())
+    facts = ["doc_id", "mark", "next_id", "next_mark", "copies", "n_chars", "edited_sha256", "own_sha256"]
+    rows = pairs.withColumns({"n_chars": F.length("text").cast("bigint"), "edited_sha256": F.sha2("edited", 256), "own_sha256": F.sha2("own_edited", 256)})
     rows = rows.select(*facts, F.explode(kinds).alias("kind")).select(*facts, "kind.edit", "kind.text")
     marked = fingerprints(rows, [*facts, "edit"], "text", bits)
     by_edit = lambda edit: F.max(F.when(F.col("edit") == edit, F.col("fingerprint")))
-    both = marked.groupBy(*facts).agg(by_edit(0).alias("fingerprint"), by_edit(1).alias("edited_fingerprint"))
-    from cohortflow.llm.common import stage
-
-    both = stage(both, "fingerprints")
-    following = both.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
-    return both.join(following, "next_id").select(
+    each = marked.groupBy(*facts).agg(by_edit(0).alias("fingerprint"), by_edit(1).alias("edited_fingerprint"), by_edit(2).alias("own_fingerprint"))
+    each = stage(each, "fingerprints")
+    following = each.select(F.col("doc_id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("fingerprint").alias("next_fingerprint"))
+    both = each.join(following, ["next_id", "next_mark"])
+    one = lambda times, sha, edited, near: F.struct(
+        times.alias("times"), F.col(sha).alias("edited_sha256"), F.col(edited).alias("edited_fingerprint"), F.col(near).alias("next_fingerprint")
+    )
+    others = one(F.col("copies") - 1, "own_sha256", "own_fingerprint", "fingerprint")
+    kinds = F.array(one(F.lit(1).cast("bigint"), "edited_sha256", "edited_fingerprint", "next_fingerprint"), others)
+    rows = both.select("doc_id", "n_chars", "fingerprint", F.explode(kinds).alias("row")).select("doc_id", "n_chars", "fingerprint", "row.*")
+    return repeated(rows, "times").select(
         "doc_id",
         "n_chars",
         "edited_sha256",

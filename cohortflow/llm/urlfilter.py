@@ -1,8 +1,8 @@
 """URL verdicts: longest matching rule, else gradient-boosted trees on lexical features.
 
-The trees are trained on a bounded sample of the URLs that rules label, with Spark's own GBT; features
-are column expressions. Suffix statistics (how many URLs a suffix has and how often its labelled ones are
-blocked) come from grouped counts over all URLs. No Python runs on executors.
+The trees are trained on a bounded sample of the different URLs that rules label, drawn and weighted by label, with
+Spark's own GBT; features are column expressions. Suffix statistics (how many URLs a suffix has and how often its
+labelled ones are blocked) come from grouped counts over all different URLs. No Python runs on executors.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortflow.llm.common import stage
+from cohortflow.llm.common import drop_stage, stage
 
-#: About so many labelled URLs at most train the trees.
+#: About so many labelled URLs at most train the trees, half of either label.
 TRAIN_ROWS = 20_000
+DRAWS = 1 << 40
 TREES = 20
 DEPTH = 4
 SEED = 7
@@ -109,55 +110,73 @@ def with_features(df: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
-def with_suffix_statistics(df: DataFrame, labelled: Column) -> DataFrame:
+def addresses(rows: DataFrame) -> DataFrame:
+    """The different URLs of ``rows`` with host, path, query and given verdict, all of which follow from the URL."""
+    return rows.groupBy("url").agg(*(F.first(name).alias(name) for name in ("host", "path", "query", "given")))
+
+
+def label_of(given: Column) -> Column:
+    """1 for block, 0 for allow, null for no verdict."""
+    return F.when(given.isNotNull(), (given == "block").cast("double"))
+
+
+def with_suffix_statistics(rows: DataFrame, urls: DataFrame) -> DataFrame:
     """Add how common the suffix is and the smoothed share of blocked ones among its labelled URLs.
 
-    ``labelled`` is 1 for blocked, 0 for allowed, null for no label.
+    Both count the different URLs of ``urls`` once, however often a row has them. A URL's own label takes no
+    part in its statistics: what the trees learn from labelled URLs would not hold for others.
     """
-    marked = df.withColumn("_suffix", suffix()).withColumn("_label", labelled)
-    each = marked.groupBy("_suffix").agg(F.count(F.lit(1)).alias("_n"), F.count("_label").alias("_known"), F.sum("_label").alias("_blocked"))
+    label = label_of(F.col("given"))
+    each = urls.groupBy(suffix().alias("_suffix")).agg(F.count(F.lit(1)).alias("_n"), F.count(label).alias("_known"), F.sum(label).alias("_blocked"))
     each = stage(each, "suffixes")
     whole = each.agg(F.sum("_n").alias("n"), F.sum("_known").alias("known"), F.sum("_blocked").alias("blocked"), F.count(F.lit(1)).alias("suffixes")).first()
     base = (whole.blocked or 0) / whole.known if whole.known else 0.5
-    statistics = each.select(
-        "_suffix",
-        F.log(F.col("_n") / F.lit(float(max(1, whole.n or 1)))).alias("suffix_share"),
-        ((F.coalesce("_blocked", F.lit(0)) + PRIOR * base) / (F.col("_known") + PRIOR)).alias("suffix_blocked"),
-    )
+    statistics = each.select("_suffix", F.log(F.col("_n") / F.lit(float(max(1, whole.n or 1)))).alias("suffix_share"), "_known", F.coalesce("_blocked", F.lit(0.0)).alias("_blocked"))
     few = whole.suffixes <= BROADCAST_SUFFIXES
-    return marked.join(F.broadcast(statistics) if few else statistics, "_suffix").drop("_suffix", "_label")
+    joined = rows.withColumn("_suffix", suffix()).join(F.broadcast(statistics) if few else statistics, "_suffix")
+    own = F.coalesce(label, F.lit(0.0))
+    known = F.col("_known") - label.isNotNull().cast("int")
+    return joined.withColumn("suffix_blocked", (F.col("_blocked") - own + PRIOR * base) / (known + PRIOR)).drop("_suffix", "_known", "_blocked")
 
 
-def train(labelled: DataFrame, rows: int = TRAIN_ROWS):
-    """GBT model from about ``rows`` rows of features with ``label`` at most, picked by a hash of the url.
+def drawn(labelled: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """``labelled`` different URLs with ``label`` and ``weight``: about half of ``rows`` of either label at most, picked by a hash.
 
-    None if the labels are not of both kinds.
+    A label of fewer URLs gives all of them. A URL's weight is how many of its label it stands for.
     """
-    kinds = {row.label: row.n for row in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    if len(kinds) < 2:
+    labelled = labelled.withColumn("label", label_of(F.col("given")))
+    kinds = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()  # two rows
+    shares = {row.label: min(1.0, rows / 2 / row.n) for row in kinds}
+    by_label = lambda values: F.coalesce(*(F.when(F.col("label") == k, F.lit(v)) for k, v in values.items()), F.lit(0.0))
+    picked = F.pmod(F.xxhash64("url"), F.lit(DRAWS)) < by_label({k: share * DRAWS for k, share in shares.items()})
+    return labelled.where(picked).withColumn("weight", by_label({k: 1.0 / share for k, share in shares.items()}))
+
+
+def train(sample: DataFrame):
+    """GBT model of features, ``label`` and ``weight``; None if the labels are not of both kinds."""
+    sample = stage(sample.select("label", "weight", *LEXICAL), "labelled")
+    if sample.select("label").distinct().count() < 2:
         return None
-    share = min(1.0, rows / sum(kinds.values()))
-    sample = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < share * 1_000_000)
-    sample = stage(sample.select("label", *LEXICAL), "labelled")
     features = VectorAssembler(inputCols=list(LEXICAL), outputCol="features").transform(sample)
-    if features.select("label").distinct().count() < 2:
-        return None
-    return GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False).fit(features)
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False)
+    return trees.fit(features)
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fallback: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict and score (of the trees) for every row.
 
     The verdict is the longest fitting rule's, else the trees'; ``fallback`` where rules label no URL or all alike,
-    so that there is nothing to learn. Repeated rows are judged each. An empty table gives an empty result.
+    so that there is nothing to learn. Each label has its own share of the trees' sample, so a rare one is learned.
+    Repeated rows are judged each and learned once. An empty table gives an empty result.
     """
     rows = with_parts(pages.select("page_id", "url"))
     rows = stage(rows.withColumn("rule", matching_rule(rules)), "parts")  # its long expressions are not repeated below
     verdicts = F.coalesce(*(F.when(F.col("rule") == r.name, F.lit(r.verdict)) for r in rules), F.lit(None).cast("string"))
     rows = rows.withColumn("given", verdicts)
-    label = F.when(F.col("given").isNotNull(), (F.col("given") == "block").cast("double"))
-    rows = with_suffix_statistics(with_features(rows), label).withColumn("label", label)
-    model = train(rows.where("label is not null"))
+    urls = stage(addresses(rows), "addresses")
+    model = train(with_features(with_suffix_statistics(drawn(urls.where("given is not null")), urls)))
+    rows = with_features(with_suffix_statistics(rows, urls))
+    drop_stage(urls)
     if model is None:
         rows = rows.withColumns({"prediction": F.lit(float(fallback == "block")), "score": F.lit(None).cast("double")})
     else:
