@@ -21,10 +21,11 @@ from cohortflow.llm.common import list_column, slices, stage, without, tidied
 
 #: At most about so many different texts of each language train the text model.
 LABEL_ROWS = 2_000
-#: At most so many languages, the labels of the most different texts; other labels stand as they are declared.
-LANGUAGES = 64
-DRAWS = 1 << 40
+#: Every label is learned. The table of cells times labels has at most ``ENTRIES``: with more labels its cells are fewer.
+ENTRIES = 1 << 23
 CELLS = 1 << 16
+LEAST_CELLS = 1 << 10
+DRAWS = 1 << 40
 #: Trigrams of a text overlap; together they count as so many independent ones at most.
 EVIDENCE = 64
 SMOOTHING = 0.5
@@ -37,11 +38,21 @@ BROADCAST_HOSTS = 10_000
 UNKNOWN = "und"
 
 
-def trigram_cells(text: str) -> np.ndarray:
-    """Cells of all byte trigrams of a lower-cased text between single spaces at its ends."""
+def cells_for(labels: int) -> int:
+    """Cells of a table for so many labels, a power of two."""
+    cells = CELLS
+    while cells > LEAST_CELLS and cells * (labels + 1) > ENTRIES:
+        cells //= 2
+    if cells * (labels + 1) > ENTRIES:
+        raise ValueError(f"{labels} labels are more than the {ENTRIES // LEAST_CELLS - 1} that fit the table; are they languages?")
+    return cells
+
+
+def trigram_cells(text: str, cells: int = CELLS) -> np.ndarray:
+    """Cells of all byte trigrams of a lower-cased text between single spaces at its ends; ``cells`` is a power of two."""
     data = np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
     code = data[:-2] | (data[1:-1] << np.uint32(8)) | (data[2:] << np.uint32(16))
-    return (code * np.uint32(2654435761)) >> np.uint32(16)
+    return (code * np.uint32(2654435761)) >> np.uint32(33 - cells.bit_length())
 
 
 class Model:
@@ -52,7 +63,7 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Tempered log-likelihood of each text under each language; zeros for texts without any."""
-        cells = [trigram_cells(text) if text and not text.isspace() else None for text in texts]
+        cells = [trigram_cells(text, len(self.table)) if text and not text.isspace() else None for text in texts]
         out = np.zeros((len(texts), len(self.languages)))
         full = [i for i, c in enumerate(cells) if c is not None]
         if full:
@@ -67,23 +78,26 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang", rows: in
     """The text model from about ``rows`` different texts of each label at most, picked by a hash of the text.
 
     A label of fewer texts gives all of them, however large the corpus is, and copies of a text count once. The
-    driver gets at most ``LANGUAGES`` times ``CELLS`` counts, whatever the size of the corpus. Rows with
-    null or blank text or label are left out; without any the model knows the background alone.
+    driver gets at most ``ENTRIES`` counts, whatever the size of the corpus. Rows with
+    null or blank text or label are left out; without any the model knows the background alone. More labels than
+    ``ENTRIES`` over ``LEAST_CELLS`` are refused.
     """
     labelled = labelled.select(F.col(text).alias("text"), F.lower(F.trim(label)).alias("label"))
     labelled = labelled.where(F.col("text").rlike(r"\S") & ~F.col("label").isin("", UNKNOWN))
-    sizes = labelled.groupBy("label").agg(F.approx_count_distinct("text").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()
-    shares = [F.when(F.col("label") == row.label, int(min(1.0, rows / row.n) * DRAWS)) for row in sizes]
-    drawn = F.pmod(F.xxhash64("text"), F.lit(DRAWS)) < F.coalesce(*shares, F.lit(0))
-    sample = labelled.where(drawn).distinct()
+    sizes = stage(labelled.groupBy("label").agg(F.approx_count_distinct("text").alias("n")), "labels")
+    languages = sorted(row.label for row in sizes.select("label").limit(ENTRIES // LEAST_CELLS).collect())
+    width = cells_for(len(languages))
+    shares = sizes.select("label", F.least(F.lit(1.0), F.lit(float(rows)) / F.greatest("n", F.lit(1))).alias("share"))
+    drawn = labelled.join(F.broadcast(shares), "label")  # a row per label, refused above if too many
+    sample = drawn.where(F.pmod(F.xxhash64("text"), F.lit(DRAWS)) < F.col("share") * DRAWS).select("text", "label").distinct()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             for value, language in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 if not value.isspace() and value:
-                    cells = counts.setdefault(language, np.zeros(CELLS, np.int64))
-                    cells += np.bincount(trigram_cells(value), minlength=CELLS)
+                    cells = counts.setdefault(language, np.zeros(width, np.int64))
+                    cells += np.bincount(trigram_cells(value, width), minlength=width)
         for language, cells in counts.items():
             used = np.flatnonzero(cells)
             columns = [pa.array([language] * len(used)), pa.array(used.astype(np.int32)), pa.array(cells[used])]
@@ -91,12 +105,10 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang", rows: in
 
     counts = sample.mapInArrow(tidied(counted), "label string, cell int, n bigint").groupBy("label", "cell").agg(F.sum("n").alias("n"))
     counts = stage(counts, "trigrams")
-    found = counts.toArrow()  # LANGUAGES times CELLS
-    languages = sorted(set(found.column("label").to_pylist()))
-    table = np.full((CELLS, len(languages) + 1), SMOOTHING)
-    if languages:
-        at = np.searchsorted(languages, np.array(found.column("label").to_pylist(), dtype=object).astype(str))
-        table[found.column("cell").to_numpy(), at] += found.column("n").to_numpy()
+    numbers = labelled.sparkSession.createDataFrame(list(enumerate(languages)), "number int, label string")
+    found = counts.join(F.broadcast(numbers), "label").select("number", "cell", "n").toArrow()  # ENTRIES at most
+    table = np.full((width, len(languages) + 1), SMOOTHING)
+    table[found.column("cell").to_numpy(), found.column("number").to_numpy()] += found.column("n").to_numpy()
     return Model(languages, np.log(table / table.sum(0)).astype(np.float32))
 
 
@@ -150,11 +162,28 @@ def visible_text(html: Column) -> Column:
 
 def evidence(languages: list[str], named: Column, reliability: float) -> Column:
     """Log-likelihood of a named language under each language; flat if none or an unknown one is named."""
-    others = (1 - reliability) / max(1, len(languages) - 2)
-    flat = np.log(1 / max(1, len(languages) - 1))
+    others = float(np.log((1 - reliability) / max(1, len(languages) - 2)))
+    flat = float(np.log(1 / max(1, len(languages) - 1)))
     known = named.isin(languages[:-1]) if len(languages) > 1 else F.lit(False)
-    each = [F.when(named == name, float(np.log(reliability))).otherwise(float(np.log(others))) for name in languages[:-1]]
-    return F.when(known, F.array(*each, F.lit(float(flat)))).otherwise(F.array_repeat(F.lit(0.0), len(languages)))
+    each = F.transform(F.array(*map(F.lit, languages)), lambda name: F.when(name == languages[-1], flat).when(name == named, float(np.log(reliability))).otherwise(others))
+    return F.when(known, each).otherwise(F.array_repeat(F.lit(0.0), len(languages)))
+
+
+def stray_evidence(languages: list[str], stray: Column, reliability: float = DECLARED) -> Column:
+    """Log-likelihood of the declaration of a language that the model lacks: text of that language is background to it."""
+    others = float(np.log((1 - reliability) / max(1, len(languages) - 1)))
+    each = F.array(*[F.lit(others)] * (len(languages) - 1), F.lit(float(np.log(reliability))))
+    return F.when(stray, each).otherwise(F.array_repeat(F.lit(0.0), len(languages)))
+
+
+def with_support(df: DataFrame, strength: float = STRENGTH) -> DataFrame:
+    """Add ``support`` of rows whose declared language (``named``) is ``stray``: 0 to 1 as more other rows declare it for text of no known language."""
+    own = F.element_at("text_posterior", -1)
+    counts = df.where(F.col("stray") & ~F.col("blank")).groupBy("named").agg(F.sum(own).alias("mass"))
+    few = counts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    joined = df.join(F.broadcast(counts) if few else counts, "named", "left")
+    others = F.greatest(F.col("mass") - own, F.lit(0.0))
+    return joined.withColumn("support", F.when(F.col("stray"), F.coalesce(others / (others + strength), F.lit(0.0)))).drop("mass")
 
 
 def add(*arrays: Column) -> Column:
@@ -191,7 +220,8 @@ def identify(df: DataFrame, model: Model, keep: list[str], accept: float = ACCEP
 
     ``keep`` names the columns to carry along. A row is accepted if a language, not the background, has a
     posterior of at least ``accept``; null and blank texts are never accepted. A declared language that the model
-    lacks cannot be held against the text: it stands, with the confidence ``DECLARED``.
+    lacks competes as the background does: text of a known language outweighs it, and it is accepted only as far as
+    other rows declare it for text of no known language, so that a stray label accepts nothing.
     """
     languages = model.languages
     width = len(languages)
@@ -200,28 +230,32 @@ def identify(df: DataFrame, model: Model, keep: list[str], accept: float = ACCEP
     rows = stage(rows.withColumn("blank", blank).drop("text"), "scores")
     start = F.array(*[F.lit(float(np.log((1 - BACKGROUND) / max(1, width - 1))))] * (width - 1), F.lit(float(np.log(BACKGROUND))))
     rows = rows.withColumn("text_posterior", softmax(add(F.col("text_score"), start)))
-    rows = with_priors(rows, width)
     named = F.lower(F.trim("declared"))
+    stray = F.coalesce(~named.isin("", *languages), F.lit(False))
+    rows = with_priors(rows, width).withColumns({"named": named, "stray": stray})
+    rows = with_support(rows)
     fused = add(
         F.col("text_score"),
         F.transform("host_prior", lambda x: F.log(x)),
-        evidence(languages, named, DECLARED),
+        evidence(languages, F.col("named"), DECLARED),
+        stray_evidence(languages, F.col("stray")),
         evidence(languages, F.col("suffix"), SUFFIX),
     )
-    rows = rows.withColumn("posterior", softmax(fused)).withColumn("confidence", F.array_max("posterior"))
-    place = F.array_position("posterior", F.col("confidence")).cast("int")
-    rows = rows.withColumn("language", F.element_at(F.array(*map(F.lit, languages)), place))
-    stands = F.coalesce(~F.col("blank") & ~named.isin("", *languages), F.lit(False))
-    accepted = stands | ~F.col("blank") & (F.col("language") != UNKNOWN) & (F.col("confidence") >= accept)
-    language = F.when(F.col("blank"), F.lit(UNKNOWN)).when(stands, named).otherwise(F.col("language"))
-    confidence = F.when(stands, F.lit(DECLARED)).otherwise(F.col("confidence"))
+    rows = rows.withColumn("posterior", softmax(fused)).withColumn("top", F.array_max("posterior"))
+    place = F.array_position("posterior", F.col("top")).cast("int")
+    rows = rows.withColumn("found", F.element_at(F.array(*map(F.lit, languages)), place))
+    declared = F.col("stray") & (F.col("found") == UNKNOWN) & (F.col("top") * F.col("support") >= accept)
+    language = F.when(F.col("blank"), F.lit(UNKNOWN)).when(declared, F.col("named")).otherwise(F.col("found"))
+    confidence = F.when(declared, F.col("top") * F.col("support")).otherwise(F.col("top"))
+    accepted = declared | ~F.col("blank") & (F.col("found") != UNKNOWN) & (F.col("top") >= accept)
     return rows.select(*keep, language.alias("language"), confidence.alias("confidence"), accepted.alias("accepted"))
 
 
 def document_evidence(documents: DataFrame) -> DataFrame:
     """Documents with their source as host and their label as the declared language."""
     host = F.lower("source")
-    return documents.select("doc_id", "text", F.col("lang").alias("declared"), host.alias("host"), suffix_of(host).alias("suffix"))
+    rest = F.xxhash64("text", "lang", "source")  # tells rows of one doc_id apart
+    return documents.select("doc_id", rest.alias("rest"), "text", F.col("lang").alias("declared"), host.alias("host"), suffix_of(host).alias("suffix"))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
@@ -233,6 +267,10 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def keep_accepted(documents: DataFrame) -> DataFrame:
-    """``documents`` whose language is accepted, by a model trained on their own labels; rows without doc_id stay."""
-    judged = identify(document_evidence(documents), train(documents), ["doc_id"])
-    return without(documents, judged.where("not accepted"), "doc_id")
+    """``documents`` whose language is accepted, by a model trained on their own labels; rows without doc_id stay.
+
+    Rows that share a doc_id and differ otherwise are judged each.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text", "lang", "source").alias("rest")))
+    judged = identify(document_evidence(documents).withColumn("_key", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "rest"))), train(documents), ["_key"])
+    return without(documents.withColumn("_key", key), judged.where("not accepted"), "_key").drop("_key")

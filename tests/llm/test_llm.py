@@ -592,7 +592,7 @@ def test_lines_without_template_recur_word_for_word(spark):
     assert {r.doc_id: r.n_dropped for r in rows} == {i: 2 if 0 < i < 6 else int(i in (7, 11)) for i in range(12)}
 
 
-def test_rare_languages_are_learned_or_stand_as_declared(spark):
+def test_rare_languages_are_learned_and_stray_declarations_accept_nothing(spark):
     welsh = "mae hen wlad fy nhadau yn annwyl i mi"
     rows = [(i, t, name, s, n) for i, t, name, s, n in language_rows(1, 400)] + [(1000 + i, LANGUAGE["en"], "en", "s", 0) for i in range(400)]
     rows += [(2000, welsh, "cy", "s", 0), (2001, "\u10d0\u10d1\u10d2 \u10d3\u10d4 " * 8, "ka", "s", 0)]
@@ -601,5 +601,9 @@ def test_rare_languages_are_learned_or_stand_as_declared(spark):
     assert model.languages == ["cy", "de", "en", "fr", "ka", "und"]
     assert {r.doc_id for r in langid.keep_accepted(docs).collect()} == {r[0] for r in rows}
     lacking = langid.train(docs.where("lang not in ('cy', 'ka')"))
-    got = {r.doc_id: r for r in langid.identify(langid.document_evidence(docs), lacking, ["doc_id"]).where("doc_id >= 2000").collect()}
-    assert {i: (r.language, r.accepted) for i, r in got.items()} == {2000: ("cy", True), 2001: ("ka", True)}
+    georgian = [(3000 + i, f"\u10d0\u10d1{chr(0x10d0 + i % 30)} \u10d3\u10d4 " * 8, "ka", "s", 0) for i in range(60)]
+    stray = [(2002, LANGUAGE["en"], "ja", "s", 0), (2003, "zzz qqq 111", "xx", "s", 0), *georgian]
+    judged = langid.identify(langid.document_evidence(docs.where("doc_id < 2000").union(spark.createDataFrame(stray, DOCS))), lacking, ["doc_id"])
+    got = {r.doc_id: r for r in judged.where("doc_id >= 2000").collect()}
+    assert (got[2002].language, got[2002].accepted) == ("en", True) and not got[2003].accepted and got[2003].language != "xx"
+    assert {(got[r[0]].language, got[r[0]].accepted) for r in georgian} == {("ka", True)}

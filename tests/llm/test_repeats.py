@@ -6,12 +6,13 @@ import re
 import struct
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cohortflow.llm import simhash, urlfilter
-from test_llm import DOCS, documents, prose
+from cohortflow.llm import langid, simhash, urlfilter
+from test_llm import DOCS, LANGUAGE, language_rows, prose
 
 
 def brute_fingerprint(text):
@@ -83,3 +84,78 @@ def test_a_label_takes_no_part_in_its_own_suffix_statistics(spark):
     assert [got[i].suffix_blocked for i in range(6)] == [one(0, 1), one(0, 1), one(1, 1), one(0, 0), one(0, 0), one(0, 0)]
     sample = urlfilter.drawn(urlfilter.addresses(rows).where("given is not null"), 10).collect()
     assert Counter((r.label, r.weight) for r in sample) == {(1.0, 1.0): 2, (0.0, 1.0): 1}
+
+
+def softmax(scores):
+    raised = np.exp(scores - scores.max(-1, keepdims=True))
+    return raised / raised.sum(-1, keepdims=True)
+
+
+def brute_languages(rows, model):
+    """Posteriors of (text, declared, host) by the formulas, row by row."""
+    names, width = model.languages, len(model.languages)
+    texts = model.scores([r[0] for r in rows])
+    start = np.log([(1 - langid.BACKGROUND) / (width - 1)] * (width - 1) + [langid.BACKGROUND])
+    own = softmax(texts + start)
+    corpus = (own.sum(0) + 1) / (own.sum(0) + 1).sum()
+    out = []
+    for i, (text, declared, host) in enumerate(rows):
+        prior = corpus
+        for same in (lambda h: h.rsplit(".", 1)[-1] if h and "." in h else None, lambda h: h):
+            key = same(host.lower() if host else None)
+            if key is not None:
+                mass = sum(own[k] for k, r in enumerate(rows) if same(r[2].lower() if r[2] else None) == key) - own[i]
+                prior = (np.maximum(mass, 0) + langid.STRENGTH * prior) / (np.maximum(mass, 0) + langid.STRENGTH * prior).sum()
+        named = declared.strip(" ").lower() if declared is not None else None
+        stray = named not in (None, "", *names)
+        suffix = host.lower().rsplit(".", 1)[-1] if host and "." in host else None
+        evidence = np.zeros(width)
+        for name, sure in ((named, langid.DECLARED), (suffix, langid.SUFFIX)):
+            if name in names[:-1]:
+                evidence += [np.log(sure if name == n else (1 - sure) / (width - 2)) for n in names[:-1]] + [np.log(1 / (width - 1))]
+        if stray:
+            evidence += np.log([(1 - langid.DECLARED) / (width - 1)] * (width - 1) + [langid.DECLARED])
+        final = softmax(texts[i] + np.log(prior) + evidence)
+        top, best = final.max(), names[int(final.argmax())]
+        others = sum(own[k][-1] for k, r in enumerate(rows) if k != i and r[0] and r[0].strip() and r[1] and r[1].strip(" ").lower() == named)
+        support = others / (others + langid.STRENGTH)
+        if not text or text.isspace():
+            out.append(("und", top, False))
+        elif stray and best == "und" and top * support >= langid.ACCEPT:
+            out.append((named, top * support, True))
+        else:
+            out.append((best, top, best != "und" and top >= langid.ACCEPT))
+    return out
+
+
+def test_languages_by_brute_force(spark):
+    model = langid.train(spark.createDataFrame(language_rows(1, 60), DOCS))
+    rng = random.Random(2)
+    rows = [(rng.choice([prose(i, 6), LANGUAGE[rng.choice(["en", "fr", "de"])]]), rng.choice(["en", "FR ", None, "", "xx", "und"]), rng.choice(["a.fr", "b.FR", "c.com", "local", None])) for i in range(60)]
+    rows += [(None, "en", "a.fr"), (" \t", "xx", None)] + [("\u10d0\u10d1 \u10d2\u10d3" * 12, "ka", None)] * 150 + [rows[0]] * 3
+    table = spark.createDataFrame([(i, t, d, h, 0) for i, (t, d, h) in enumerate(rows)], DOCS)
+    got = {r.doc_id: r for r in langid.identify(langid.document_evidence(table), model, ["doc_id"]).collect()}
+    for i, (language, confidence, accepted) in enumerate(brute_languages(rows, model)):
+        assert (got[i].language, got[i].accepted) == (language, accepted) and abs(got[i].confidence - confidence) < 1e-9, i
+    assert got[70].language == "ka"
+
+
+def test_more_labels_than_cells_are_learned_with_fewer_cells(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ENTRIES", 1 << 17)
+    names = [f"x{i:02d}" for i in range(70)]
+    rows = [(i, f"{chr(0x4e00 + 50 * i)}{chr(0x4e01 + 50 * i)} " * 20, name, "s", 0) for i, name in enumerate(names)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.train(docs)
+    assert model.languages == [*names, "und"] and model.table.shape == (1024, 71)
+    got = {r.doc_id: r.language for r in langid.identify(langid.document_evidence(docs), model, ["doc_id"]).collect()}
+    assert sum(got[i] == name for i, name in enumerate(names)) >= 68
+    monkeypatch.setattr(langid, "ENTRIES", 1 << 16)
+    with pytest.raises(ValueError):
+        langid.train(docs)
+
+
+def test_rows_of_one_doc_id_are_judged_each(spark):
+    rows = [(i, t, name, s, n) for i, t, name, s, n in language_rows(3, 120)]
+    rows += [(5, "  ", "en", "s", 0), (5, None, "en", "s", 0), (None, " ", "en", "s", 0), (200, "", "en", "s", 0)]
+    kept = Counter((r.doc_id, r.text) for r in langid.keep_accepted(spark.createDataFrame(rows, DOCS)).collect())
+    assert kept == Counter((r[0], r[1]) for r in rows[:120]) + Counter({(None, " "): 1})
