@@ -11,7 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cohortflow.llm import langid, simhash, urlfilter
+from cohortflow.llm import langid, linedup, simhash, urlfilter
+from cohortflow.llm.common import stage
 from test_llm import DOCS, LANGUAGE, language_rows, prose
 
 
@@ -159,3 +160,35 @@ def test_rows_of_one_doc_id_are_judged_each(spark):
     rows += [(5, "  ", "en", "s", 0), (5, None, "en", "s", 0), (None, " ", "en", "s", 0), (200, "", "en", "s", 0)]
     kept = Counter((r.doc_id, r.text) for r in langid.keep_accepted(spark.createDataFrame(rows, DOCS)).collect())
     assert kept == Counter((r[0], r[1]) for r in rows[:120]) + Counter({(None, " "): 1})
+
+
+def test_templates_of_a_large_node_are_merged_in_rounds(spark):
+    """12,000 different lines of one node, every eighth a variant of a template that five texts hold."""
+    rng = np.random.default_rng(4)
+    lead = [7, 8, 9]
+    own = rng.integers(1, 60_000, (10_500, 9))
+    planted = rng.integers(1, 60_000, (300, 9))
+    variants = np.repeat(planted, 5, axis=0)
+    variants[np.arange(1500), np.repeat(rng.integers(0, 9, 300), 5)] = rng.integers(1, 60_000, 1500)
+    lines = np.concatenate([own, variants])
+    codes = [np.array([*lead, *row], np.uint16).tobytes() for row in lines]
+    df = stage(spark.createDataFrame([(1, bytearray(c), 1) for c in codes], "node bigint, tokens binary, weight bigint"), "different")
+    heads = df.withColumns({"template": F.monotonically_increasing_id(), "least": F.lit(12).cast("bigint")})
+    for turn in range(linedup.ROUNDS):
+        leaves = linedup.divided(linedup.round_groups(heads, turn), 512, "group").groupBy("leaf").count().agg(F.max("count")).first()[0]
+        assert leaves <= 700
+    for node_lines in (512, 1 << 20):  # in rounds, and all in one task
+        found = linedup.templates(linedup.divided(df, node_lines), node_lines=node_lines).collect()
+        names = {bytes(r.tokens): r.template for r in found}
+        assert len(found) == len(set(codes)) == len(names)
+        groups = [frozenset(names[c] for c in codes[10_500 + 5 * k : 10_505 + 5 * k]) for k in range(300)]
+        assert all(len(g) == 1 for g in groups) and len(set(groups)) == 300
+        sizes = Counter(names.values())
+        assert all(sizes[names[c]] == 1 for c in codes[:10_500])
+
+
+def test_short_lines_need_more_than_their_leading_tokens(spark):
+    texts = [f"{prose(i, 20)}\nwe went to {word}\nitem number {i} of the list" for i, word in enumerate("london paris rome madrid vienna oslo".split())]
+    rows = linedup.drop_recurring_lines(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)).collect()
+    assert {r.doc_id: r.n_dropped for r in rows} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
+    assert all("we went to" in r.text for r in rows)
