@@ -109,7 +109,7 @@ def neighbours(queries: DataFrame, rows: DataFrame, radius: int = RADIUS, blocks
 
 def text_mark(text: Column) -> Column:
     """128 bits that tell the different texts of one doc_id apart."""
-    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    return F.md5(text)
 
 
 def next_documents(documents: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def edited_texts(documents: DataFrame) -> DataFrame:
     nexts = next_documents(texts)
     texts = texts.withColumn("mark", text_mark(F.col("text"))).groupBy("doc_id", "mark").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     wants = nexts.select(F.col("doc_id").alias("wanted_by"), F.col("mark").alias("wanted_mark"), F.col("next_id").alias("doc_id"), F.col("next_mark").alias("mark"), "half")
-    heads = texts.join(wants, ["doc_id", "mark"]).select(
+    heads = texts.where("copies > 0").join(wants, ["doc_id", "mark"]).select(  # with all columns, so both reads share one shuffle
         F.col("wanted_by").alias("doc_id"), F.col("wanted_mark").alias("mark"), F.col("doc_id").alias("next_id"), F.col("mark").alias("next_mark"), F.substring("text", F.lit(1), F.col("half")).alias("head")
     )
     half = F.floor(F.length("text") / 2).cast("int")

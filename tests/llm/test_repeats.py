@@ -33,9 +33,7 @@ def brute_fingerprint(text):
 
 
 def brute_mark(text):
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    data = text.encode()
-    return signed(xxhash.xxh64_intdigest(data, 42)), signed(xxhash.xxh64_intdigest(data, xxhash.xxh64_intdigest(struct.pack("<i", 1), 42)))
+    return hashlib.md5(text.encode()).hexdigest()
 
 
 def brute_edits(rows):
