@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scores import percentage
 from .sequence import RETURN_WINDOW_DAYS, is_return
 from .skew import hot_keys, salted_join
+from .tables import OFFSET_BLOCK, block_start, in_blocks
 
 
 def combine_features(tables: Sequence[DataFrame], key: str) -> DataFrame:
@@ -75,10 +76,30 @@ def skip_seen(df: DataFrame, ledger: DataFrame, column: str, ledger_column: str)
 LOG_PLACE = ("kafka_topic", "kafka_partition")
 
 
-def mark_seen_offsets(df: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``df`` with ``_seen``: whether a row's offset lies in one of the ranges, which do not overlap."""
-    inside = F.col("kafka_offset").between(F.col("first_offset"), F.col("last_offset"))
-    return mark_seen(df, ranges.select(*LOG_PLACE, "first_offset", "last_offset"), LOG_PLACE, inside)
+def mark_seen_offsets(df: DataFrame, ranges: DataFrame, block: int = OFFSET_BLOCK) -> DataFrame:
+    """``df`` with ``_seen``: whether a row's offset lies in one of the ranges, which do not overlap.
+
+    A log with gaps may have as many ranges as records, so they are not copied: rows and ranges are dealt by blocks of
+    offsets, and in a block's order the furthest end so far tells. Rows without a place in the log are dealt by their hash.
+    """
+    offset = F.col("kafka_offset")
+    placed = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in (*LOG_PLACE, "kafka_offset")))
+    spread = [c for c, t in df.dtypes if not t.startswith("map")]
+    rows = df.withColumns(
+        {
+            "_deal": F.when(placed, F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread), F.lit(1 << 30)).cast("int")),
+            "_block": block_start(offset.cast("bigint"), block),
+            "_at": offset.cast("bigint"),
+            "_is_row": F.lit(True),
+        }
+    )
+    known = in_blocks(ranges.select(*LOG_PLACE, "record_count", "first_offset", "last_offset"), block).select(
+        *LOG_PLACE, F.lit(0).alias("_deal"), "_block", F.col("first_offset").alias("_at"), F.col("last_offset").alias("_end"), F.lit(False).alias("_is_row")
+    )
+    ordered = Window.partitionBy(*LOG_PLACE, "_block", "_deal").orderBy("_at", "_is_row")
+    reached = F.max("_end").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    met = rows.unionByName(known, allowMissingColumns=True).withColumn(SEEN, placed & F.coalesce(reached >= F.col("_at"), F.lit(False)))
+    return met.where("_is_row").select(*df.columns, SEEN)
 
 
 def upsert_counts(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -92,6 +92,25 @@ def file_ledger(df: DataFrame, status: str | Column, source: str = "source_file"
 OFFSET_BLOCK = 1 << 16
 
 
+def block_start(offset: Column, block: int = OFFSET_BLOCK) -> Column:
+    """First offset of the block of offsets that ``offset`` lies in."""
+    return offset - F.pmod(offset, F.lit(block))
+
+
+def in_blocks(ranges: DataFrame, block: int = OFFSET_BLOCK) -> DataFrame:
+    """Ranges cut at the ends of blocks, with the first offset of their ``_block``; a range's first piece keeps its records."""
+    starts = F.sequence(block_start(F.col("first_offset"), block), block_start(F.col("last_offset"), block), F.lit(block).cast("bigint"))
+    cut = ranges.withColumn("_block", F.explode(starts))
+    begin = F.greatest("first_offset", "_block")
+    return cut.withColumns(
+        {
+            "record_count": F.when(begin == F.col("first_offset"), F.col("record_count")).otherwise(F.lit(0)),
+            "first_offset": begin,
+            "last_offset": F.least(F.col("last_offset"), F.col("_block") + block - 1),
+        }
+    )
+
+
 def offset_runs(df: DataFrame, block: int = OFFSET_BLOCK) -> DataFrame:
     """Ranges of consecutive offsets per log partition, without gaps, and the records of each.
 
@@ -100,22 +119,34 @@ def offset_runs(df: DataFrame, block: int = OFFSET_BLOCK) -> DataFrame:
     """
     place = ["kafka_topic", "kafka_partition"]
     rows = df.where(F.col("kafka_offset").isNotNull()).groupBy(*place, "kafka_offset").agg(F.count(F.lit(1)).alias("_n"))
-    rows = rows.withColumn("_block", F.floor(F.col("kafka_offset") / block))
+    rows = rows.withColumn("_block", block_start(F.col("kafka_offset"), block))
     number = F.row_number().over(Window.partitionBy(*place, "_block").orderBy("kafka_offset"))
     runs = rows.withColumn("_run", F.col("kafka_offset") - number).groupBy(*place, "_block", "_run")
     found = runs.agg(
         F.sum("_n").alias("record_count"), F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset")
     )
-    return merge_runs(found.drop("_block", "_run"))
+    return merge_runs(found.drop("_block", "_run"), block)
+
 
+def merge_runs(runs: DataFrame, block: int = OFFSET_BLOCK) -> DataFrame:
+    """Ranges per log partition that neither overlap nor touch.
 
-def merge_runs(runs: DataFrame) -> DataFrame:
-    """Ranges per log partition that neither overlap nor touch; ranges are few beside the records they stand for."""
+    A log with gaps may have as many ranges as records, so they are merged within blocks of offsets; only those that
+    reach a block's end, two a block at most, meet the others of their log partition.
+    """
     place = ["kafka_topic", "kafka_partition"]
-    ordered = Window.partitionBy(*place).orderBy("first_offset", "last_offset")
+    merged = _joined_runs(in_blocks(runs, block), [*place, "_block"])
+    at_end = (F.col("first_offset") == F.col("_block")) | (F.col("last_offset") == F.col("_block") + block - 1)
+    across = _joined_runs(merged.where(at_end).drop("_block"), place)
+    return merged.where(~at_end).drop("_block").unionByName(across)
+
+
+def _joined_runs(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranges of the same keys that overlap or touch, as one."""
+    ordered = Window.partitionBy(*keys).orderBy("first_offset", "last_offset")
     reached = F.max("last_offset").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     opens = runs.withColumn("_opens", F.when(F.col("first_offset") <= reached + 1, F.lit(0)).otherwise(F.lit(1)))
     numbered = opens.withColumn("_range", F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*place, "_range").agg(
+    return numbered.groupBy(*keys, "_range").agg(
         F.sum("record_count").alias("record_count"), F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset")
     ).drop("_range")

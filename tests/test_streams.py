@@ -6,7 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cohortflow.operators.features import allergy_features, patients
-from cohortflow.operators.tables import offset_runs
+from cohortflow.operators.joins import mark_seen_offsets
+from cohortflow.operators.tables import OFFSET_BLOCK, merge_runs, offset_runs
 from cohortflow.plans.domains import DOMAINS
 from cohortflow.sources.logs import LOG_SCHEMA, encounter_file_stream, log_stream, parse_encounter_log
 from cohortflow.streaming.cursor import (
@@ -344,3 +345,29 @@ def test_cursor_slices_walk_the_table_once(spark, tmp_path):
     assert seen == list(range(1, 26))
     final = load_cursors(spark, path)
     assert {r.source_name: r.last_key for r in final.collect()} == {"s": 25, "other": 7}
+
+
+def test_offsets_with_gaps_are_marked_without_copies_of_the_ranges(spark):
+    """Every range is one offset, as in a log of every fourth one; none is copied, none is broadcast by a hint."""
+    ranges = spark.range(0, 4000, 4).selectExpr("'t' kafka_topic", "0 kafka_partition", "1L record_count", "id first_offset", "id last_offset")
+    ranges = ranges.unionByName(spark.sql("select 't' kafka_topic, 0 kafka_partition, 7L record_count, 5001L first_offset, 5900L last_offset"))
+    rows = spark.range(0, 6000).selectExpr("'t' kafka_topic", "cast(0 as int) kafka_partition", "id kafka_offset", "map('k', id) payload")
+    rows = rows.unionByName(rows.limit(3).selectExpr("kafka_topic", "kafka_partition", "cast(null as bigint) kafka_offset", "payload"))
+    for block in (64, OFFSET_BLOCK):
+        found = mark_seen_offsets(rows, ranges, block)
+        seen = sorted(r.kafka_offset for r in found.where("_seen").collect())
+        assert seen == [*range(0, 4000, 4), *range(5001, 5901)]
+        assert found.count() == rows.count() and found.columns == [*rows.columns, "_seen"]
+    assert "sequence(0" not in mark_seen_offsets(rows, ranges)._jdf.queryExecution().toString()
+
+
+def test_merged_ranges_span_blocks(spark):
+    """Ranges that overlap, touch within and across blocks, or cover whole blocks."""
+    data = [("t", 0, 3, 0, 2), ("t", 0, 10, 3, 40), ("t", 0, 1, 20, 22), ("t", 0, 1, 42, 42), ("t", 1, 2, 41, 42), ("t", 0, 6, 47, 52)]
+    runs = spark.createDataFrame(data, "kafka_topic string, kafka_partition int, record_count bigint, first_offset bigint, last_offset bigint")
+    expected = [("t", 0, 1, 42, 42), ("t", 0, 14, 0, 40), ("t", 0, 6, 47, 52), ("t", 1, 2, 41, 42)]
+    for block in (1, 4, 16, OFFSET_BLOCK):
+        merged = merge_runs(runs, block)
+        assert sorted(map(tuple, merged.select(runs.columns).collect())) == expected
+    windows = merge_runs(runs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_block" in windows.split("windowspecdefinition(")[-1]
