@@ -5,7 +5,8 @@ count, then the leading tokens. Lines of one node that agree in most positions s
 other positions are generalised to variables; they must agree beyond the leading tokens too. A node with very many different
 lines is dealt to blocks, and the templates of its blocks are merged by the same rule, in rounds if they are many
 themselves: each round deals them by the token at another place and to blocks of bounded size, so templates that agree in
-most places meet in most rounds and no task gets all templates of a large node.
+most places meet in most rounds and no task gets all templates of a large node. What is left of a node after that, if it
+is many still, is joined by its rarest tokens, which no similar pair escapes.
 
 Tokens travel as 16-bit hashes, two bytes each, so the lines themselves are never shuffled.
 Long lines also recur word for word, from two different texts on, by a hash of the whole line. Lines with too few tokens
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortflow.llm.common import BROADCAST_KEYS, drop_stage, slices, stage, tidied
 
@@ -191,8 +192,7 @@ class Templates:
         The line may be a template itself: ``constants`` is the least number of constant tokens of its lines.
         """
         constants = max(1, int((codes != VARIABLE).sum())) if constants is None else constants
-        beyond = int((codes[: self.depth] != VARIABLE).sum()) + 1
-        need = min(constants, max(math.ceil(self.similarity * constants - 1e-9), beyond))
+        need = needed(codes, constants, self.similarity, self.depth)
         some = self.candidates(codes, need)
         rows = self.rows if some is None else self.room[some]
         row = -1
@@ -261,29 +261,143 @@ def round_groups(heads: DataFrame, turn: int) -> DataFrame:
     return heads.withColumn("group", F.xxhash64(F.lit(turn), "node", size, F.substring("tokens", place * 2 + 1, F.lit(2))))
 
 
+def needed(codes: np.ndarray, constants: int, similarity: float, depth: int = DEPTH) -> int:
+    """In how many tokens a line or template of so many constants has to agree with a template that takes it."""
+    beyond = int((codes[:depth] != VARIABLE).sum()) + 1
+    return min(constants, max(math.ceil(similarity * constants - 1e-9), beyond))
+
+
+def postings(heads: DataFrame, similarity: float) -> DataFrame:
+    """A row per constant token of a template, at its place (``key``).
+
+    ``asked`` is how many of them, whichever, are enough to ask for: a template that takes this one has one of them.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "tokens", 1 << 18):
+                columns: list[list[np.ndarray]] = [[], [], [], [], []]
+                for node, tokens, template, least in zip(*(part.column(c).to_pylist() for c in ("node", "tokens", "template", "least"))):
+                    codes = np.frombuffer(tokens, np.uint16)
+                    places = np.flatnonzero(codes)
+                    asked = len(places) - needed(codes, least, similarity) + 1
+                    found = (node, len(codes), (places.astype(np.int64) << 16) | codes[places], template, asked)
+                    for column, values in zip(columns, found):
+                        column.append(np.broadcast_to(np.asarray(values, np.int64), places.shape))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in columns], ["node", "size", "key", "template", "asked"])
+
+    rows = heads.select("node", "tokens", "template", "least")
+    return rows.mapInArrow(tidied(listed), "node bigint, size bigint, key bigint, template bigint, asked bigint")
+
+
+def similar_pairs(heads: DataFrame, similarity: float, node_lines: int) -> DataFrame:
+    """Every template with all those before it (frequent ones first) that may take it: ``template``, ``other`` and in how many tokens they agree.
+
+    A template asks for its rarest tokens only, at their places; holders of a token are dealt to blocks of about
+    ``node_lines``, so no task gets all holders of a frequent one.
+    """
+    posts = stage(postings(heads, similarity), "postings")
+    at = ["node", "size", "key"]
+    shared = posts.groupBy(*at).agg(F.count(F.lit(1)).alias("n"))
+    held = posts.join(shared, at).withColumn("blocks", F.ceil(F.col("n") / node_lines))
+    rarest = F.row_number().over(Window.partitionBy("template").orderBy("n", "key"))
+    asking = held.withColumn("_r", rarest).where("_r <= asked and n > 1").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    holding = held.where("n > 1").select(*at, F.pmod(F.xxhash64("template"), "blocks").alias("block"), F.col("template").alias("other"))
+    met = asking.select(*at, "block", "template").join(holding, [*at, "block"]).where("template <> other").select("template", "other").distinct()
+    own = heads.select("template", "tokens", "weight", "least")
+    both = met.join(own, "template").join(own.selectExpr("template other", "tokens other_tokens", "weight other_weight"), "other")
+    before = F.struct(-F.col("other_weight"), "other_tokens", "other") < F.struct(-F.col("weight"), "tokens", "template")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for template, other, tokens, other_tokens, least in zip(*(batch.column(c).to_pylist() for c in ("template", "other", "tokens", "other_tokens", "least"))):
+                codes = np.frombuffer(tokens, np.uint16)
+                same = int(((codes == np.frombuffer(other_tokens, np.uint16)) & (codes != VARIABLE)).sum())
+                if same >= needed(codes, least, similarity):
+                    kept.append((template, other, same))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept)] if kept else [pa.array([], pa.int64())] * 3, ["template", "other", "same"])
+
+    columns = ["template", "other", "tokens", "other_tokens", "least"]
+    return both.where(before).select(*columns).mapInArrow(tidied(compared), "template bigint, other bigint, same bigint")
+
+
+def merge_similar(heads: DataFrame, similarity: float, node_lines: int) -> tuple[DataFrame, DataFrame] | None:
+    """One round of exact merging: templates left, and ``merged`` with the ``_next`` that took it; None if no two are similar.
+
+    Templates with no similar one before them take those that prefer them, frequent ones first and only while they are
+    still similar. The others wait for the next round.
+    """
+    pairs = stage(similar_pairs(heads, similarity, node_lines), "pairs")
+    if pairs.isEmpty():
+        return None
+    taking = pairs.join(pairs.select(F.col("template").alias("other")).distinct(), "other", "left_anti")
+    choice = taking.groupBy("template").agg(F.max_by("other", F.struct("same", "other")).alias("taker"))
+    fields = ["node", "tokens", "template", "weight", "least"]
+    grouped = heads.select(*fields).join(choice, "template", "left")
+    grouped = grouped.withColumns({"first": F.col("taker").isNull(), "taker": F.coalesce("taker", "template")})
+    rows = grouped.repartition("taker").sortWithinPartitions("taker", F.desc("first"), F.desc("weight"), "tokens", "template")
+    schema = pa.schema([(name, pa.binary() if name == "tokens" else pa.int64()) for name in (*fields, "merged", "_next")])
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taker, node, row, weight, least = None, None, None, 0, 0
+        for batch in batches:
+            out = []
+            for at, node_at, tokens, template, n, constants in zip(*(batch.column(c).to_pylist() for c in ("taker", "node", "tokens", "template", "weight", "least"))):
+                codes = np.frombuffer(tokens, np.uint16)
+                if at != taker:
+                    if row is not None:
+                        out.append((node, row.tobytes(), taker, weight, least, None, None))
+                    taker, node, row, weight, least = at, node_at, codes.copy(), n, constants
+                elif int(((row == codes) & (codes != VARIABLE)).sum()) >= needed(codes, constants, similarity):
+                    row[row != codes] = VARIABLE
+                    weight, least = weight + n, min(least, constants)
+                    out.append((None, None, None, None, None, template, taker))
+                else:
+                    out.append((node_at, tokens, template, n, constants, None, None))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+        if row is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((node, row.tobytes(), taker, weight, least, None, None), schema.types)], schema=schema)
+
+    types = "node bigint, tokens binary, template bigint, weight bigint, least bigint, merged bigint, _next bigint"
+    done = stage(rows.select("taker", *fields).mapInArrow(tidied(folded), types), "folded")
+    return done.where("template is not null").select(*fields), done.where("merged is not null").select("merged", "_next")
+
+
 def merged_names(heads: DataFrame, similarity: float = SIMILARITY, node_lines: int = NODE_LINES) -> DataFrame:
     """``template`` and ``merged``: the template that takes each of ``heads`` in the end.
 
     A node of few templates has them merged at once. Those of others are merged in rounds until they are few or
-    ``ROUNDS`` are over; what has met no similar template in any round stays as it is.
+    ``ROUNDS`` are over. Nodes of more templates even then have all their similar pairs looked up, in a
+    join by the templates' rarest tokens, until no two are similar.
     """
     names = heads.select("template", F.col("template").alias("merged"))
+
+    def renamed(taken: DataFrame) -> DataFrame:
+        return names.join(taken, "merged", "left").select("template", F.coalesce("_next", "merged").alias("merged"))
+
     for turn in range(ROUNDS):
         wide = wide_nodes(heads, node_lines)
         if wide is None:
             break
         grouped = round_groups(heads.join(wide, "node", "left_semi"), turn)
         met = stage(merge_leaves(divided(grouped, node_lines, "group"), similarity), "met")
-        taken = met.where("template is not null").select(F.col("template").alias("merged"), F.col("merged").alias("_next"))
-        names = stage(names.join(taken, "merged", "left").select("template", F.coalesce("_next", "merged").alias("merged")), "names")
+        names = stage(renamed(met.where("template is not null").select(F.col("template").alias("merged"), F.col("merged").alias("_next"))), "names")
         left = met.where("template is null").select("node", "tokens", F.col("merged").alias("template"), "weight", "least")
         heads = stage(heads.join(wide, "node", "left_anti").select(*left.columns).unionByName(left), "heads")
     else:
         wide = wide_nodes(heads, node_lines)
     few = heads if wide is None else heads.join(wide, "node", "left_anti")
     last = merge_leaves(few.withColumn("leaf", F.col("node")), similarity).where("template is not null")
-    last = last.select(F.col("template").alias("merged"), F.col("merged").alias("_next"))
-    return names.join(last, "merged", "left").select("template", F.coalesce("_next", "merged").alias("merged"))
+    names = renamed(last.select(F.col("template").alias("merged"), F.col("merged").alias("_next")))
+    if wide is None:
+        return names
+    many = stage(heads.join(wide, "node", "left_semi"), "many")
+    while (merged := merge_similar(many, similarity, node_lines)) is not None:
+        many, taken = merged
+        names = stage(renamed(taken), "names")
+    return names
 
 
 def templates(lines: DataFrame, similarity: float = SIMILARITY, node_lines: int = NODE_LINES) -> DataFrame:
