@@ -29,18 +29,19 @@ def enrich(
 ) -> DataFrame:
     """Left-join feature tables, all unique per key, so no row is multiplied.
 
-    ``rows`` is unique per ``row_key``, so those joins cannot be skewed and share one
-    partitioning. Subject tables are first combined among themselves; the rows then
-    meet them in a single join that splits hot subjects. Those are counted on ``rows``, which
-    has the same subjects as the joined rows, so the joins run once; ``hot`` gives them where a
-    cheaper frame than ``rows`` tells them.
+    Subject tables are first combined among themselves; the rows meet them, while they are narrow, in a single join that
+    splits hot subjects. ``rows`` is unique per ``row_key``, so the other joins cannot be skewed and share one
+    partitioning. Hot subjects are counted on ``rows``; ``hot`` gives them where a cheaper frame than ``rows`` tells them.
     """
-    out = reduce(lambda a, b: a.join(b, row_key, "left"), by_row, rows)
+    out, order = rows, rows.columns
+    if by_row:
+        order = [row_key, *[c for t in (rows, *by_row) for c in t.columns if c != row_key]]
     if by_subject:
         wide = combine_features(by_subject, subject_key)
         hot = hot_keys(rows, [subject_key], **skew) if hot is None else hot
         out = salted_join(out, wide, [subject_key], "left", spread=[row_key], hot=hot)
-    return out
+        order = [subject_key, *[c for c in (*order, *wide.columns) if c != subject_key]]
+    return reduce(lambda a, b: a.join(b, row_key, "left"), by_row, out).select(*order)
 
 
 #: Tasks over which a source that fills most of a batch is spread when it meets a ledger.

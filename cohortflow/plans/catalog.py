@@ -42,7 +42,7 @@ def query(build: Query) -> Query:
     """Register a query under its function's name (a trailing underscore avoids a clash)."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        g.prepare(spark)
         return plain(build(spark, sf_dir))
 
     QUERIES[build.__name__.rstrip("_")] = run
@@ -350,7 +350,7 @@ def scorecard(spark, sf) -> DataFrame:
             ),
         ]
         specs += [
-            quality.TableSpec(name, g.lines(spark, sf, kind=kind), required, "START")
+            quality.TableSpec(name, g.domain_lines(spark, sf, kind=kind), required, "START")
             for name, (kind, required) in line_specs.items()
         ]
         return quality.scorecard(specs)
