@@ -149,34 +149,34 @@ def envelope_build(spark, sf):
 
 @query
 def explode_labels(spark, sf):
-    return cohort.explode_labels(g.scored(spark, sf))
+    return cohort.explode_labels(g.scored_rows(spark, sf))
 
 
 @query
 def risk_score(spark, sf):
-    return g.scored(spark, sf).select("encounter_id", "readmission_risk_score")
+    return g.scored_rows(spark, sf).select("encounter_id", "readmission_risk_score")
 
 
 @query
 def burden_score(spark, sf):
-    return g.scored(spark, sf).select("encounter_id", "clinical_burden_score")
+    return g.scored_rows(spark, sf).select("encounter_id", "clinical_burden_score")
 
 
 @query
 def risk_band(spark, sf):
     score = F.col("readmission_risk_score")
-    return g.scored(spark, sf).select("encounter_id", band(score, RISK_BANDS).alias("risk_band"))
+    return g.scored_rows(spark, sf).select("encounter_id", band(score, RISK_BANDS).alias("risk_band"))
 
 
 @query
 def reason_codes(spark, sf):
     flags = [f"reason_{r}" for r in cohort.REASONS]
-    return g.scored(spark, sf).select("encounter_id", *flags, "risk_reasons")
+    return g.scored_rows(spark, sf).select("encounter_id", *flags, "risk_reasons")
 
 
 @query
 def care_gap_severity(spark, sf):
-    return g.scored(spark, sf).select("encounter_id", "care_gap_severity", "recommended_action")
+    return g.scored_rows(spark, sf).select("encounter_id", "care_gap_severity", "recommended_action")
 
 
 @query
@@ -476,7 +476,7 @@ def comorbidity_pairs(spark, sf):
 
 def pairs(spark, sf) -> DataFrame:
     def build() -> DataFrame:
-        labels = g.staged(spark, sf, "labels", lambda: cohort.explode_labels(g.scored(spark, sf)))
+        labels = g.staged(spark, sf, "labels", lambda: cohort.explode_labels(g.scored_rows(spark, sf)))
         return cohort.comorbidity_pairs(labels)
 
     return g.staged(spark, sf, "pairs", build)
@@ -585,19 +585,19 @@ def immunization_features(spark, sf):
 
 
 def metrics(spark, sf) -> DataFrame:
-    return g.staged(spark, sf, "metrics", lambda: cohort.condition_metrics(g.scored(spark, sf)))
+    return g.staged(spark, sf, "metrics", lambda: cohort.condition_metrics(g.scored_rows(spark, sf)))
 
 
 def groups(spark, sf) -> DataFrame:
-    return g.staged(spark, sf, "groups", lambda: cohort.demographics(g.scored(spark, sf)))
+    return g.staged(spark, sf, "groups", lambda: cohort.demographics(g.scored_rows(spark, sf)))
 
 
 def patient_360_table(spark, sf) -> DataFrame:
-    return g.staged(spark, sf, "patient_360", lambda: cohort.patient_360(g.scored(spark, sf)))
+    return g.staged(spark, sf, "patient_360", lambda: cohort.patient_360(g.scored_rows(spark, sf)))
 
 
 def gaps(spark, sf) -> DataFrame:
-    return g.staged(spark, sf, "care_gaps", lambda: cohort.care_gap_worklist(g.scored(spark, sf)))
+    return g.staged(spark, sf, "care_gaps", lambda: cohort.care_gap_worklist(g.scored_rows(spark, sf)))
 
 
 @query

@@ -49,7 +49,7 @@ def tables(spark, tmp_path_factory):
 
 
 def test_a_query_carries_only_what_it_reads_through_the_sequence(spark, tables):
-    scored = g.scored(spark, tables)
+    scored = g.scored_rows(spark, tables)
     assert scored.count() == g.silver(spark, tables).count() > 60
     risk = plan(scored.select("encounter_id", "readmission_risk_score"))
     assert "Window" in risk and "sha2" not in risk and "ssn" not in risk and "diagnosis_code" not in risk
@@ -57,7 +57,7 @@ def test_a_query_carries_only_what_it_reads_through_the_sequence(spark, tables):
 
 
 def test_pruned_scores_are_the_scores_of_whole_rows(spark, tables):
-    scored = g.scored(spark, tables)
+    scored = g.scored_rows(spark, tables)
     names = ["encounter_id", "patient_id", "readmission_risk_score", "risk_reasons"]
     whole = spark.createDataFrame(scored.collect(), scored.schema)
     assert rows(scored.select(*names)) == rows(whole.select(*names))
