@@ -94,6 +94,11 @@ def closed(spans: DataFrame, start: str, stop: str) -> DataFrame:
     return spans.withColumn(stop, end).where(F.col(start) <= F.col(stop))
 
 
+#: Events of a key, and its spans, up to which every date is held against every span of the key.
+PAIRED_EVENTS = 256
+PAIRED_SPANS = 1_000_000
+
+
 def active_interval_join(
     events: DataFrame,
     spans: DataFrame,
@@ -103,13 +108,61 @@ def active_interval_join(
     start: str,
     stop: str,
     how: str = "left",
+    paired_events: int = PAIRED_EVENTS,
+    paired_spans: int = PAIRED_SPANS,
 ) -> DataFrame:
     """Every (event, span) of one key where the span holds the event's date.
 
-    The work follows the number of matches. ``left`` keeps events without any span.
+    A key's dates meet its spans in one join by key, so either side is shuffled once, as it is. Keys of more than
+    ``paired_events`` events or ``paired_spans`` spans could make that work grow with its square; theirs go through the tree, where
+    it follows the number of matches, as do events whose id comes again. ``left`` keeps events without any span.
     ``event_id`` has to be unique; spans must not share column names with events
     other than ``key``.
     """
+    if how not in ("inner", "left"):
+        return _tree_join(events, spans, key, event_id, at, start, stop, how)
+
+    def over(df: DataFrame, column: str, most: int) -> DataFrame:
+        counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        return counts.where(F.col("_n") > most).select(column)
+
+    large = over(events, key, paired_events).unionByName(over(spans, key, paired_spans)).distinct()
+    again = over(events, event_id, 1)
+    apart, rest, ordinary = [], events, spans
+    if not again.isEmpty():
+        apart.append(events.join(again, event_id, "left_semi"))
+        rest = rest.join(again, event_id, "left_anti")
+    if not large.isEmpty():
+        apart.append(rest.join(large, key, "left_semi"))
+        rest, ordinary = rest.join(large, key, "left_anti"), spans.join(large, key, "left_anti")
+    found = _paired_join(rest, ordinary, key, event_id, at, start, stop, how)
+    for some in apart:
+        theirs = spans.join(some.select(key).distinct(), key, "left_semi")
+        found = found.unionByName(_tree_join(some, theirs, key, event_id, at, start, stop, how))
+    return found
+
+
+def _paired_join(
+    events: DataFrame, spans: DataFrame, key: str, event_id: str, at: str, start: str, stop: str, how: str
+) -> DataFrame:
+    """The same by one join by key. Events without id, key or date meet nothing and stay where they are."""
+    values = [c for c in spans.columns if c != key]
+    usable = closed(spans.withColumn("_stop", F.col(stop)), start, "_stop").where(F.col(key).isNotNull())
+    placed = F.col(event_id).isNotNull() & F.col(key).isNotNull() & F.col(at).isNotNull()
+    held = (F.col(key) == F.col("_of")) & (F.col(at) >= F.col(start)) & (F.col(at) <= F.col("_stop"))
+    columns = [event_id, *[c for c in events.columns if c != event_id], *values]
+    found = events.where(placed).join(usable.withColumnRenamed(key, "_of"), held, how).select(*columns)
+    if how == "inner":
+        return found
+    types = dict(spans.dtypes)
+    nothing = [F.lit(None).cast(types[c]).alias(c) for c in values]
+    return found.unionByName(events.where(~placed).select("*", *nothing).select(*columns))
+
+
+def _tree_join(
+    events: DataFrame, spans: DataFrame, key: str, event_id: str, at: str, start: str, stop: str, how: str
+) -> DataFrame:
+    """The same by the tree: its work follows the number of matches."""
     calendar = Calendar.of(events, at)
     usable = closed(spans.withColumn("_stop", F.col(stop)), start, "_stop")
     pairs = salted_join(
