@@ -93,18 +93,20 @@ def latest_by_natural_key(
 ROWS_PER_CUT = 32
 
 
-def range_cuts(df: DataFrame, key: str, order: Sequence[str], share: float, min_rows: int) -> DataFrame:
+def range_cuts(df: DataFrame, key: str, order: Sequence[str], share: float, min_rows: int, few: bool = True) -> DataFrame:
     """Hot keys of ``df`` (NULL may be one) as ``_hot``, with values of ``order`` that cut their rows into ranges of like size.
 
     Cuts come from a part of the rows, taken by their hash so that a re-run takes the same; they decide where a
     range ends and never what is in the result. Hot keys are few and the cuts of all of them are some
-    thousand, so the table may be broadcast. Cuts lie in groups, so a row is compared with few of them.
+    thousand, so the table may be broadcast; unless ``few`` is false, for a ``share`` that bounds neither: then rows
+    meet their hot keys by a shuffle. Cuts lie in groups, so a row is compared with few of them.
     """
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
     rows = piece_rows(counts, share, min_rows)
     pieces, every = F.ceil(F.col("_n") / rows).cast("int"), F.greatest((rows / ROWS_PER_CUT).cast("bigint"), F.lit(1))
     hot = counts.where(F.col("_n") > rows).select("_hot", pieces.alias(PIECES), every.alias("_every"))
-    met = df.select(F.col(key).alias("_key"), F.struct(*order).alias("_at")).join(F.broadcast(hot), F.col("_key").eqNullSafe(F.col("_hot")))
+    met = df.select(F.col(key).alias("_key"), F.struct(*order).alias("_at"))
+    met = met.join(F.broadcast(hot), F.col("_key").eqNullSafe(F.col("_hot"))) if few else met.join(hot, F.col("_key") == F.col("_hot"))
     part = met.where(F.pmod(F.xxhash64("_at"), F.col("_every")) == 0).groupBy("_hot")
     sampled = part.agg(F.array_sort(F.collect_set("_at")).alias("_all"), F.max(PIECES).alias(PIECES))
     step = F.greatest(F.ceil(F.size("_all") / F.col(PIECES)).cast("int"), F.lit(1))
@@ -121,6 +123,27 @@ def _piece(at: Column) -> Column:
     return F.when(F.col("_groups").isNotNull(), F.when(group > 0, (group - 1) * F.col("_width") + inside).otherwise(F.lit(0)))
 
 
+def _within_ranges(rows: DataFrame, key: str, at: str, tie: str, row: Column, share: float, min_rows: int) -> DataFrame:
+    """``rows`` with ``_within``, the row before in the same key and ``_piece``, from ranges of every key and piece that is hot by ``share``.
+
+    Cuts and last rows are as many as the hot keys, so rows meet them by shuffles: once by key and piece, once by range. A key
+    and piece has no more rows than ``HOT_SHARE`` of all, so no task gets a large part of them.
+    """
+    # A struct equals another with NULL in the same place, so rows without a key meet theirs.
+    told = rows.withColumn("_group", F.struct(key, "_piece"))
+    cuts = range_cuts(told, "_group", [at, tie], share, min_rows, few=False)
+    met = told.join(cuts, F.col("_group") == F.col("_hot"), "left")
+    is_hot = F.col("_hot").isNotNull().alias("_is_hot")
+    dealt = met.select(*rows.columns, "_group", is_hot, _piece(F.struct(at, tie)).alias("_part")).repartition("_group", "_part")
+    within = dealt.withColumn("_within", F.lag(row).over(Window.partitionBy("_group", "_part").orderBy(at, tie)))
+
+    last = dealt.where("_is_hot").groupBy("_group", "_part").agg(F.max_by(row, F.struct(at, tie)).alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy("_group").orderBy("_part"))
+    handed = last.select(F.col("_group").alias("_of"), F.col("_part").alias("_after"), before.alias("_from")).where("_from is not null")
+    own = (F.col("_group") == F.col("_of")) & (F.col("_part") == F.col("_after"))
+    return within.join(handed, own, "left").select(*rows.columns, F.coalesce("_within", "_from").alias("_within"))
+
+
 def previous_event(
     df: DataFrame,
     key: str,
@@ -136,13 +159,20 @@ def previous_event(
     An ordinary key is one window group. A hot key's order is cut into ranges of like size, also
     within one day: each range is its own window group, and the last row of the range before is
     handed to a range's first row through a table of one row per range. The rows are shuffled once.
+
+    With a ``share`` below ``HOT_SHARE`` as many keys may be hot as the data has. Ranges of ``HOT_SHARE`` are cut first, by a table
+    that is small whatever the data; within them keys are cut by ``share``, and nothing of that is broadcast.
     """
-    cuts = F.broadcast(range_cuts(df, key, [at, tie], share, min_rows))
+    few = max(share, HOT_SHARE)
+    cuts = F.broadcast(range_cuts(df, key, [at, tie], few, min_rows))
     hot = F.col(key).eqNullSafe(F.col("_hot"))
     piece = _piece(F.struct(at, tie)).alias("_piece")
     row = F.struct(*carry)
     rows = df.join(cuts, hot, "left").select(*df.columns, piece)
-    within = rows.withColumn("_within", F.lag(row).over(Window.partitionBy(key, "_piece").orderBy(at, tie)))
+    if share < HOT_SHARE:
+        within = _within_ranges(rows, key, at, tie, row, share, min_rows)
+    else:
+        within = rows.withColumn("_within", F.lag(row).over(Window.partitionBy(key, "_piece").orderBy(at, tie)))
 
     last = df.join(cuts, hot).select("_hot", piece, row.alias("_row"), F.struct(at, tie).alias("_at"))
     last = last.groupBy("_hot", "_piece").agg(F.max_by("_row", "_at").alias("_last"))

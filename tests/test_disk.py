@@ -2,10 +2,11 @@
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from cohortflow.operators import intervals
 from cohortflow.operators.intervals import active_interval_join
+from cohortflow.operators.sequence import previous_event
 
 
 def plan(df):
@@ -54,3 +55,16 @@ def test_only_large_keys_go_through_the_tree(visits):
     events, _, spans = visits
     assert "Generate" in plan(active_interval_join(events, spans, *ARGUMENTS, paired_events=20))
     assert "Generate" not in plan(active_interval_join(events, spans, *ARGUMENTS))
+
+
+def test_hot_keys_by_a_small_share_are_not_broadcast(spark, monkeypatch):
+    """As many keys are hot as there are; rows without a key and one large key are cut both ways."""
+    df = spark.range(6600).selectExpr(
+        "if(id % 11 = 0, null, if(id % 13 = 0, -1, id % 1500)) as key", "date_add(date'2001-01-01', int(id * 7 % 40)) as at", "id as tie", "id * 2 as v")
+    sent, send = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda told: sent.append(told) or send(told))
+    found = previous_event(df, "key", "at", "tie", ["v"], share=1e-9, min_rows=2)
+    monkeypatch.undo()
+    assert len(sent) == 3 and 0 < max(told.count() for told in sent) < 300
+    expected = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("key").orderBy("at", "tie")))
+    assert rows(found) == rows(expected)
