@@ -152,22 +152,23 @@ def attach_state(
     **skew,
 ) -> DataFrame:
     """Gap to the last discharge on record and the return flag known on arrival."""
-
-    def outputs(discharge: Column, gap: Column, flagged: Column) -> list[Column]:
-        return [
-            discharge.alias("previous_discharge_date"),
-            gap.alias("days_since_previous_discharge"),
-            flagged.alias("is_readmitted_online"),
-        ]
-
     if state is None:
         nothing = [F.lit(None).cast("date"), F.lit(None).cast("int"), F.lit(0)]
-        return df.select("*", *outputs(*nothing))
+        return df.select("*", *_state_outputs(*nothing))
     joined = salted_join(df, state.select(key, *STATE_COLUMNS), [key], "left", **skew)
+    return state_told(joined, window_days)
+
+
+def _state_outputs(discharge: Column, gap: Column, flagged: Column) -> list[Column]:
+    return [
+        discharge.alias("previous_discharge_date"),
+        gap.alias("days_since_previous_discharge"),
+        flagged.alias("is_readmitted_online"),
+    ]
+
+
+def state_told(joined: DataFrame, window_days: int = RETURN_WINDOW_DAYS) -> DataFrame:
+    """Rows that carry their subject's state with what it tells in its place."""
     gap = F.datediff("admission_date", "last_discharge_date")
-    return joined.select(
-        *df.columns,
-        *outputs(
-            F.col("last_discharge_date"), gap, is_return(gap, F.col("last_los_days"), window_days)
-        ),
-    )
+    told = _state_outputs(F.col("last_discharge_date"), gap, is_return(gap, F.col("last_los_days"), window_days))
+    return joined.select(*[c for c in joined.columns if c not in STATE_COLUMNS], *told)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
@@ -39,6 +40,23 @@ PATIENT_FIELDS = [
 ]
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for a while; those before come back."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+#: For a write whose shuffles nobody reads again: their files go as it ends, not when the driver's garbage is next collected.
+SHUFFLES_END = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def text_schema(fields: Sequence[str]) -> StructType:
     return StructType([StructField(f, StringType(), True) for f in fields])
 

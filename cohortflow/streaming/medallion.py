@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.cohort import derive_silver, drop_private
-from ..operators.joins import SEEN, attach_state, enrich, mark_seen, mark_seen_offsets
+from ..operators.joins import SEEN, STATE_COLUMNS, enrich, mark_seen, mark_seen_offsets, state_told
 from ..operators.quality import (
     batch_audit,
     clinical_gate,
@@ -263,21 +263,22 @@ def _refine(spark, fresh, load, tables, features, at, stamp) -> dict[str, int]:
     order = [c for c in (*CORE[1:], *LINEAGE) if c in clean.columns]
     unique = dedup_by_key(clean, ["encounter_id"], order)
     by_patient = [t for t in (features.patients, *features.by_patient) if t is not None]
-    hot = hot_keys(clean, ["patient_id"])
-    derived = derive_silver(enrich(unique, features.by_encounter, by_patient, hot=hot), at)
-    stood = attach_state(derived, state.earlier(spark, load, raw["buckets"]), hot=hot)
-    gated = warning_status(clinical_gate(stood)).drop("raw_payload")
-    verdict = F.when(F.col("failure_reasons") == "", F.lit(CLEAN)).otherwise(F.lit(REJECTED))
-    rows = drop_private(gated).withColumns({"verdict": verdict, "loaded_at": stamp})
-
+    # Rows meet Silver's ids, by encounter, and the state, with the other tables by patient, while they are narrow.
     known = load.earlier(spark, tables.silver, "encounter_id string, verdict string")
-    flagged = rows.withColumn("_updates", F.lit(False))
+    flagged = unique.withColumn("_updates", F.lit(False))
     if known is not None:
         ids = clean.select("encounter_id").distinct()
         there = known.where(ok).select("encounter_id").join(ids, "encounter_id", "left_semi").distinct()
-        flagged = rows.join(there.withColumn("_updates", F.lit(True)), "encounter_id", "left")
+        flagged = unique.join(there.withColumn("_updates", F.lit(True)), "encounter_id", "left")
+    by_patient.append(state.earlier(spark, load, raw["buckets"]).select("patient_id", *STATE_COLUMNS))
+    hot = hot_keys(clean, ["patient_id"])
+    derived = derive_silver(enrich(flagged, features.by_encounter, by_patient, hot=hot), at)
+    gated = warning_status(clinical_gate(state_told(derived))).drop("raw_payload")
+    verdict = F.when(F.col("failure_reasons") == "", F.lit(CLEAN)).otherwise(F.lit(REJECTED))
+    marked = drop_private(gated).withColumns({"verdict": verdict, "loaded_at": stamp})
+    rows = marked.drop("_updates")
     done = load.write(
-        flagged,
+        marked,
         tables.silver,
         ["verdict", "encounter_year"],
         unwritten=["_updates"],

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.joins import STATE_COLUMNS
-from ..sources.files import load_if_present
+from ..sources.files import SHUFFLES_END, load_if_present, settings
 
 BUCKETS = 64
 MARKS = "loaded_at timestamp, run_id string, batch_id bigint"
@@ -78,10 +78,11 @@ class KeyedState:
         current = F.when(wins, F.col("new")).otherwise(F.col("old"))
         rows = both.select(self.key, current.alias("row"), F.when(wins, F.col("old")).alias("before"))
         rows = rows.select(self.key, *[F.col("row")[c].alias(c) for c in own], "before", self.bucket().alias("bucket"))
-        (
-            rows.repartition("bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(self.path)
-        )
+        with settings(spark, SHUFFLES_END):
+            (
+                rows.repartition("bucket")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("bucket")
+                .parquet(self.path)
+            )

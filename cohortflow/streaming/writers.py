@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.files import load_if_present, read_optional
+from ..sources.files import SHUFFLES_END, load_if_present, read_optional, settings
 
 
 def with_trigger(writer, mode: str = "availablenow", interval: str = "0 seconds"):
@@ -63,7 +63,8 @@ class Load:
         if seen is not None:
             df = df.observe(seen, *[count.alias(name) for name, count in counts.items()])
         df = (df if keep is None else df.where(keep).drop(keep)).drop(*unwritten)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(table))
+        with settings(df.sparkSession, SHUFFLES_END):
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.folder(table))
         return seen.get if seen is not None else {}
 
     def own(self, spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame | None:
